@@ -95,12 +95,12 @@ def _fits(path: str, kind: str) -> str:
     kind = kind.rstrip("!")
     found = _kind(path)
     if kind == "levels":
-        # Absent, or a list of pairs of strings; an explicit null is not a list.
-        pairs = (
-            f"forall({_get(path, 'array<variant>')}, e -> schema_of_variant(e) = 'ARRAY<STRING>' "
-            "AND size(try_variant_get(e, '$', 'array<string>')) = 2)"
+        # Absent, or a list of pairs of strings; an explicit null is not a list. The type name
+        # alone does not show nulls and lengths.
+        pairs = f"forall({_get(path, 'array<array<string>>')}, e -> size(e) = 2 AND e[0] IS NOT NULL AND e[1] IS NOT NULL)"
+        return (
+            f"({found} = 'ABSENT' OR ({found} IN ('ARRAY<VOID>', 'ARRAY<ARRAY<STRING>>') AND coalesce({pairs}, false)))"
         )
-        return f"({found} = 'ABSENT' OR coalesce({pairs}, false))"
     allowed = "" if required else ", 'VOID', 'ABSENT'"
     if kind == "str":
         return f"{found} IN ('STRING'{allowed})"
