@@ -59,9 +59,14 @@ def grid_intervals(
     )
 
 
-def grid_in_force(prices: DataFrame, changes: DataFrame, at: str, tie: Sequence[str] = ()) -> DataFrame:
-    """Add the bands in force at each price's time (NULL before any was seen)."""
-    facts = changes.select("market_ticker", F.col("observed_ms").alias(at), "bands", *[t for t in tie if t in changes.columns])
+def grid_in_force(prices: DataFrame, observations: DataFrame, at: str, tie: Sequence[str] = ()) -> DataFrame:
+    """Add the bands in force at each price's time (NULL before any was seen), from every source's observations.
+
+    Stored changes serve as well where one source feeds a market.
+    """
+    facts = observations.select(
+        "market_ticker", F.col("observed_ms").alias(at), "bands", *[t for t in tie if t in observations.columns]
+    )
     return as_of(prices, facts, ["market_ticker"], at, ["bands"], tie, name="_grid").select(
         *prices.columns, F.col("_grid.bands").alias("bands")
     )

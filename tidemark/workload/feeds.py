@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import grid
+from tidemark.functions.clocks import received_ms
 from tidemark.operators import audit, board, decode, grids, metrics, reconcile
 from tidemark.workload.derive import NOW_MS
 from tidemark.workload.registry import query, step
@@ -264,13 +265,13 @@ def _(s):
 
 step("in_force", ("quotes", "grids"), "SELECT q.*, g.cut, g.fine FROM quotes q ASOF LEFT JOIN grids g ON q.market_ticker = g.market_ticker AND q.at_ms >= g.observed_ms")
 step("judged", ("in_force",), """
-SELECT *, NOT ((price_micros BETWEEN 10000 AND (cut % 99) * 10000 AND price_micros % 10000 = 0)
+SELECT *, cut IS NOT NULL AND NOT ((price_micros BETWEEN 10000 AND (cut % 99) * 10000 AND price_micros % 10000 = 0)
   OR (price_micros BETWEEN (cut % 99) * 10000 AND 990000 AND (price_micros - (cut % 99) * 10000) % CASE WHEN fine = '0.0100' THEN 10000 ELSE 1000 END = 0)) AS off FROM in_force""")
 
 
 def priced(s):
-    changes = grids.grid_changes(grids.grid_verdicts(s.grids)).withColumn("bands", grid.parse_grid("price_ranges_raw"))
-    return grids.grid_in_force(s.quotes, changes, "at_ms")
+    seen = s.grids.withColumn("bands", grid.parse_grid("price_ranges_raw"))
+    return grids.grid_in_force(s.quotes, seen, "at_ms")
 
 
 @query("grid_asof", ("in_force",), """
@@ -340,7 +341,7 @@ def _(s):
 @query("last_seen", ("tick",), f"""
 SELECT session_id, max(ms) AS last_ms, {NOW_MS} - max(ms) AS age_ms, {NOW_MS} - max(ms) > 180000 AS is_stale FROM (SELECT session_id, received_at_ns // 1000000 AS ms FROM tick) GROUP BY session_id""")
 def _(s):
-    rows = s.tick.select("session_id", (F.col("received_at_ns") / 1_000_000).cast("bigint").alias("received_ms"))
+    rows = s.tick.select("session_id", received_ms("received_at_ns").alias("received_ms"))
     return metrics.last_seen(rows, NOW_MS)
 
 
