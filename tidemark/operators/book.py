@@ -12,6 +12,7 @@ row except the best bid and offer, and that in pieces of bounded length.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -197,38 +198,50 @@ def snapshot_continuity(outcomes: DataFrame, final: DataFrame, width: int = TIME
     return ran.where("is_snapshot").select(*MARKET, *ORDER, "previous_seq", kind.alias("continuity"))
 
 
-def _replay(rows: pd.DataFrame) -> pd.DataFrame:
-    """Best levels after each frame of one piece. Carried levels come first and give no output."""
-    sizes = {"bid": {}, "ask": {}}
-    prices = {"bid": [], "ask": []}
-    out = []
-    rows = rows.sort_values("step", kind="stable")
-    steps = rows["step"].to_numpy()
-    fields = zip(
-        steps, rows["received_at_ns"].to_numpy(), rows["seq"].to_numpy(), rows["book_side"].to_numpy(),
-        rows["price_micros"].to_numpy(), rows["size_fp_units"].to_numpy(),
-    )
-    for n, (step, at, seq, side, price, size) in enumerate(fields):
-        book, ladder = sizes[side], prices[side]
-        if size == 0:
-            if book.pop(price, None) is not None:
-                del ladder[bisect_left(ladder, price)]
-        else:
-            if price not in book:
-                insort(ladder, price)
-            book[price] = size
-        if step < 0 or (n + 1 < len(steps) and steps[n + 1] == step):
-            continue
-        bids, asks = prices["bid"], prices["ask"]
+BBO_FIELDS = ("bid_micros", "bid_size", "ask_micros", "ask_size", "bid_depth", "ask_depth")
+
+
+def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Best levels after each frame. Rows come sorted by book, piece and step, in batches of any length.
+
+    Only the ladders of the current book are held. Carried levels have a
+    negative step and give no output of their own.
+    """
+    group = frame = None
+    sizes: dict = {}
+    ladders: dict = {}
+
+    def top() -> tuple:
+        bids, asks = ladders["bid"], ladders["ask"]
         bid, ask = (bids[-1] if bids else None), (asks[0] if asks else None)
-        out.append((at, seq, bid, sizes["bid"].get(bid), ask, sizes["ask"].get(ask), len(bids), len(asks)))
-    result = pd.DataFrame(
-        out,
-        columns=["received_at_ns", "seq", "bid_micros", "bid_size", "ask_micros", "ask_size", "bid_depth", "ask_depth"],
-    ).astype({"bid_micros": "Int64", "bid_size": "Int64", "ask_micros": "Int64", "ask_size": "Int64"})
-    for name in (*MARKET, *EPOCH):
-        result[name] = rows[name].iloc[0]
-    return result
+        return (*group[:5], *frame[1:], bid, sizes["bid"].get(bid), ask, sizes["ask"].get(ask), len(bids), len(asks))
+
+    names = [*MARKET, *EPOCH, *ORDER, *BBO_FIELDS]
+
+    def packed(out: list) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=names).astype(dict.fromkeys(BBO_FIELDS, "Int64"))
+
+    for batch in batches:
+        out = []
+        columns = [batch[c].tolist() for c in (*MARKET, *EPOCH, "piece", "step", *ORDER, *LEVEL, "size_fp_units")]
+        for row in zip(*columns):
+            side, price, size = row[9:]
+            if frame is not None and (row[:6] != group or row[6:9] != frame) and frame[0] >= 0:
+                out.append(top())
+            if row[:6] != group:
+                group = row[:6]
+                sizes, ladders = {"bid": {}, "ask": {}}, {"bid": [], "ask": []}
+            frame = row[6:9]
+            if size == 0:
+                if sizes[side].pop(price, None) is not None:
+                    del ladders[side][bisect_left(ladders[side], price)]
+            else:
+                if price not in sizes[side]:
+                    insort(ladders[side], price)
+                sizes[side][price] = size
+        yield packed(out)
+    if frame is not None and frame[0] >= 0:
+        yield packed([top()])
 
 
 def best_levels(history: DataFrame, piece: int = REPLAY_FRAMES, width: int = TIME_CHUNK_NS) -> DataFrame:
@@ -260,18 +273,11 @@ def best_levels(history: DataFrame, piece: int = REPLAY_FRAMES, width: int = TIM
     )
     columns = [*MARKET, *EPOCH, *LEVEL, "piece", "step", *ORDER, "size_fp_units"]
     schema = ", ".join(
-        ["session_id string", "sid bigint", "market_ticker string", "epoch_ns bigint", "epoch_seq bigint"]
-        + [f"{c} bigint" for c in ("received_at_ns", "seq", "bid_micros", "bid_size", "ask_micros", "ask_size")]
-        + ["bid_depth bigint", "ask_depth bigint"]
-    )
-
-    def replay(rows: pd.DataFrame) -> pd.DataFrame:
-        names = [f.split(" ")[0] for f in schema.split(", ")]
-        return _replay(rows)[names]
-
-    return pieces.select(columns).unionByName(carried.select(columns)).groupBy(*MARKET, *EPOCH, "piece").applyInPandas(
-        replay, schema
+        ["session_id string", "sid bigint", "market_ticker string"] + [f"{c} bigint" for c in (*EPOCH, *ORDER, *BBO_FIELDS)]
     )
+    book = [*MARKET, *EPOCH, "piece"]
+    rows = pieces.select(columns).unionByName(carried.select(columns))
+    return rows.repartition(*book).sortWithinPartitions(*book, "step", *ORDER).mapInPandas(_replay, schema)
 
 
 def with_spread(bbo: DataFrame) -> DataFrame:

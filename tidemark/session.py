@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,21 +35,19 @@ def local_session(app: str = "tidemark", cores: str = "*", memory: str = "8g") -
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's own setting, else a scratch one for tests."""
+    """The shared folder the cluster names, else the one in use, else a scratch one for tests."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    target = configured or tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(target)
-    return target
+    return configured or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a stage boundary to the shared checkpoint folder and read it back.
+    """Write a stage boundary as a table in the shared checkpoint folder and read it back.
 
-    Used where a later stage reads the same intermediate more than once: the
-    files survive a lost executor, and the upstream plan is not run again.
+    Used where later stages read the same intermediate more than once. The files
+    survive a lost executor, the upstream plan is not run again, and each reader
+    fetches only the columns it needs.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
