@@ -92,8 +92,9 @@ def reparse_scaled(text: Column | str, digits: int) -> Column:
     c = as_col(text)
     shape = c.rlike(r"\A-?[0-9]+(\.[0-9]+)?\z")
     # Trailing zeros after the point carry no information.
-    tidy = F.regexp_replace(F.regexp_replace(c, r"(\.[0-9]*?)0+\z", "$1"), r"\.\z", "")
-    places = F.when(F.instr(tidy, ".") > 0, F.length(F.substring_index(tidy, ".", -1))).otherwise(0)
+    tidy = F.when(F.instr(c, ".") > 0, F.rtrim(F.rtrim(c, F.lit("0")), F.lit("."))).otherwise(c)
+    point = F.instr(tidy, ".")
+    places = F.when(point > 0, F.length(tidy) - point).otherwise(0)
     number = tidy.try_cast(f"decimal(38,{digits})")
     scaled = F.try_multiply(number, F.lit(10**digits).cast("decimal(19,0)")).try_cast("bigint")
     return F.when(shape & (places <= digits), scaled)

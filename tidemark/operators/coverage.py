@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clocks import DAY_MS, day_date, utc_day
 from tidemark.functions.fixed import int_div
-from tidemark.operators.ordered import Run, running, time_chunk
+from tidemark.operators.ordered import Run, as_of, running, time_chunk
+from tidemark.session import materialize
 
 OPEN_LIMIT_MS = 86_400_000
 HOUR_MS = 3_600_000
@@ -214,29 +215,47 @@ def rolling_headline(classified: DataFrame, now_ms: int, days: int = 7) -> DataF
     )
 
 
-def overlap_by_day(islands: DataFrame, windows: DataFrame) -> DataFrame:
-    """Overlap of each window ``(name, start_ms, end_ms)`` with the islands.
+def covered_until(islands: DataFrame, instants: DataFrame, at: str = "at_ms", chunk_ms: int = HOUR_MS) -> DataFrame:
+    """Total covered time before each distinct instant.
 
-    Both sides are cut at UTC midnights and joined on the day, an equality, in
-    place of a range join; islands do not overlap, so a day's pieces add up.
+    The islands' lengths are summed along time, and each instant looks up the
+    island that began last. Instants are made distinct first, so the rows of an
+    hour are bounded by the clock.
     """
-    left = split_by_day(islands.select("start_ms", "end_ms"), "start_ms", "end_ms")
-    right = split_by_day(
-        windows.select("name", F.col("start_ms").alias("w_start"), F.col("end_ms").alias("w_end")), "w_start", "w_end"
+    axis = F.lit(0)
+    length = F.col("end_ms") - F.col("start_ms")
+    summed = running(
+        islands.select("start_ms", "end_ms").withColumn("axis", axis), ["axis"], ["start_ms"],
+        time_chunk("start_ms", chunk_ms), {"before_ms": Run("sum", length)},
+    )
+    facts = summed.withColumn(at, F.col("start_ms"))
+    found = as_of(
+        instants.select(at).distinct().withColumn("axis", axis), facts, ["axis"], at, ["start_ms", "end_ms", "before_ms"],
+        width=chunk_ms, name="_island",
     )
-    return right.join(left, "day").where("start_ms < w_end AND end_ms > w_start").select(
-        "name", (F.least("end_ms", "w_end") - F.greatest("start_ms", "w_start")).alias("overlap_ms")
+    within = F.least(F.col(at), F.col("_island.end_ms")) - F.col("_island.start_ms")
+    return found.select(
+        at, F.when(F.col("_island").isNull(), F.lit(0)).otherwise(F.col("_island.before_ms") + within).alias("covered_ms")
     )
 
 
 def coverage_in_windows(islands: DataFrame, windows: DataFrame) -> DataFrame:
-    """Covered and lost time inside named windows, windows without any coverage included."""
-    covered = overlap_by_day(islands, windows).groupBy("name").agg(F.sum("overlap_ms").alias("covered_ms"))
+    """Covered and lost time inside named windows ``(name, start_ms, end_ms)``.
+
+    Cover inside a window is cover until its end minus cover until its start:
+    two look-ups per window, and no pairs of windows and islands.
+    """
+    instants = windows.select(F.explode(F.array("start_ms", "end_ms")).alias("at_ms"))
+    until = materialize(covered_until(materialize(islands.select("start_ms", "end_ms")), instants))
     length = F.col("end_ms") - F.col("start_ms")
-    part = F.coalesce("covered_ms", F.lit(0))
-    return windows.join(covered, "name", "left").select(
-        "name", length.alias("window_ms"), part.alias("covered_ms"), (length - part).alias("lost_ms"),
-        share_bp(part, length).alias("covered_bp"),
+    part = F.col("until_end") - F.col("until_start")
+    return (
+        windows.join(until.select(F.col("at_ms").alias("start_ms"), F.col("covered_ms").alias("until_start")), "start_ms")
+        .join(until.select(F.col("at_ms").alias("end_ms"), F.col("covered_ms").alias("until_end")), "end_ms")
+        .select(
+            "name", length.alias("window_ms"), part.alias("covered_ms"), (length - part).alias("lost_ms"),
+            share_bp(part, length).alias("covered_bp"),
+        )
     )
 
 
