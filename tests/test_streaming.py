@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import time
 
 from tidemark.operators import grids, reconcile, sequence
 from tidemark.sources import records, tables
@@ -72,3 +73,15 @@ def test_grids_and_registry_equal_batch(spark, folder):
     want = reconcile.market_registry(spark.read.schema(schema).json(f"{folder}/r")).where("learned_via = 'reconciliation'")
     assert {r.market_ticker for r in live.read_output(spark, f"{folder}/rs").collect()} == {r.market_ticker for r in want.collect()}
     assert spark.read.parquet(f"{folder}/rs/state/version=2").count() == len({r["market_ticker"] for r in seen})
+
+
+def test_idle_sessions_raise_an_alert(spark, folder):
+    drop(f"{folder}/in", 0, [{"received_at_ns": i, "session_id": s, "raw_message": "x"} for i in range(5) for s in "AB"])
+    alerts = live.idle_alerts(records.stream_frames(spark, f"{folder}/in", 1), 2_000)
+    query = alerts.writeStream.format("memory").queryName("alerts").outputMode("append").option(
+        "checkpointLocation", f"{folder}/cp").trigger(processingTime="1 second").start()
+    deadline = time.time() + 60
+    while time.time() < deadline and spark.table("alerts").count() < 2:
+        time.sleep(1)
+    query.stop()
+    assert sorted((r.session_id, r.last_received_ns) for r in spark.table("alerts").collect()) == [("A", 4), ("B", 4)]

@@ -63,7 +63,7 @@ def merge_intervals(intervals: DataFrame, chunk_ms: int = HOUR_MS) -> DataFrame:
     island needs no further pass. Equal starts are folded first, which bounds the
     rows of an hour by the clock and not by the number of sessions.
     """
-    folded = intervals.groupBy("start_ms").agg(F.max("end_ms").alias("end_ms")).withColumn("axis", F.lit(0))
+    folded = materialize(intervals.groupBy("start_ms").agg(F.max("end_ms").alias("end_ms"))).withColumn("axis", F.lit(0))
     reached = running(
         folded, ["axis"], ["start_ms"], time_chunk("start_ms", chunk_ms), {"prev_end_ms": Run("max", F.col("end_ms"))}
     )

@@ -275,7 +275,7 @@ def priced(s):
 
 
 @query("grid_asof", ("in_force",), """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, market_ticker, (cut % 99) * 10000 AS cut_micros, CASE WHEN fine = '0.0100' THEN CAST(10000 AS BIGINT) WHEN fine IS NOT NULL THEN 1000 END AS fine_step FROM in_force""")
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, market_ticker, CAST((cut % 99) * 10000 AS BIGINT) AS cut_micros, CASE WHEN fine = '0.0100' THEN CAST(10000 AS BIGINT) WHEN fine IS NOT NULL THEN 1000 END AS fine_step FROM in_force""")
 def _(s):
     out = priced(s)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "market_ticker", F.col("bands")[0]["end"].alias("cut_micros"), F.col("bands")[1]["step"].alias("fine_step"))
