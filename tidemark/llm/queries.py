@@ -34,9 +34,9 @@ component AS (SELECT id, min(goal) AS component_id FROM reach GROUP BY id)
 
 JACCARD_SQL = f"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array({ASCII_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+  SELECT doc_id, list_filter(regexp_split_to_array({ASCII_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
-  ELSE list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i+3], ' '))) END AS sh FROM w),
+  ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' '))) END AS sh FROM w),
 e AS (SELECT doc_id, len(sh) AS size, unnest(sh) AS g FROM s),
 l AS (SELECT x.doc_id AS a, y.doc_id AS b FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id
   GROUP BY x.doc_id, y.doc_id, x.size, y.size HAVING 100 * count(*) >= 85 * (x.size + y.size - count(*))),
