@@ -50,3 +50,35 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     from tidemark.llm.jaccard import jaccard_components
 
     return jaccard_components(read(spark, folder, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_best_fit_pack")
+def op3_best_fit_pack(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm.packing import best_fit_pack, token_pieces
+
+    found = token_pieces(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, capacity=4096)
+    return best_fit_pack(found, 4096)
+
+
+LINES_SQL = f"""
+WITH line AS (SELECT doc_id, i, ls[i] AS line FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM
+  (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+keyed AS (SELECT *, {ASCII_LOWER.format("regexp_replace(regexp_replace(line, '^[ \\x09-\\x0D]+', ''), '[ \\x09-\\x0D]+$', '')")} AS key FROM line),
+repeated AS (SELECT key, min(doc_id) AS keeper FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+judged AS (SELECT k.*, r.key IS NOT NULL AND k.doc_id > r.keeper AS gone FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+@query("op5_line_dedup", LINES_SQL)
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.lines import dedup_lines
+
+    found = dedup_lines(read(spark, folder, "documents"), least=10)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
