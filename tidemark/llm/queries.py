@@ -82,3 +82,22 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     found = dedup_lines(read(spark, folder, "documents"), least=10)
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.langid import fit, held_out, predict
+
+    docs = read(spark, folder, "documents").withColumn("held_out", held_out(F.col("doc_id")))
+    return predict(docs.select("doc_id", "held_out", "text"), fit(docs.where("not held_out"))).drop("text")
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from tidemark.llm.tokenfile import read_token_files, write_token_files
+
+    return read_token_files(*write_token_files(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
