@@ -101,3 +101,30 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     from tidemark.llm.tokenfile import read_token_files, write_token_files
 
     return read_token_files(*write_token_files(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
+
+
+EMBEDDING_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+  AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+n AS (SELECT vec_id AS id FROM v), {REACH},
+links AS (SELECT a, count(*) AS n_links FROM either GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN component ON id = vec_id LEFT JOIN links ON a = vec_id
+"""
+
+
+@query("op1_embedding_dedup", EMBEDDING_SQL)
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.embed import embedding_groups
+
+    return embedding_groups(read(spark, folder, "embeddings"), threshold=0.93)
+
+
+@query("op9_decontaminate")
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.decontaminate import mark_leaks
+
+    return mark_leaks(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark")).drop("text")

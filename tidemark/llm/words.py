@@ -76,12 +76,12 @@ def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int
     return mix(out + (end - begin).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end byte of every word, and the index of the first word of each text (one more entry than texts)."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end byte of every word (``breaks``: bytes that are in no word), and the index of the first word of each text (one more entry than texts)."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~breaks[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.concatenate([[True], ~inside[:-1]]) | edge[:-1]
