@@ -24,6 +24,7 @@ def local_session(app: str = "tidemark", cores: str = "*", memory: str = "8g") -
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.default.parallelism", "8")
     )
