@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import components, small
+from tidemark.llm.shared import components, small, smallest_reached
 from tidemark.session import materialize
 
 # Vectors of a label per cell, at least; cells of all labels together, at most (about: a few vectors per cell are learned from).
@@ -83,20 +83,6 @@ def _placed(part, rows, cell, guest):
     return pa.RecordBatch.from_arrays([*columns, pa.array(cell.astype(np.int64)), pa.array([guest] * len(rows), pa.bool_())], ["label", "dim", "node", "mult", "vec", "cell", "guest"])
 
 
-def _roots(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
-    """The smallest member of each one's group under the links a - b."""
-    root = np.arange(size)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _compare(key, table, threshold):
     guests, left, right = key[3].as_py(), key[4].as_py(), key[5].as_py()
     x = _vectors(table)
@@ -115,7 +101,7 @@ def _compare(key, table, threshold):
     a, b = np.nonzero(close)
     order = np.argsort(node, kind="stable")
     place = np.argsort(order)
-    root = order[_roots(place[rows[a]], place[columns[b]], len(x))[place]]
+    root = order[smallest_reached(place[rows[a]], place[columns[b]], len(x))[place]]
     told = (links > 0) | (root != np.arange(len(x)))
     return pa.table({"node": node[told], "links": links[told], "root": node[root[told]]})
 

@@ -16,10 +16,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import components, pieces, small
+from tidemark.llm.shared import components, pieces, small, smallest_reached
 from tidemark.llm.words import constants, mix, shingle_sets
 from tidemark.session import materialize
 
@@ -27,8 +29,11 @@ CELLS = 3
 PAIRS = list(combinations(range(CELLS), 2))
 # Parts beyond those the bound asks for: a set with no more parts than that with an empty pair of cells need not sign empty pairs.
 SPARE = 1
-# Members of a bucket that are compared with all later ones in one round after the first.
-LEADERS = 16
+# Documents, and shingles, that a block holds at most (one longer document is a block of its own).
+BLOCK_DOCS = 128
+BLOCK_SHINGLES = 1 << 20
+# Shingles whose incidence is multiplied at once.
+COLUMNS = 4096
 _SEEDS = constants(4, 4242)
 _ROWS = 500_000
 
@@ -116,22 +121,49 @@ def _sign(batches, width, percent):
 def _sets(batches, width):
     for batch in pieces(batches):
         sets = shingle_sets(batch.column("text"), width)
-        lengths = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-        values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(values))], ["doc_id", "shingles"])
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b), stored, whose sets are similar enough, by exact intersection."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    need = small(materialize(need))
-    sets = materialize(docs.join(need, "doc_id", "left_semi").mapInArrow(partial(_sets, width=width), "doc_id long, shingles array<long>"))
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    kept = pairs.join(left, "a").join(right, "b")
-    kept = kept.withColumn("both", both).where(F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("x") + F.size("y") - F.col("both")))
-    return kept.select("a", "b")
+        rank = pa.array([int(s[0] >> np.uint64(1)) if len(s) else 0 for s in sets], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), rank, pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "least", "shingles"])
+
+
+def _blocks(batches):
+    block, docs, held = TaskContext.get().partitionId() << 32, 0, 0
+    for batch in batches:
+        blocks = []
+        for size in pc.binary_length(batch.column("shingles")).to_pylist():
+            if docs and (docs == BLOCK_DOCS or held + size // 8 > BLOCK_SHINGLES):
+                block, docs, held = block + 1, 0, 0
+            docs, held = docs + 1, held + size // 8
+            blocks.append(block)
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), batch.column("doc_id"), batch.column("shingles")], ["block", "doc_id", "shingles"])
+
+
+def _compare(key, table, percent):
+    """Links within a block or between two: each linked document with the smallest one it reaches here."""
+    sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+    docs, block = table.column("doc_id").to_numpy(), table.column("block").to_numpy()
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    owner, column = owner[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    column = np.cumsum(np.concatenate([[0], column[1:] != column[:-1]])) if len(column) else column
+    first, second = key[0].as_py(), key[1].as_py()
+    rows, others = np.flatnonzero(block == first), np.flatnonzero(block == second)
+    common = np.zeros((len(rows), len(others)), np.float32)
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        low, high = np.searchsorted(column, [begin, begin + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[low:high], column[low:high] - begin] = 1
+        common += held[rows] @ held[others].T
+    union = size[rows][:, None] + size[others][None] - common
+    a, b = np.nonzero((100 * common >= percent * union) & (docs[rows][:, None] != docs[others][None]))
+    rank = np.argsort(np.argsort(docs, kind="stable"), kind="stable")
+    order = np.argsort(docs, kind="stable")
+    root = order[smallest_reached(rank[rows[a]], rank[others[b]], len(docs))[rank]]
+    told = root != np.arange(len(docs))
+    return pa.table({"a": docs[told], "b": docs[root[told]]})
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -140,13 +172,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     Two documents link when 100 * intersection >= percent * union of their
     ``width``-word shingle sets; component_id is the smallest doc_id reachable by links,
     class_id the smallest doc_id with an equal set. Texts that are null or without words have
-    n_shingles 0 and link with nothing. A repeated row is one document; a null doc_id is kept
+    n_shingles 0 and link with nothing. Rows that repeat a doc_id are one document with several sets; a null doc_id is kept
     and links with nothing. An empty table gives no rows.
 
-    Copies are one class before any signing. A bucket of documents that share a
-    signature is compared with its first member, then, as long as it spans several
-    components, with its next members, until every pair of different components has been
-    compared; so no pair is lost and no bucket is expanded into all its pairs.
+    Copies are one class before any signing. Documents that share a signature with another one are put
+    into blocks of bounded size, similar ones side by side; every two blocks that hold documents of one
+    bucket are compared as a whole, by products of their incidence matrices. A task
+    holds two blocks and returns a link per document at most, so no pair is lost and no bucket is expanded into pairs.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     digests = materialize(docs.mapInArrow(partial(_digests, width=width), "doc_id long, n_shingles long, low long, high long"))
@@ -163,31 +195,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     shared = signs.withColumn("least", F.min("doc_id").over(bucket)).withColumn("most", F.max("doc_id").over(bucket)).where("least < most").select("sign", "doc_id")
     shared = shared.join(moved, "doc_id", "left").select("sign", F.coalesce("class_id", "doc_id").alias("doc_id"))
     shared = materialize(shared.distinct())
-    sizes = of.where("doc_id = class_id").select("doc_id", "n_shingles").distinct()
-    links, leaders = None, 1
-    while True:
-        rank = F.row_number().over(Window.partitionBy("sign").orderBy("doc_id"))
-        ranked = shared.withColumn("rank", rank)
-        if links is None:
-            ranked = ranked.withColumn("component", F.col("doc_id"))
-        else:
-            ranked = ranked.join(small(materialize(components(links))).withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            ranked = ranked.withColumn("component", F.coalesce("component", "doc_id"))
-        spans = ranked.groupBy("sign").agg(F.min("component").alias("from"), F.max("component").alias("to")).where("from < to").select("sign")
-        active = materialize(ranked.join(spans, "sign", "left_semi"))
-        if active.isEmpty():
-            break
-        lead = active.where(F.col("rank") <= leaders).select("sign", F.col("doc_id").alias("a"), F.col("component").alias("first"))
-        pairs = active.join(lead, "sign").where("doc_id > a and component <> first").select("a", F.col("doc_id").alias("b")).distinct()
-        pairs = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na")), "a").join(sizes.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb")), "b")
-        pairs = materialize(pairs.where(F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")).select("a", "b"))
-        found = _verified(pairs, docs, width, percent)
-        links = materialize(found if links is None else links.unionByName(found))
-        shared = active.where(F.col("rank") > leaders).select("sign", "doc_id")
-        leaders = LEADERS
-    out = members
-    if links is not None:
-        out = members.join(components(links).withColumnRenamed("node", "class_id"), "class_id", "left")
-    else:
-        out = out.withColumn("component", F.lit(None).cast("long"))
+    need = small(materialize(shared.select("doc_id").distinct()))
+    sets = docs.join(need, "doc_id", "left_semi").mapInArrow(partial(_sets, width=width), "doc_id long, least long, shingles binary")
+    # Sets with the same smallest hash lie side by side, so most candidates share a block.
+    blocks = sets.repartitionByRange("least", "doc_id").sortWithinPartitions("least", "doc_id").mapInArrow(_blocks, "block long, doc_id long, shingles binary")
+    blocks = materialize(blocks)
+    seen = shared.join(blocks.select("doc_id", "block"), "doc_id").groupBy("sign").agg(F.collect_set("block").alias("blocks"))
+    seen = seen.select(F.array_sort("blocks").alias("blocks")).distinct()
+    tasks = seen.select("blocks", F.explode("blocks").alias("first")).select("first", F.explode(F.filter("blocks", lambda b: b >= F.col("first"))).alias("second")).distinct()
+    held = tasks.select("first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block")).join(blocks, "block")
+    links = materialize(held.groupBy("first", "second").applyInArrow(partial(_compare, percent=percent), "a long, b long"))
+    out = members.join(components(links).withColumnRenamed("node", "class_id"), "class_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")

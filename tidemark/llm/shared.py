@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -68,3 +69,17 @@ def components(edges: DataFrame) -> DataFrame:
 def _mark(flat: DataFrame) -> tuple:
     total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
     return tuple(flat.agg(F.count("*"), total).first())
+
+
+def smallest_reached(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """The smallest of ``size`` numbers that each one reaches by the links a - b of one task."""
+    root = np.arange(size)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
