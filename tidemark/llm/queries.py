@@ -128,3 +128,25 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     from tidemark.llm.decontaminate import mark_leaks
 
     return mark_leaks(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark")).drop("text")
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.secrets import digest, find_secrets
+
+    found = find_secrets(read(spark, folder, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(digest(F.col("base")), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
+
+
+@query("op4_surrogates")
+def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.privacy import replace_private
+
+    return replace_private(read(spark, folder, "documents").select("doc_id", "text"), key="tidemark")
