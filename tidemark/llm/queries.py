@@ -150,3 +150,28 @@ def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     from tidemark.llm.privacy import replace_private
 
     return replace_private(read(spark, folder, "documents").select("doc_id", "text"), key="tidemark")
+
+
+REPEATS_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, x, h[2 * x + 1 : 2 * x + 100] AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS x FROM d WHERE n >= 50)),
+f AS (SELECT md5(s) AS k, min(doc_id) AS least FROM w GROUP BY 1),
+hit AS (SELECT w.doc_id, x FROM w JOIN f ON md5(w.s) = f.k WHERE w.doc_id > f.least),
+edge AS (SELECT doc_id, x, CASE WHEN x <= lag(x) OVER o + 50 THEN 0 ELSE 1 END AS fresh FROM hit WINDOW o AS (PARTITION BY doc_id ORDER BY x)),
+island AS (SELECT doc_id, min(x) AS a, max(x) + 50 AS e FROM (SELECT doc_id, x, sum(fresh) OVER (PARTITION BY doc_id ORDER BY x) AS g FROM edge) GROUP BY doc_id, g),
+gap AS (SELECT doc_id, e AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM island UNION ALL SELECT doc_id, 0, min(a) FROM island GROUP BY doc_id),
+total AS (SELECT doc_id, sum(e - a) AS gone, count(*) AS spans FROM island GROUP BY doc_id),
+kept AS (SELECT g.doc_id, string_agg(h[2 * a + 1 : 2 * coalesce(z, n)], '' ORDER BY a) AS k FROM gap g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN total ON total.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
+
+
+@query("op7_repeated_bytes", REPEATS_SQL)
+def op7_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.repeats import remove_repeats
+
+    return remove_repeats(read(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
