@@ -100,7 +100,10 @@ def proposed(entities: DataFrame, key: str, attempt: int) -> DataFrame:
         return ", ".join(f"substr({stop}, 1 + {draw('own', str(2 * n), f'length({stop})')}, 1), substr({vowel}, 1 + {draw('own', str(2 * n + 1), '5')}, 1)" for n in range(4))
 
     name = f"concat(substr(entity, 1, 2), if(entity rlike '[а-яё]', concat({syllables(russian_stops, russian_vowels)}), concat({syllables(stops, vowels)})))"
-    made = f"case kind when 'email' then {email} when 'ip' then {ip} when 'name' then {name} else {reshaped('entity', 'own')} end"
+    # A number of more than ten digits keeps its country's.
+    country = "greatest(0, length(entity) - 10)"
+    phone = f"concat(substr(entity, 1, {country}), substr({reshaped('entity', 'own')}, 1 + {country}))"
+    made = f"case kind when 'email' then {email} when 'ip' then {ip} when 'phone' then {phone} when 'name' then {name} else {reshaped('entity', 'own')} end"
     return data.select("kind", "entity", F.expr(made).alias("surrogate"))
 
 
