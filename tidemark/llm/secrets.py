@@ -87,7 +87,8 @@ def random_tokens(tokens: DataFrame, rate: float = RATE) -> DataFrame:
     upto = Window.partitionBy("class").orderBy("step")
     whole = Window.partitionBy("class")
     tally = tally.select("class", "step", F.sum("found").over(upto).alias("found"), F.sum("plain").over(upto).alias("plain"), F.sum("found").over(whole).alias("all_found"), F.sum("plain").over(whole).alias("all_plain"))
-    false = (F.col("plain") + 1) / (F.col("all_plain") + 100) * F.col("all_found") / F.greatest("found", F.lit(1))
+    # Half a pass in a hundred words stands for what a small table cannot show.
+    false = (F.col("plain") + 0.5) / (F.col("all_plain") + 100) * F.col("all_found") / F.greatest("found", F.lit(1))
     limits = tally.where((F.col("step") <= STEPS) & (false <= rate + 1e-12)).groupBy("class").agg(F.max("step").alias("limit"))
     # A row per length class.
     return tested.join(F.broadcast(limits), "class").where("candidate and step <= limit").select(*tokens.columns)
