@@ -23,11 +23,14 @@ SPAN = 50
 GRAM = 16
 # Windows that one run holds at most.
 RUN = 64
-# An anchor with more runs than that is refined: its windows are also told apart by their next smallest hashes.
-HOT = 200
+# An anchor is refined, its windows then being told apart by their DEPTH smallest hashes, where it has over HOT runs
+# (before they are dealt out) or over DISTINCT different cut-outs (in the task that has them).
+HOT = 20_000
+DISTINCT = 200
 DEPTH = 4
-# Bytes whose suffix arrays are built at once.
+# Bytes whose suffix arrays are built at once, and bytes of cut-outs that a task gathers for that.
 BATCH = 1 << 20
+GATHERED = 4 << 20
 _FACTOR = constants(4, 1717)
 
 
@@ -90,7 +93,7 @@ def _cut(batches):
                 if not often:
                     rows.append((anchor, doc, at, length, data[at : at + length + SPAN - 1]))
                 else:
-                    rows.extend((key, doc, at + b, n, data[at + b : at + b + n + SPAN - 1]) for key, b, n in _refined(anchor, data[at : at + length + SPAN - 1], length))
+                    rows.extend((key, doc, at + b, n, data[at + b : at + b + n + SPAN - 1]) for key, b, n in _refined(data[at : at + length + SPAN - 1], length))
             if len(rows) > 20_000:
                 yield _cut_rows(rows)
                 rows = []
@@ -102,7 +105,7 @@ def _cut_rows(rows):
     return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["anchor", "doc_id", "at", "length", "bytes"])
 
 
-def _refined(anchor: int, data: bytes, length: int):
+def _refined(data: bytes, length: int):
     """The run in parts whose windows share their DEPTH smallest hashes, each with a key of these."""
     hashes = gram_hashes(np.frombuffer(data, np.uint8))
     view = np.lib.stride_tricks.sliding_window_view(hashes, SPAN - GRAM + 1)[:length]
@@ -162,47 +165,75 @@ def repeated_windows(groups: list[list[tuple[bytes, int, int]]]) -> list[list[li
     return result
 
 
+class Groups:
+    """Cut-outs in order of anchor, bytes and document: per anchor the distinct ones and where the first document of each has them."""
+
+    def __init__(self):
+        self.pending: list[tuple[list, list]] = []
+        self.held = 0
+        self.key, self.last = None, None
+        self.spans: list[tuple] = []
+
+    def add(self, key, doc, at, length, content):
+        if key != self.key:
+            self.key, self.last = key, None
+            self.pending.append(([], []))
+        contents, places = self.pending[-1]
+        if content != self.last:
+            self.last = content
+            contents.append((content, length, doc))
+            places.append((doc, [at]))
+            self.held += len(content)
+        elif doc == places[-1][0]:
+            places[-1][1].append(at)
+        else:
+            self.spans.append((doc, at, at + length + SPAN - 1))
+
+    def close(self):
+        """Turn what is gathered into spans."""
+        groups = [g for g in self.pending if len(g[0]) > 1]
+        self.pending, self.held, self.key = [], 0, None
+        parts = []
+        for contents, places in groups:
+            if len(contents) > DISTINCT:
+                for (content, length, _), (doc, spots) in zip(contents, places):
+                    for key, begin, n in _refined(content, length):
+                        parts.extend((key, content[begin : begin + n + SPAN - 1], doc, at + begin, n) for at in spots)
+        finer = Groups()
+        for key, content, doc, at, n in sorted(parts):
+            finer.add(key, doc, at, n, content)
+        self.spans += finer.spans
+        self.spans += compared([g for g in groups if len(g[0]) <= DISTINCT] + finer.pending)
+
+
+def compared(work: list[tuple[list, list]]) -> list[tuple]:
+    """(document, begin, end) of all repeated windows of the gathered groups, groups of a size together."""
+    work = sorted((g for g in work if len(g[0]) > 1), key=lambda g: sum(len(c[0]) for c in g[0]))
+    found = []
+    while work:
+        part, size = [], 0
+        while work and (not part or size < BATCH):
+            part.append(work.pop())
+            size += sum(len(c[0]) for c in part[-1][0])
+        for (_, places), spans in zip(part, repeated_windows([g[0] for g in part])):
+            for (doc, spots), own in zip(places, spans):
+                found.extend((doc, at + b, at + e + SPAN - 1) for at in spots for b, e in own)
+    return found
+
+
 def _match(batches):
     """Rows sorted by anchor, bytes and document: spans of each document that a smaller one holds."""
-    pending: list[tuple[list, list]] = []  # per anchor: distinct cut-outs, places of each one's first document
-    held = 0
-    anchor, last = None, None
-    out: list[tuple] = []
-
-    def flush():
-        nonlocal pending, held
-        work = sorted((g for g in pending if len(g[0]) > 1), key=lambda g: sum(len(c[0]) for c in g[0]))
-        while work:
-            part, size = [], 0
-            while work and (not part or size < BATCH // 4):
-                part.append(work.pop())
-                size += sum(len(c[0]) for c in part[-1][0])
-            for (_, places), spans in zip(part, repeated_windows([g[0] for g in part])):
-                for (doc, spots), own in zip(places, spans):
-                    out.extend((doc, at + b, at + e + SPAN - 1) for at in spots for b, e in own)
-        pending, held = [], 0
-
+    groups = Groups()
     for batch in batches:
         for key, doc, at, length, content in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc_id", "at", "length", "bytes"))):
-            if key != anchor:
-                if held > BATCH:
-                    flush()
-                anchor, last = key, None
-                pending.append(([], []))
-            if content != last:
-                last = content
-                pending[-1][0].append((content, length, doc))
-                pending[-1][1].append((doc, [at]))
-                held += len(content)
-            elif doc == pending[-1][1][-1][0]:
-                pending[-1][1][-1][1].append(at)
-            else:
-                out.append((doc, at, at + length + SPAN - 1))
-        if len(out) > 20_000:
-            yield _span_rows(out)
-            out = []
-    flush()
-    yield _span_rows(out)
+            if groups.held > GATHERED and key != groups.key:
+                groups.close()
+            groups.add(key, doc, at, length, content)
+        if len(groups.spans) > 20_000:
+            yield _span_rows(groups.spans)
+            groups.spans = []
+    groups.close()
+    yield _span_rows(groups.spans)
 
 
 def _span_rows(rows):
