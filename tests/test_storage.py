@@ -3,6 +3,7 @@
 import json
 import os
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators import audit, decode
@@ -118,3 +119,65 @@ def test_metrics_log_and_discovery(spark, folder):
     assert {r.ticker: r.status for r in merged.collect()} == {"a-1": "open", "B": None}
     seen = {r.market_ticker: (r.was_renamed, r.observed_ms, r.price_ranges_raw) for r in grids.observations_from_discovery(merged).collect()}
     assert seen == {"A-1": (True, 7, "[]"), "B": (False, 7, "")}
+
+
+def test_unreadable_files_fail_unless_they_are_listed(spark, folder):
+    tables.fan_out(decode.route(frames(spark)), folder, 0)
+    (whole,) = [r.path for r in health.list_files(spark, f"{folder}/orderbook_delta/date=2026-11-02", "*.parquet").select("path").collect()]
+    name = whole.removeprefix("file:")
+    with open(name, "rb") as f:
+        data = f.read()
+    with open(name, "wb") as f:
+        f.write(data[: len(data) // 2])
+    crc = os.path.join(os.path.dirname(name), f".{os.path.basename(name)}.crc")
+    if os.path.exists(crc):
+        os.unlink(crc)
+    try:
+        tables.read_channel(spark, folder, "orderbook_delta").agg(F.sum("seq")).collect()
+        raise AssertionError("a cut file was read")
+    except PySparkException:
+        pass
+    assert health.quarantined(spark, folder) == []
+    health.store_manifest(spark, folder)
+    bad = health.quarantined(spark, folder)
+    assert [os.path.basename(p) for p in bad] == [os.path.basename(name)]
+    assert tables.read_all(spark, folder)["orderbook_delta"].count() == 1
+
+
+def test_accounting_is_kept_and_a_loss_is_an_error(spark, folder, monkeypatch):
+    tables.fan_out(decode.route(frames(spark)), folder, 4)
+    rows = {r.channel: (r.batch_id, r.expected, r.stored) for r in tables.read_accounting(spark, folder).collect()}
+    assert rows == {"orderbook_snapshot": (4, 2, 2), "orderbook_delta": (4, 2, 2), "unparsed": (4, 1, 1)}
+    write = tables.write_channel
+    monkeypatch.setattr(tables, "write_channel", lambda df, *a, **b: write(df.limit(1), *a, **b))
+    try:
+        tables.fan_out(decode.route(frames(spark)), folder, 5)
+        raise AssertionError("lost rows went unseen")
+    except RuntimeError as error:
+        assert "lost rows" in str(error)
+
+
+def test_grid_changes_remember_earlier_batches_and_replace_themselves(spark, folder):
+    def seen(*rows):
+        return spark.createDataFrame([("M", "discovery", at, text) for at, text in rows], "market_ticker string, source string, observed_ms bigint, price_ranges_raw string")
+
+    for _ in range(2):
+        tables.write_grid_changes(seen((1, "[]"), (2, "[]")), f"{folder}/grids", 0)
+    tables.write_grid_changes(seen((3, "[]"), (4, '[{"start":"0.1","end":"0.2","step":"0.1"}]')), f"{folder}/grids", 1)
+    assert sorted((r.batch_id, r.observed_ms) for r in spark.read.parquet(f"{folder}/grids").collect()) == [(0, 1), (1, 4)]
+
+
+def test_refused_records_are_listed(spark, folder):
+    with open(f"{folder}/sessions.json", "w") as f:
+        f.write('{"session_id": "A", "started_at": "2026-11-01T00:00:00Z"}\n{oops\n{"session_id": ""}\n\n')
+    assert [r.session_id for r in records.read_sessions(spark, f"{folder}/sessions.json").collect()] == ["A"]
+    assert sorted(r.line for r in records.refused_sessions(spark, f"{folder}/sessions.json").collect()) == ['{"session_id": ""}', "{oops"]
+
+
+def test_latest_values_of_a_tie_come_from_one_row(spark):
+    from tidemark.operators.board import market_board
+
+    rows = [("M", 5, None, 1, 2, 3, 4, 5), ("M", 5, None, 9, 1, 2, 3, 4), ("M", 4, None, 50, 50, 50, 50, 50)]
+    columns = "market_ticker string, received_at_ns bigint, seq bigint, yes_bid_micros bigint, yes_ask_micros bigint, price_micros bigint, volume_fp_units bigint, open_interest_fp_units bigint"
+    row = market_board(spark.createDataFrame(rows, columns)).first()
+    assert (row.yes_bid_micros, row.yes_ask_micros, row.price_micros) == (9, 1, 2)

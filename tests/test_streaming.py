@@ -5,6 +5,8 @@ import os
 import random
 import time
 
+from pyspark.errors import AnalysisException
+
 from tidemark.operators import grids, reconcile, sequence
 from tidemark.sources import records, tables
 from tidemark.streaming import live
@@ -85,3 +87,13 @@ def test_idle_sessions_raise_an_alert(spark, folder):
         time.sleep(1)
     query.stop()
     assert sorted((r.session_id, r.last_received_ns) for r in spark.table("alerts").collect()) == [("A", 4), ("B", 4)]
+
+
+def test_missing_state_is_an_error_after_the_first_batch(spark, folder):
+    rows = spark.createDataFrame([("S", 1, 10, 1, False)], live.MARK)
+    live.track_batch(rows, folder, 0, 1000)
+    try:
+        live.track_batch(rows, folder, 7, 1000)
+        raise AssertionError("batch 7 started from nothing")
+    except AnalysisException:
+        pass

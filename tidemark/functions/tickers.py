@@ -10,7 +10,7 @@ from tidemark.functions.fixed import as_col, complement
 MAX_TICKER_BYTES = 128
 
 # Month names inside event tickers, in calendar order.
-MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 
 # Server error codes that end a subscription, and the one that means "too slow".
 TERMINAL_CODES = (10, 17, 25)
@@ -64,10 +64,9 @@ def event_date(text: Column | str) -> Column:
     event = event_ticker(text)
     pattern = r"-([0-9]{2})([A-Z]{3})([0-9]{2})"
     year, name, day = (F.regexp_extract(event, pattern, i) for i in (1, 2, 3))
-    at = F.instr(F.lit(MONTHS), name)
-    month = F.lpad((F.floor((at + 2) / 3)).cast("string"), 2, "0")
-    found = (name != "") & (at % 3 == 1)
-    return F.when(found, F.concat(F.lit("20"), year, F.lit("-"), month, F.lit("-"), day).try_cast("date"))
+    at = F.array_position(F.array(*map(F.lit, MONTHS)), name)
+    month = F.lpad(at.cast("string"), 2, "0")
+    return F.when(at > 0, F.concat(F.lit("20"), year, F.lit("-"), month, F.lit("-"), day).try_cast("date"))
 
 
 def opposite_side(side: Column | str) -> Column:

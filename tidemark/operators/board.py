@@ -17,9 +17,10 @@ BUCKETS = (60, 120, 300, 600, 900, 1800, 3600)
 CHART_HOURS = (6, 24, 168)
 
 
-def latest(column: str, order: Sequence[str]) -> Column:
-    """Last non-NULL value. The order ends in a unique column, so that ties cannot change the answer."""
-    tagged = F.when(F.col(column).isNotNull(), F.struct(*order, F.col(column).alias("_value")))
+def latest(column: str, order: Sequence[str], row: Sequence[str] = ()) -> Column:
+    """Last non-NULL value. Where the order leaves a tie, all columns of ``row`` decide together, so values of different rows do not mix."""
+    tie = [F.col(c).alias(f"_tie_{c}") for c in row]
+    tagged = F.when(F.col(column).isNotNull(), F.struct(*order, *tie, F.col(column).alias("_value")))
     return F.max(tagged)["_value"].alias(column)
 
 
@@ -33,7 +34,7 @@ def market_board(
     """
     return (
         ticker.groupBy("market_ticker")
-        .agg(*[latest(c, order) for c in columns], F.max("received_at_ns").alias("_seen"))
+        .agg(*[latest(c, order, columns) for c in columns], F.max("received_at_ns").alias("_seen"))
         .withColumn("updated_ms", received_ms("_seen"))
         .drop("_seen")
     )
@@ -44,7 +45,7 @@ def settlements(lifecycle: DataFrame, order: Sequence[str] = ("received_at_ns",
     return (
         lifecycle.where("event_type = 'determined'")
         .groupBy("market_ticker")
-        .agg(latest("result", order), latest("settlement_value_micros", order))
+        .agg(*[latest(c, order, ("result", "settlement_value_micros")) for c in ("result", "settlement_value_micros")])
     )
 
 
@@ -103,7 +104,7 @@ def bucketed(
 ) -> DataFrame:
     """Last bid, ask and price per market and time bucket; empty buckets give no row."""
     start = (floor_div(received_ms("received_at_ns"), bucket_s * 1000) * bucket_s).alias("bucket_start_s")
-    return ticker.groupBy(*keys, start).agg(*[latest(c, order) for c in LATEST[:3]])
+    return ticker.groupBy(*keys, start).agg(*[latest(c, order, LATEST[:3]) for c in LATEST[:3]])
 
 
 def market_history(

@@ -22,8 +22,9 @@ def _date(now_ms: int, days_back: int = 0) -> str:
 def market_board(spark: SparkSession, root: str, now_ms: int) -> DataFrame:
     """Board of the last days' markets with settlements, in display order."""
     today = _date(now_ms)
-    ticks = read_channel(spark, root, "ticker", _date(now_ms, BOARD_DAYS), today)
-    life = read_channel(spark, root, "market_lifecycle", _date(now_ms, SETTLEMENT_DAYS), today)
+    bad = health.quarantined(spark, root)
+    ticks = read_channel(spark, root, "ticker", _date(now_ms, BOARD_DAYS), today, bad)
+    life = read_channel(spark, root, "market_lifecycle", _date(now_ms, SETTLEMENT_DAYS), today, bad)
     latest = board.market_board(ticks)
     return board.board_order(board.board_with_settlement(latest, board.settlements_of(life, latest)))
 
@@ -33,7 +34,7 @@ def market_history(spark: SparkSession, root: str, market: str, hours: int, now_
     if hours not in board.CHART_HOURS:
         raise ValueError(f"hours must be one of {board.CHART_HOURS}")
     since = _date(now_ms - hours * 3_600_000)
-    return board.market_history(read_channel(spark, root, "ticker", since, _date(now_ms)), market, hours, now_ms)
+    return board.market_history(read_channel(spark, root, "ticker", since, _date(now_ms), health.quarantined(spark, root)), market, hours, now_ms)
 
 
 def integrity(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:

@@ -35,26 +35,17 @@ EXTRAS = {
 
 CHANNELS = tuple(EXTRAS)
 
+
+
+def _duals(columns: str) -> list[tuple[str, str, int]]:
+    """Each ``*_raw`` column with the integer that follows it, and the scale its unit means."""
+    names = [c.split()[0] for c in columns.split(", ")]
+    scale = {"micros": PX_DIGITS, "units": QTY_DIGITS}
+    return [(raw, parsed, scale[parsed.rsplit("_", 1)[1]]) for raw, parsed in zip(names, names[1:]) if raw.endswith("_raw") and parsed.rsplit("_", 1)[1] in scale]
+
+
 # Raw and parsed column pairs with their scale, per channel.
-DUALS = {
-    "orderbook_snapshot": [("price_raw", "price_micros", PX_DIGITS), ("size_raw", "size_fp_units", QTY_DIGITS)],
-    "orderbook_delta": [("price_raw", "price_micros", PX_DIGITS), ("delta_raw", "delta_fp_units", QTY_DIGITS)],
-    "ticker": [
-        ("price_raw", "price_micros", PX_DIGITS),
-        ("yes_bid_raw", "yes_bid_micros", PX_DIGITS),
-        ("yes_ask_raw", "yes_ask_micros", PX_DIGITS),
-        ("yes_bid_size_raw", "yes_bid_size_fp_units", QTY_DIGITS),
-        ("yes_ask_size_raw", "yes_ask_size_fp_units", QTY_DIGITS),
-        ("volume_raw", "volume_fp_units", QTY_DIGITS),
-        ("open_interest_raw", "open_interest_fp_units", QTY_DIGITS),
-    ],
-    "trade": [
-        ("yes_price_raw", "yes_price_micros", PX_DIGITS),
-        ("no_price_raw", "no_price_micros", PX_DIGITS),
-        ("count_raw", "count_fp_units", QTY_DIGITS),
-    ],
-    "market_lifecycle": [("settlement_value_raw", "settlement_value_micros", PX_DIGITS)],
-}
+DUALS = {channel: pairs for channel, columns in EXTRAS.items() if (pairs := _duals(columns))}
 
 FRAMES = "received_at_ns bigint, session_id string, raw_message string"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,9 +37,17 @@ def local_session(app: str = "tidemark", cores: str = "*", memory: str = "8g") -
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names, else the one in use, else a scratch one for tests."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp")
+    """The shared folder the cluster names, else the one in use; a scratch one only on a single machine.
+
+    On a cluster executors would each write to their own disk, so a missing setting is an error there.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared:
+        return shared
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+    return tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp")
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 # A Parquet file starts and ends with these bytes and cannot be shorter.
 MAGIC = b"PAR1"
 SHORTEST = 12
+MANIFEST = "_unfinished"
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -56,6 +58,21 @@ def file_health(spark: SparkSession, root: str) -> DataFrame:
     return files.mapInPandas(probe, "path string, bytes bigint, channel string, defect string")
 
 
+def store_manifest(spark: SparkSession, root: str) -> None:
+    """Probe all files once and keep the list of unfinished ones beside the tables, for every later read."""
+    quarantine_list(spark, root).coalesce(1).write.mode("overwrite").parquet(f"{root}/{MANIFEST}")
+
+
+def quarantined(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the stored manifest (a row per unfinished file); none if it was never stored."""
+    try:
+        return sorted(r.path for r in spark.read.parquet(f"{root}/{MANIFEST}").select("path").collect())
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 def quarantine_list(spark: SparkSession, root: str) -> DataFrame:
     """Unfinished files to be kept out of reads, with defect and size; nothing is deleted or moved."""
     return file_health(spark, root).where("defect IS NOT NULL").select("path", "defect", "bytes")

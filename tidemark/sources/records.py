@@ -29,9 +29,20 @@ def with_times(sessions: DataFrame) -> DataFrame:
 
 
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
-    """Session records, one JSON document per line or file; records without an id are left out."""
-    rows = spark.read.schema(ddl(SESSIONS)).option("mode", "DROPMALFORMED").json(path)
-    return with_times(rows.where(F.coalesce("session_id", F.lit("")) != ""))
+    """Session records, one JSON document per line; lines without an id or of another form are in ``refused_sessions``."""
+    return with_times(_session_lines(spark, path).where("malformed IS NULL").drop("malformed"))
+
+
+def refused_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """(line) of every record that ``read_sessions`` leaves out."""
+    return _session_lines(spark, path).where("malformed IS NOT NULL").select(F.col("malformed").alias("line"))
+
+
+def _session_lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    parsed = lines.select("value", F.from_json("value", ddl(SESSIONS).add("_broken", "string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}).alias("r"))
+    sound = F.col("r._broken").isNull() & (F.coalesce("r.session_id", F.lit("")) != "")
+    return parsed.select(*[F.col(f"r.{n}") for n in ddl(SESSIONS).fieldNames()], F.when(~sound, F.col("value")).alias("malformed"))
 
 
 def append_sessions(sessions: DataFrame, path: str) -> None:
@@ -41,9 +52,20 @@ def append_sessions(sessions: DataFrame, path: str) -> None:
 
 
 def read_legacy_sidecars(spark: SparkSession, root: str) -> DataFrame:
-    """``_session-*.json`` files beside the data. Spark's readers skip names that start with ``_``.
+    """Records of the ``_session-*.json`` files beside the data; files of another form are in ``refused_sidecars``."""
+    rows = _sidecars(spark, root).where("text IS NOT NULL").select(F.from_json("text", ddl(SESSIONS)).alias("r")).select("r.*")
+    return with_times(rows.where(F.coalesce("session_id", F.lit("")) != ""))
 
-    Only the paths are listed on the driver; executors read the files.
+
+def refused_sidecars(spark: SparkSession, root: str) -> DataFrame:
+    """(path) of every sidecar whose content is no JSON document."""
+    return _sidecars(spark, root).where("text IS NULL").select("path")
+
+
+def _sidecars(spark: SparkSession, root: str) -> DataFrame:
+    """Path and text of each sidecar, NULL for content that is malformed. Spark's readers skip names that start with ``_``.
+
+    Only the paths are listed on the driver; executors read the files, and one that cannot be read fails its task.
     """
     from pyarrow import fs
 
@@ -55,19 +77,18 @@ def read_legacy_sidecars(spark: SparkSession, root: str) -> DataFrame:
         for batch in batches:
             out = []
             for path in batch["path"]:
+                filesystem, name = fs.FileSystem.from_uri(path)
+                with filesystem.open_input_file(name) as handle:
+                    content = handle.read()
                 try:
-                    filesystem, name = fs.FileSystem.from_uri(path)
-                    with filesystem.open_input_file(name) as handle:
-                        text = handle.read().decode("utf-8")
+                    text = content.decode("utf-8")
                     json.loads(text)
-                except (OSError, ValueError):
-                    continue
+                except ValueError:
+                    text = None
                 out.append(text)
-            yield pd.DataFrame({"text": pd.Series(out, dtype=object)})
+            yield pd.DataFrame({"path": batch["path"], "text": pd.Series(out, dtype=object)})
 
-    texts = spark.createDataFrame(paths, "path string").mapInPandas(read, "text string")
-    rows = texts.select(F.from_json("text", ddl(SESSIONS)).alias("r")).select("r.*")
-    return with_times(rows.where(F.coalesce("session_id", F.lit("")) != ""))
+    return spark.createDataFrame(paths, "path string").mapInPandas(read, "path string, text string")
 
 
 def check_sessions(sessions: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,6 +15,8 @@ from tidemark.functions.clocks import partition_date
 from tidemark.operators import decode
 from tidemark.operators.grids import grid_changes, grid_verdicts
 from tidemark.schemas import CHANNELS, channel_schema
+from tidemark.session import materialize
+from tidemark.sources.health import quarantined
 
 # Upper bounds of a stored file.
 ROLL_ROWS = 2_000_000
@@ -20,19 +24,29 @@ ROLL_PERIOD = "5 minutes"
 
 
 def read_channel(
-    spark: SparkSession, root: str, channel: str, since: str | None = None, until: str | None = None
+    spark: SparkSession,
+    root: str,
+    channel: str,
+    since: str | None = None,
+    until: str | None = None,
+    quarantined: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of the UTC dates ``[since, until]``, both inclusive; a missing folder is an empty table.
 
-    The dates prune partitions. Files that cannot be read are skipped here and
-    listed by ``sources.health``.
+    The dates prune partitions. Files in ``quarantined`` (paths as ``sources.health.quarantine_list``
+    gives them) are not opened; any other file that cannot be read fails the job, so no row goes missing unseen.
     """
     schema = channel_schema(channel).add("date", T.DateType()).add("batch_id", T.LongType())
-    reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
     try:
-        rows = reader.parquet(f"{root}/{channel}")
-    except AnalysisException:
+        rows = spark.read.schema(schema).parquet(f"{root}/{channel}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         rows = spark.createDataFrame([], schema)
+    else:
+        if quarantined:
+            names = {name for path in quarantined for name in (path, re.sub("^file:/+", "file:///", path))}
+            rows = rows.where(~F.col("_metadata.file_path").isin(*sorted(names)))
     if since is not None:
         rows = rows.where(F.col("date") >= F.lit(since).cast("date"))
     if until is not None:
@@ -46,8 +60,9 @@ def read_legacy_channel(spark: SparkSession, root: str, channel: str) -> DataFra
     Their partition date is the time of writing, so it is kept as it is and
     should be padded by a day before filtering on receive time.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    rows = spark.read.option("mergeSchema", "true").parquet(f"{root}/{channel}")
+    own = spark.newSession()  # the setting holds for this table only
+    own.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    rows = own.read.option("mergeSchema", "true").parquet(f"{root}/{channel}")
     wanted = channel_schema(channel)
     return rows.select(
         *[F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted],
@@ -60,8 +75,9 @@ def union_by_name(tables: list[DataFrame]) -> DataFrame:
 
 
 def read_all(spark: SparkSession, root: str, date: str | None = None) -> dict[str, DataFrame]:
-    """Every channel, for audits; one date or all of them."""
-    return {c: read_channel(spark, root, c, date, date) for c in CHANNELS}
+    """Every channel, for audits; one date or all of them, without the files of the stored manifest."""
+    bad = quarantined(spark, root)
+    return {c: read_channel(spark, root, c, date, date, bad) for c in CHANNELS}
 
 
 def read_sequence_columns(spark: SparkSession, root: str, date: str | None = None) -> list[DataFrame]:
@@ -85,10 +101,12 @@ def write_channel(rows: DataFrame, root: str, channel: str, batch_id: int, max_r
 
 
 def fan_out(routed: DataFrame, root: str, batch_id: int) -> dict[str, tuple[int, int]]:
-    """Write a mixed batch to all its channels; returns (rows expected, rows written) per channel.
+    """Write a mixed batch to all its channels; returns (rows expected, rows stored) per channel.
 
     The routed frames are written once, by channel, and every encoder reads its
     own part, so that nothing is parsed twice and nothing has to fit in memory.
+    What is stored is counted in the files. A difference is an error, and the counts of
+    each batch stay in ``_accounting``.
     """
     spark = routed.sparkSession
     staging = f"{root}/_staging/batch_id={batch_id}"
@@ -104,21 +122,40 @@ def fan_out(routed: DataFrame, root: str, batch_id: int) -> dict[str, tuple[int,
     for channel in CHANNELS:
         if not expected[channel]:
             continue
-        written = Observation(f"written-{channel}-{batch_id}")
-        rows = decode.decode_channel(staged, channel).observe(written, F.count(F.lit(1)).alias("rows"))
-        write_channel(rows, root, channel, batch_id)
-        result[channel] = (int(expected[channel]), int(written.get["rows"]))
+        write_channel(decode.decode_channel(staged, channel), root, channel, batch_id)
+        stored = spark.read.parquet(f"{root}/{channel}").where(F.col("batch_id") == batch_id).count()
+        result[channel] = (int(expected[channel]), stored)
+    facts = [(channel, *counts) for channel, counts in result.items()]
+    spark.createDataFrame(facts, "channel string, expected long, stored long").coalesce(1).write.mode("overwrite").parquet(
+        f"{root}/_accounting/batch_id={batch_id}"
+    )
+    if rows_lost(result):
+        raise RuntimeError(f"batch {batch_id} of {root} lost rows: {result}")
     return result
 
 
+def read_accounting(spark: SparkSession, root: str) -> DataFrame:
+    """(batch_id, channel, expected, stored) of every batch."""
+    return spark.read.parquet(f"{root}/_accounting").select("batch_id", "channel", "expected", "stored")
+
+
 def rows_lost(accounting: dict[str, tuple[int, int]]) -> int:
     """Expected minus written rows; anything but zero is a fault."""
     return sum(expected - written for expected, written in accounting.values())
 
 
-def write_grid_changes(observations: DataFrame, path: str) -> None:
-    """Store first observations and changes only."""
-    grid_changes(grid_verdicts(observations)).write.mode("append").parquet(path)
+def write_grid_changes(observations: DataFrame, path: str, batch_id: int) -> None:
+    """Store first observations and changes only, judged with what earlier batches stored; a repeated batch replaces itself."""
+    spark = observations.sparkSession
+    seen = observations.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    try:
+        earlier = spark.read.parquet(path).where(F.col("batch_id") < batch_id).select(*[c for c in seen.columns])
+        seen = materialize(earlier).withColumn("batch_id", F.col("batch_id").cast("bigint")).unionByName(seen)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    fresh = grid_changes(grid_verdicts(seen)).where(F.col("batch_id") == batch_id)
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
 def with_session_facts(rows: DataFrame, facts: dict[str, str]) -> DataFrame:

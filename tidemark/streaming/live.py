@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.clocks import received_ts
 from tidemark.operators import decode
@@ -33,9 +32,13 @@ def _start(frames: DataFrame, checkpoint: str, each: Callable[[DataFrame, int],
     return writer.start()
 
 
+def _ingest_batch(batch: DataFrame, root: str, batch_id: int) -> None:
+    fan_out(decode.route(batch), root, batch_id)  # counts what it stored, and fails if that is not all
+
+
 def ingest(frames: DataFrame, root: str, checkpoint: str, period: str | None = ROLL_PERIOD) -> StreamingQuery:
     """Decode a stream of raw frames into the channel tables; each micro-batch closes its files."""
-    return _start(frames, checkpoint, lambda batch, n: fan_out(decode.route(batch), root, n) and None, period)
+    return _start(frames, checkpoint, lambda batch, n: _ingest_batch(batch, root, n), period)
 
 
 def minute_metrics(frames: DataFrame, late: str = "2 minutes") -> DataFrame:
@@ -58,11 +61,10 @@ def rebuilt_sessions(frames: DataFrame, gap: str = "120 seconds", late: str = "2
 
 
 def _state(spark: SparkSession, folder: str, batch_id: int, schema: str) -> DataFrame:
-    """The state left by the batch before, empty at first."""
-    try:
-        return spark.read.schema(schema).parquet(f"{folder}/state/version={batch_id - 1}")
-    except AnalysisException:
+    """The state left by the batch before. Only the first batch starts empty: state that is missing later is an error."""
+    if batch_id == 0:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{folder}/state/version={batch_id - 1}")
 
 
 def _keep(df: DataFrame, folder: str, name: str, batch_id: int) -> None:

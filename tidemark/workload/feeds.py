@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import grid
 from tidemark.functions.clocks import received_ms
 from tidemark.operators import audit, board, decode, grids, metrics, reconcile
+from tidemark.schemas import CHANNELS
 from tidemark.workload.derive import NOW_MS
 from tidemark.workload.registry import query, step
 
@@ -131,6 +132,14 @@ def _(s):
 
 
 @query("channel_counts", ("wire",), f"""
+SELECT coalesce(channel, 'TOTAL') AS channel, CAST(sum(CASE WHEN kind = 'snapshot' THEN greatest(cents % 3 + user_id % 2, 1) ELSE 1 END) AS BIGINT) AS "rows"
+FROM (SELECT *, {CHANNEL_SQL} AS channel FROM wire) GROUP BY ROLLUP (channel)""")
+def _(s):
+    routed = decode.route(frames(s))
+    return audit.channel_counts({name: decode.decode_channel(routed, name) for name in CHANNELS if name != "price_ranges"})
+
+
+@query("non_lifecycle_counts", ("wire",), f"""
 SELECT coalesce(channel, 'TOTAL') AS channel, count(*) AS "rows" FROM (SELECT {CHANNEL_SQL} AS channel FROM wire WHERE kind NOT IN ('lifecycle', 'event')) GROUP BY ROLLUP (channel)""")
 def _(s):
     routed = decode.non_lifecycle(decode.route(frames(s)))
@@ -361,9 +370,9 @@ FROM bk_levels WHERE side = 'no'""")
 
 @query("convention_check", ("legs",), """
 SELECT market_ticker, count(*) AS levels, count(*) FILTER (WHERE a + b = 1000000) AS complementary, count(*) FILTER (WHERE a = b) AS identical,
-  CASE WHEN bool_and(coalesce(a = b, false)) THEN 'identical' WHEN bool_and(coalesce(a + b = 1000000, false)) THEN 'complementary' ELSE 'mixed' END AS verdict FROM (SELECT market_ticker, CASE WHEN level_index % 1000 <> 7 THEN a END AS a, b FROM legs) GROUP BY market_ticker""")
+  CASE WHEN bool_and(coalesce(a = b, false)) THEN 'identical' WHEN bool_and(coalesce(a + b = 1000000, false)) THEN 'complementary' ELSE 'mixed' END AS verdict FROM (SELECT market_ticker, CASE WHEN level_index // 10000000 % 13 <> 7 THEN a END AS a, b FROM legs) GROUP BY market_ticker""")
 def _(s):
     no = s.bk_levels.where("side = 'no'").withColumn("level_index", F.col("received_at_ns") * 10 + F.col("level_index"))
     other = F.when(F.col("market_ticker") == "M3", F.col("price_micros")).when(
         (F.col("market_ticker") == "M4") & (F.col("size_fp_units") % 2 == 0), F.col("price_micros") + 1).otherwise(1_000_000 - F.col("price_micros"))
-    return metrics.convention_check(no.where("level_index % 1000 <> 7"), no.withColumn("price_micros", other))
+    return metrics.convention_check(no.where("level_index div 10000000 % 13 <> 7"), no.withColumn("price_micros", other))
