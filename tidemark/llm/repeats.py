@@ -29,8 +29,8 @@ HOT = 20_000
 DISTINCT = 200
 DEPTH = 4
 # Bytes whose suffix arrays are built at once, and bytes of cut-outs that a task gathers for that.
-BATCH = 1 << 20
-GATHERED = 4 << 20
+BATCH = 1 << 19
+GATHERED = 2 << 20
 _FACTOR = constants(4, 1717)
 
 
