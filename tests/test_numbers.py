@@ -5,19 +5,22 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clocks, display, fixed, grid, tickers
 
-PRICES = {
-    "0": 0, "0.0010": 1_000, "0.5500": 550_000, "0.9999": 999_900, "1.0000": 1_000_000, "0.0001": 100,
-    "0.123456": 123_456, "12.500000": 12_500_000, "0.960": 960_000, "0.5": 500_000, "0.00001": 10,
-    "-0.5500": -550_000, "-0": 0, "-0.000000": 0, "1.0000000": 1_000_000, "0.55000000000": 550_000,
-    "-9223372036854.775808": -(2**63), "9223372036854.775807": 2**63 - 1, "0000000000000000000000000000001.5": 1_500_000,
-}
+def spelled(micros, places, zeros=0):
+    """A decimal text of ``micros`` with at least ``places`` decimals and ``zeros`` more before and after."""
+    sign, (whole, rest) = "-" if micros < 0 else "", divmod(abs(micros), 1_000_000)
+    digits = f"{rest:06d}".rstrip("0").ljust(places, "0") + "0" * zeros
+    return f"{sign}{'0' * zeros}{whole}" + (f".{digits}" if digits else "")
+
+
+AMOUNTS = [0, 3, 70, 4_000, 310_000, 250_001, 999_999, 7_000_000, 31_400_000, -1, -870_000, 2**63 - 1, -(2**63)]
+PRICES = {spelled(v, places, zeros): v for v in AMOUNTS for places, zeros in ((0, 0), (2, 0), (6, 0), (6, 5))} | {"-0": 0, "-0.00": 0}
+# A shape rule each, on texts of our own.
 REJECTS = {
-    "": "empty", "-": "missing_integer_digits", ".5": "missing_integer_digits", "5.": "missing_fraction_digits",
-    "1.2.3": "multiple_decimal_points", "abc": "invalid_char", "0x10": "invalid_char", "1e6": "invalid_char",
-    "+1.0": "invalid_char", " 1.0": "invalid_char", "1.0 ": "invalid_char", "1,0": "invalid_char",
-    "NaN": "invalid_char", "inf": "invalid_char", "１.０": "invalid_char", "--1": "invalid_char", "1.0\n": "invalid_char",
-    "0.1234567": "excess_precision", "9" * 30: "overflow", "9223372036854.775808": "overflow",
-    "9" * 40 + ".1234567": "overflow",
+    "": "empty", "-": "missing_integer_digits", ".25": "missing_integer_digits", "-.7": "missing_integer_digits", "8.": "missing_fraction_digits",
+    "3.1.4": "multiple_decimal_points", "zwei": "invalid_char", "0b11": "invalid_char", "2e3": "invalid_char", "+7.2": "invalid_char",
+    "\t4.4": "invalid_char", "4.4 ": "invalid_char", "3,5": "invalid_char", "nan": "invalid_char", "-inf": "invalid_char", "٣.٠": "invalid_char",
+    "-+2": "invalid_char", "6.0\r": "invalid_char", "2.0000003": "excess_precision", "7" * 25: "overflow", spelled(2**63, 6): "overflow",
+    "8" * 33 + ".0000001": "overflow",
 }
 
 
@@ -41,39 +44,40 @@ def test_parse_rejects(spark):
 
 
 def test_quantities(spark):
-    df = spark.createDataFrame([("-54.00", -5400), ("10", 1000), ("10.0", 1000), ("10.0000", 1000), ("1.005", None)],
+    df = spark.createDataFrame([("-12.50", -1250), ("38", 3800), ("38.0", 3800), ("38.00000", 3800), ("6.283", None)],
                                "raw string, want bigint")
     for r in df.select("*", fixed.parse_quantity("raw").alias("got")).collect():
         assert r.got == r.want
 
 
 def test_format_round_trip(spark):
-    values = list(range(-2_000_000, 2_000_001, 9_973)) + [-(2**63), 2**63 - 1, -1, 0, 1]
+    values = list(range(-3_000_000, 3_000_001, 8_191)) + [-(2**63), 2**63 - 1, -1, 0, 1]
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
     bad = df.where(~fixed.parse_price(fixed.format_price("v")).eqNullSafe(F.col("v")))
     assert bad.count() == 0
-    assert one(spark, fixed.format_notional(F.lit(999_900)), fixed.format_scaled(F.lit(-5), 2)) == ("0.00999900", "-0.05")
+    assert one(spark, fixed.format_notional(F.lit(123_456)), fixed.format_scaled(F.lit(-7), 2)) == ("0.00123456", "-0.07")
 
 
 def test_price_arithmetic(spark):
-    assert one(spark, fixed.complement(F.lit(430_000)), fixed.checked_complement(F.lit(-(2**63) + 5)),
-               fixed.complement(F.lit(-(2**63) + 5))) == (570_000, None, 2**63 - 1)
-    pairs = [(1, 2, 1), (-1, -2, -2), (420_000, 440_000, 430_000), (2**63 - 1, 2**63 - 1, 2**63 - 1), (-(2**63), 2**63 - 1, -1)]
+    assert one(spark, fixed.complement(F.lit(310_000)), fixed.checked_complement(F.lit(-(2**63) + 9)),
+               fixed.complement(F.lit(-(2**63) + 9))) == (690_000, None, 2**63 - 1)
+    pairs = [(4, 7, 5), (-4, -7, -6), (300_000, 330_000, 315_000), (2**63 - 1, 2**63 - 1, 2**63 - 1), (-(2**63), 2**63 - 1, -1)]
     df = spark.createDataFrame(pairs, "a bigint, b bigint, want bigint")
     assert all(r.want == r.got for r in df.select("want", fixed.midpoint("a", "b").alias("got")).collect())
     assert one(spark, fixed.checked_add(F.lit(2**63 - 1), F.lit(1))) == (None,)
 
 
 def test_notional(spark):
-    cases = {50: 1, -50: -1, 49: 0, -49: 0, 150: 2, -150: -2, 12_345: 123, -12_345: -123}
+    halves = {100 * n + 50: n + 1 for n in range(4)} | {-(100 * n + 50): -(n + 1) for n in range(4)}  # away from zero
+    cases = halves | {n: round(n / 100) for n in range(-937, 938, 61) if n % 100 != 50}
     df = spark.createDataFrame(list(cases.items()), "n bigint, want bigint")
     assert all(r.want == r.got for r in df.select("want", fixed.notional_micros("n").alias("got")).collect())
-    assert one(spark, fixed.notional(F.lit(550_000), F.lit(1_000)), fixed.notional(F.lit(2**63 - 1), F.lit(2**63 - 1))) == (
-        550_000_000, None)
+    assert one(spark, fixed.notional(F.lit(310_000), F.lit(700)), fixed.notional(F.lit(2**63 - 1), F.lit(2**63 - 1))) == (
+        217_000_000, None)
 
 
 def test_tickers(spark):
-    good = ["KXNFLGAME-25SEP09-KC", "CPI-22DEC-TN0.1", "HIGHNY-22DEC23-B53.5", "kxa-b"]
+    good = ["KXRAIN-25APR01-OSLO", "SNOW-25APR-TN0.7", "WIND-25APR09-B12.5", "kxr-a"]
     bad = {"": "empty", "..": "unsafe_as_path", ".hidden": "unsafe_as_path", "A/B": "invalid_char", "A B": "invalid_char",
            "A\nB": "invalid_char", "A\n": "invalid_char", "A" * 129: "too_long", "É": "invalid_char"}
     df = spark.createDataFrame([(g, None) for g in good] + list(bad.items()), "t string, why string")
@@ -85,8 +89,8 @@ def test_tickers(spark):
 
 
 def test_ticker_parts(spark):
-    df = spark.createDataFrame([("KXNFLGAME-26OCT08TBDAL-TB", "KXNFLGAME-26OCT08TBDAL", "2026-10-08", "TB"),
-                                ("A-26ANF08X-Y", "A-26ANF08X", None, "Y"), ("A-26FEB30-Y", "A-26FEB30", None, "Y"),
+    df = spark.createDataFrame([("KXRAIN-25APR01OSLROM-ROM", "KXRAIN-25APR01OSLROM", "2025-04-01", "ROM"),
+                                ("A-25PRM08X-Y", "A-25PRM08X", None, "Y"), ("A-25APR31-Y", "A-25APR31", None, "Y"),
                                 ("PLAIN", "", None, "PLAIN")], "t string, e string, d string, o string")
     for r in df.select("*", tickers.event_ticker("t").alias("e2"), tickers.event_date("t").cast("string").alias("d2"),
                        tickers.outcome("t").alias("o2")).collect():
@@ -94,9 +98,9 @@ def test_ticker_parts(spark):
 
 
 def test_conventions_and_directions(spark):
-    assert one(spark, tickers.yes_price(F.lit("no"), F.lit(570_000), F.lit("no_leg")),
-               tickers.yes_price(F.lit("no"), F.lit(570_000), F.lit("yes_leg")),
-               tickers.yes_price(F.lit("yes"), F.lit(570_000), F.lit("no_leg"))) == (430_000, 570_000, 570_000)
+    assert one(spark, tickers.yes_price(F.lit("no"), F.lit(690_000), F.lit("no_leg")),
+               tickers.yes_price(F.lit("no"), F.lit(690_000), F.lit("yes_leg")),
+               tickers.yes_price(F.lit("yes"), F.lit(690_000), F.lit("no_leg"))) == (310_000, 690_000, 690_000)
     with pytest.raises(Exception, match="unknown pricing convention"):
         one(spark, tickers.yes_price(F.lit("no"), F.col("id"), F.lit("other")))
     null = F.lit(None).cast("string")
@@ -108,16 +112,16 @@ def test_conventions_and_directions(spark):
                tickers.is_overflow_error(F.lit(25)), tickers.opposite_side(F.lit("yes"))) == ("resubscribe", None, True, "no")
 
 
-TAILS = '[{"start":"0.0001","end":"0.0500","step":"0.0001"},{"start":"0.0500","end":"0.9500","step":"0.0100"},' \
-        '{"start":"0.9500","end":"0.9999","step":"0.0001"}]'
+BANDS = '[{"start":"0.0020","end":"0.2000","step":"0.0020"},{"start":"0.2000","end":"0.7000","step":"0.0250"},' \
+        '{"start":"0.7000","end":"0.9980","step":"0.0020"}]'
 
 
 def test_grid(spark):
-    cases = [("0.0001", True, 100, "exact"), ("0.4300", True, 430_000, "exact"), ("0.4301", False, 430_000, "snapped"),
-             ("0.4299", False, 430_000, "snapped"), ("0.4350", False, 440_000, "snapped"), ("2.0000", False, 999_900, "clamped"),
-             ("0.0000", False, 100, "clamped"), ("0.9876", True, 987_600, "exact"), ("1.5000", False, 999_900, "clamped")]
+    cases = [("0.0020", True, 2_000, "exact"), ("0.3250", True, 325_000, "exact"), ("0.3301", False, 325_000, "snapped"),
+             ("0.3399", False, 350_000, "snapped"), ("0.3375", False, 350_000, "snapped"), ("3.0000", False, 998_000, "clamped"),
+             ("0.0010", False, 2_000, "clamped"), ("0.8040", True, 804_000, "exact"), ("0.9990", False, 998_000, "clamped")]
     df = spark.createDataFrame(cases, "p string, valid boolean, snap bigint, verdict string").withColumn(
-        "g", grid.parse_grid(F.lit(TAILS)))
+        "g", grid.parse_grid(F.lit(BANDS)))
     for r in df.select("*", grid.is_on_grid("g", fixed.parse_price("p")).alias("v"),
                        grid.snap_to_grid("g", fixed.parse_price("p")).alias("s")).collect():
         assert (r.v, r.s.price, r.s.verdict) == (r.valid, r.snap, r.verdict), r
@@ -145,7 +149,7 @@ def fnv(data):
 
 
 def test_grid_hash(spark):
-    for text in ("", "abc", TAILS, "é–x"):
+    for text in ("", "abc", BANDS, "é–x"):
         assert one(spark, grid.grid_hash(F.lit(text)))[0] == fnv(text.encode())
 
 

@@ -165,9 +165,9 @@ def _(s):
                       tickers.is_overflow_error("code").alias("is_overflow"))
 
 
-# Every market quote against a three-band grid: fine tails and a penny middle.
-TAILS = ((100, 50_000, 100), (50_000, 950_000, 10_000), (950_000, 999_900, 100))
-step("bands", (), "SELECT * FROM (VALUES (CAST(100 AS BIGINT), CAST(50000 AS BIGINT), CAST(100 AS BIGINT)), (50000, 950000, 10000), (950000, 999900, 100)) AS b(lo, hi, tick)")
+# Every market quote against a grid of three bands of unlike steps.
+BANDS = ((2_000, 200_000, 2_000), (200_000, 700_000, 25_000), (700_000, 998_000, 500))
+step("bands", (), "SELECT * FROM (VALUES (CAST(2000 AS BIGINT), CAST(200000 AS BIGINT), CAST(2000 AS BIGINT)), (200000, 700000, 25000), (700000, 998000, 500)) AS b(lo, hi, tick)")
 step("prices", ("quotes",), "SELECT l_orderkey, l_linenumber, l_partkey, price_micros + l_partkey % 7 * 130 - 20000 AS p FROM quotes")
 step("ticks", ("prices", "bands"), """
 SELECT p, lo, hi, tick, least(greatest(p, lo), hi) AS t, lo + (least(greatest(p, lo), hi) - lo) // tick * tick AS below FROM (SELECT DISTINCT p FROM prices) CROSS JOIN bands""")
@@ -176,8 +176,8 @@ SELECT p, bool_or(p BETWEEN lo AND hi) AS inside, bool_or(p BETWEEN lo AND hi AN
   first(c ORDER BY abs(c - p), c DESC) AS snap FROM (SELECT *, CASE WHEN below + tick <= hi AND below + tick - t <= t - below THEN below + tick ELSE below END AS c FROM ticks) GROUP BY p""")
 
 
-def tails():
-    return F.array(*[F.struct(*[F.lit(v).cast("bigint").alias(n) for v, n in zip(b, ("start", "end", "step"))]) for b in TAILS])
+def bands():
+    return F.array(*[F.struct(*[F.lit(v).cast("bigint").alias(n) for v, n in zip(b, ("start", "end", "step"))]) for b in BANDS])
 
 
 def prices(s):
@@ -187,7 +187,7 @@ def prices(s):
 @query("grid_snap", ("prices", "snaps"), """
 SELECT l_orderkey, l_linenumber, p, valid, snap, CASE WHEN snap = p THEN 'exact' WHEN inside THEN 'snapped' ELSE 'clamped' END AS verdict FROM prices JOIN snaps USING (p)""")
 def _(s):
-    out = prices(s).select("*", grid.is_on_grid(tails(), "p").alias("valid"), grid.snap_to_grid(tails(), "p").alias("_s"))
+    out = prices(s).select("*", grid.is_on_grid(bands(), "p").alias("valid"), grid.snap_to_grid(bands(), "p").alias("_s"))
     return out.select("l_orderkey", "l_linenumber", "p", "valid", F.col("_s.price").alias("snap"), F.col("_s.verdict").alias("verdict"))
 
 
