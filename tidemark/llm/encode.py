@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
 
-# Words whose ids one task keeps; the cache starts anew beyond it.
-CACHED_WORDS = 500_000
+import regex
+
+# Words, and pieces of words, of a generation whose ids one task keeps; of the one before, those in use are taken over.
+CACHED_WORDS = 250_000
+_LATIN = re.compile("[ -~\u00a1-\u00ac\u00ae-\u00ff]+")
+# Fixed value: how byte-level tokenizers of the leading-blank kind cut a text.
+LEADING = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Byte-level tokenizers show a byte as the character of that number where it is printable, others, in order, from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _UNSAFE = re.compile(r"\s\s|\A\s|\s\Z")
 
 
@@ -16,7 +25,7 @@ class Encoder:
 
     Texts are cut only where the tokenizer itself always cuts, and the ids of each cut piece are kept:
     a tokenizer that drops white space cuts at every blank and line break; a byte-level one whose words own the blank
-    before them cuts before single blanks, and a text with runs of white space or white space at
+    before them cuts before single blanks and around single line breaks, and a text with runs of white space or white space at
     an end is encoded whole. Any other tokenizer encodes whole texts.
     """
 
@@ -27,7 +36,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
         self.style = self._style()
+        self.split = self._splitter()
 
     def _style(self) -> str:
         def ids(text):
@@ -35,31 +49,66 @@ class Encoder:
 
         if ids("ab  cd\n ef") == ids("ab") + ids("cd") + ids("ef") and ids(" \n\t ") == b"":
             return "dropped"
-        if ids("ab cd ef\ngh 1") == ids("ab") + ids(" cd") + ids(" ef\ngh") + ids(" 1") and ids(" cd") != ids("cd"):
+        if ids("ab cd ef.\ngh 1") == ids("ab") + ids(" cd") + ids(" ef.") + ids("\n") + ids("gh") + ids(" 1") and ids(" cd") != ids("cd"):
             return "leading"
         return "whole"
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words. Words of Latin-1 letters, digits and signs go to the tokenizer's model piece by piece, others through all of it."""
+        if not self.split:
+            return self._plain(words)
+        others = [w for w in words if not _LATIN.fullmatch(w)]
+        found = dict(zip(others, self._plain(others)))
+        return [found[w] if w in found else b"".join([self._piece(p) for p in self.split(w)]) for w in words]
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.parts.get(piece)
+        if ids is None:
+            ids = self.older_parts.get(piece)
+            if ids is None:
+                ids = array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_SHOWN))]).tobytes()
+            self.parts[piece] = ids
+        return ids
+
+    def _splitter(self):
+        """What cuts a Latin-1 word into the model's pieces as the tokenizer file says; None if the file has another form than the two known."""
+        form = json.loads(self.tokenizer.to_str())
+        steps = form["pre_tokenizer"] or {}
+        steps = steps.get("pretokenizers", [steps])
+        small = [n["type"] for n in (form["normalizer"] or {}).get("normalizers", [])]
+        if form["model"]["type"] != "BPE" or steps[-1].get("type") != "ByteLevel" or steps[-1]["add_prefix_space"]:
+            return None
+        if self.style == "dropped" and len(steps) == 2 and steps[0]["type"] == "Split" and small == ["NFC", "Replace", "Lowercase"]:
+            cut = regex.compile(steps[0]["pattern"]["Regex"])
+            return lambda word: cut.findall(word.lower())
+        if self.style == "leading" and len(steps) == 1 and steps[0]["use_regex"] and not form["normalizer"]:
+            return regex.compile(LEADING).findall
+        return None
+
     def _cut(self, text: str) -> list[str] | None:
         if self.style == "dropped":
             return text.replace("\n", " ").split(" ")
         if self.style == "leading" and not _UNSAFE.search(text):
-            return text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
+            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else None
         return None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(text) for text in texts]
         if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
+        if len(self.parts) > CACHED_WORDS:
+            self.older_parts, self.parts = self.parts, {}
         new: set[str] = set()
         for words in cut:
             if words is not None:
                 new.update(words)
+        new.difference_update(self.cache)
+        self.cache.update((w, self.older[w]) for w in new & self.older.keys())
         missing = list(new.difference(self.cache))
-        for begin in range(0, len(missing), 10_000):
-            part = missing[begin : begin + 10_000]
-            self.cache.update(zip(part, self._plain(part)))
+        if missing:
+            self.cache.update(zip(missing, self._words(missing)))
         known = self.cache.__getitem__
         return [b"".join(map(known, words)) if words is not None else self._plain([text])[0] for words, text in zip(cut, texts)]
