@@ -122,7 +122,9 @@ def _sets(batches, width):
     for batch in pieces(batches):
         sets = shingle_sets(batch.column("text"), width)
         rank = pa.array([int(s[0] >> np.uint64(1)) if len(s) else 0 for s in sets], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), rank, pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "least", "shingles"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("component"), rank, pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "near", "least", "shingles"]
+        )
 
 
 def _blocks(batches):
@@ -176,7 +178,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     and links with nothing. An empty table gives no rows.
 
     Copies are one class before any signing. Documents that share a signature with another one are put
-    into blocks of bounded size, similar ones side by side; every two blocks that hold documents of one
+    into blocks of bounded size, candidates of each other side by side; every two blocks that hold documents of one
     bucket are compared as a whole, by products of their incidence matrices. A task
     holds two blocks and returns a link per document at most, so no pair is lost and no bucket is expanded into pairs.
     """
@@ -195,10 +197,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     shared = signs.withColumn("least", F.min("doc_id").over(bucket)).withColumn("most", F.max("doc_id").over(bucket)).where("least < most").select("sign", "doc_id")
     shared = shared.join(moved, "doc_id", "left").select("sign", F.coalesce("class_id", "doc_id").alias("doc_id"))
     shared = materialize(shared.distinct())
-    need = small(materialize(shared.select("doc_id").distinct()))
-    sets = docs.join(need, "doc_id", "left_semi").mapInArrow(partial(_sets, width=width), "doc_id long, least long, shingles binary")
-    # Sets with the same smallest hash lie side by side, so most candidates share a block.
-    blocks = sets.repartitionByRange("least", "doc_id").sortWithinPartitions("least", "doc_id").mapInArrow(_blocks, "block long, doc_id long, shingles binary")
+    first = shared.groupBy("sign").agg(F.min("doc_id").alias("a"))
+    candidates = components(shared.join(first, "sign").select("a", F.col("doc_id").alias("b")))
+    near = small(materialize(candidates.withColumnRenamed("node", "doc_id")))
+    sets = docs.join(near, "doc_id").mapInArrow(partial(_sets, width=width), "doc_id long, near long, least long, shingles binary")
+    # Candidates of each other lie side by side, those with the same smallest hash closest, so few blocks have to meet.
+    order = ["near", "least", "doc_id"]
+    blocks = sets.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, "block long, doc_id long, shingles binary")
     blocks = materialize(blocks)
     seen = shared.join(blocks.select("doc_id", "block"), "doc_id").groupBy("sign").agg(F.collect_set("block").alias("blocks"))
     seen = seen.select(F.array_sort("blocks").alias("blocks")).distinct()
