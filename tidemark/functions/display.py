@@ -55,15 +55,17 @@ def ago_label(at_ms: Column | str, now_ms: Column | int) -> Column:
 
 
 def game_label(event: Column | str, first: Column | str, second: Column | str) -> Column:
-    """``A at B`` when the event code is the two outcomes run together, else the code, else the event."""
-    e, a, b = as_col(event), as_col(first), as_col(second)
-    code = F.regexp_replace(F.substring_index(e, "-", -1), r"\A[0-9]{2}[A-Z]{3}[0-9]{2}", "")
-    both = (F.coalesce(a, F.lit("")) != "") & (F.coalesce(b, F.lit("")) != "")
+    """The two outcomes, in the order in which the event's code spells them out, as ``A at B``; else the code, else the event.
+
+    The code is what follows the date in the last part of the event.
+    """
+    e, a, b = as_col(event), F.coalesce(as_col(first), F.lit("")), F.coalesce(as_col(second), F.lit(""))
+    code = F.regexp_extract(e, r"(?:-[0-9]{2}[A-Z]{3}[0-9]{2}|-|^)([^-]*)\z", 1)
+    at_a, at_b = F.instr(code, a), F.instr(code, b)
+    spelled = (a != "") & (b != "") & (F.length(code) == F.length(a) + F.length(b))
     return (
-        F.when(both & (code == F.concat(a, b)), F.concat(a, F.lit(" at "), b))
-        .when(both & (code == F.concat(b, a)), F.concat(b, F.lit(" at "), a))
+        F.when(spelled & (at_a == 1) & code.endswith(b), F.concat_ws(" at ", a, b))
+        .when(spelled & (at_b == 1) & code.endswith(a), F.concat_ws(" at ", b, a))
         .when(code != "", code)
         .otherwise(e)
     )
-
-

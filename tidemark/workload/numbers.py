@@ -238,3 +238,9 @@ FROM (SELECT event_id, cents % 100 * 10007 AS m, user_id * 1009 AS s, cents * 10
 def _(s):
     return s.ev.select("event_id", display.cents_label(F.col("cents") % 100 * 10_007).alias("price_label"),
                        display.duration_label(F.col("user_id") * 1_009).alias("age_label"), display.bytes_label(F.col("cents") * 1_021).alias("size_label"))
+
+
+@query("display_scaling", ("amounts",), """
+SELECT l_orderkey, l_linenumber, CAST(px AS DOUBLE) / 1000000e0 AS dollars, CAST(qty AS DOUBLE) / 100e0 AS contracts FROM amounts""")
+def _(s):
+    return s.amounts.select("l_orderkey", "l_linenumber", display.money("px").alias("dollars"), display.contracts("qty").alias("contracts"))

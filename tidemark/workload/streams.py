@@ -375,3 +375,12 @@ def _(s):
                        F.array_join(F.transform("no_bids", lambda x: x["price"].cast("string")), ",").alias("no_bids"))
 
 
+
+
+@query("session_conventions", ("quotes", "sess"), """
+SELECT pricing_convention, count(*) AS "rows", CAST(sum(price_micros) AS BIGINT) AS total FROM (SELECT concat('H', CAST(l_orderkey AS VARCHAR)) AS session_id, price_micros FROM quotes)
+LEFT JOIN (SELECT DISTINCT session_id, pricing_convention FROM sess) USING (session_id) GROUP BY pricing_convention""")
+def _(s):
+    rows = s.quotes.select(F.concat(F.lit("H"), F.col("l_orderkey").cast("string")).alias("session_id"), "price_micros")
+    joined = book.with_convention(rows, s.sess.select("session_id", "pricing_convention").distinct())
+    return joined.groupBy("pricing_convention").agg(F.count("*").alias("rows"), F.sum("price_micros").alias("total"))
