@@ -11,6 +11,7 @@ set has there, so linked sets share one. Candidates are verified on the whole se
 
 from __future__ import annotations
 
+import zlib
 from functools import partial
 from itertools import combinations
 
@@ -30,7 +31,7 @@ PAIRS = list(combinations(range(CELLS), 2))
 # Parts beyond those the bound asks for: a set with no more parts than that with an empty pair of cells need not sign empty pairs.
 SPARE = 1
 # Documents, and shingles, that a block holds at most (one longer document is a block of its own).
-BLOCK_DOCS = 128
+BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 20
 # Shingles whose incidence is multiplied at once.
 COLUMNS = 4096
@@ -127,22 +128,46 @@ def _sets(batches, width):
         )
 
 
+def pack_block(sets: list[np.ndarray]) -> bytes:
+    """Sorted sets of a block: their sizes, the distinct shingles, and the sets as steps in those, which are small where sets are alike."""
+    sizes = np.array([len(s) for s in sets], np.int32)
+    known, place = np.unique(np.concatenate(sets), return_inverse=True)
+    steps = np.diff(place.astype(np.int32), prepend=np.int32(0))
+    head = np.array([len(sizes), len(known)], np.int32)
+    return head.tobytes() + sizes.tobytes() + known.tobytes() + zlib.compress(steps.tobytes(), 1)
+
+
+def unpack_block(data: bytes) -> list[np.ndarray]:
+    docs, count = np.frombuffer(data, np.int32, 2).tolist()
+    sizes = np.frombuffer(data, np.int32, docs, 8)
+    known = np.frombuffer(data, np.uint64, count, 8 + 4 * docs)
+    place = np.cumsum(np.frombuffer(zlib.decompress(data[8 + 4 * docs + 8 * count :]), np.int32))
+    return np.split(known[place], np.cumsum(sizes)[:-1])
+
+
 def _blocks(batches):
-    block, docs, held = TaskContext.get().partitionId() << 32, 0, 0
+    block, docs, sets, held = TaskContext.get().partitionId() << 32, [], [], 0
+
+    def row():
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([pack_block(sets)], pa.binary())], ["block", "docs", "sets"])
+
     for batch in batches:
-        blocks = []
-        for size in pc.binary_length(batch.column("shingles")).to_pylist():
-            if docs and (docs == BLOCK_DOCS or held + size // 8 > BLOCK_SHINGLES):
-                block, docs, held = block + 1, 0, 0
-            docs, held = docs + 1, held + size // 8
-            blocks.append(block)
-        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), batch.column("doc_id"), batch.column("shingles")], ["block", "doc_id", "shingles"])
+        for doc, shingles in zip(batch.column("doc_id").to_pylist(), batch.column("shingles").to_pylist()):
+            if docs and (len(docs) == BLOCK_DOCS or held + len(shingles) // 8 > BLOCK_SHINGLES):
+                yield row()
+                block, docs, sets, held = block + 1, [], [], 0
+            docs.append(doc)
+            sets.append(np.frombuffer(shingles, np.uint64))
+            held += len(shingles) // 8
+    if docs:
+        yield row()
 
 
 def _compare(key, table, percent):
     """Links within a block or between two: each linked document with the smallest one it reaches here."""
-    sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
-    docs, block = table.column("doc_id").to_numpy(), table.column("block").to_numpy()
+    sets = [own for data in table.column("sets").to_pylist() for own in unpack_block(data)]
+    held = table.column("docs").to_pylist()
+    docs, block = np.array(sum(held, []), np.int64), np.repeat(table.column("block").to_numpy(), [len(h) for h in held])
     size = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), size)
     _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -156,9 +181,9 @@ def _compare(key, table, percent):
     common = np.zeros((len(rows), len(others)), np.float32)
     for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
         low, high = np.searchsorted(column, [begin, begin + COLUMNS])
-        held = np.zeros((len(sets), COLUMNS), np.float32)
-        held[owner[low:high], column[low:high] - begin] = 1
-        common += held[rows] @ held[others].T
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[owner[low:high], column[low:high] - begin] = 1
+        common += part[rows] @ part[others].T
     union = size[rows][:, None] + size[others][None] - common
     a, b = np.nonzero((100 * common >= percent * union) & (docs[rows][:, None] != docs[others][None]))
     rank = np.argsort(np.argsort(docs, kind="stable"), kind="stable")
@@ -203,9 +228,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     sets = docs.join(near, "doc_id").mapInArrow(partial(_sets, width=width), "doc_id long, near long, least long, shingles binary")
     # Candidates of each other lie side by side, those with the same smallest hash closest, so few blocks have to meet.
     order = ["near", "least", "doc_id"]
-    blocks = sets.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, "block long, doc_id long, shingles binary")
+    blocks = sets.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, "block long, docs array<long>, sets binary")
     blocks = materialize(blocks)
-    seen = shared.join(blocks.select("doc_id", "block"), "doc_id").groupBy("sign").agg(F.collect_set("block").alias("blocks"))
+    seen = shared.join(blocks.select("block", F.explode("docs").alias("doc_id")), "doc_id").groupBy("sign").agg(F.collect_set("block").alias("blocks"))
     seen = seen.select(F.array_sort("blocks").alias("blocks")).distinct()
     tasks = seen.select("blocks", F.explode("blocks").alias("first")).select("first", F.explode(F.filter("blocks", lambda b: b >= F.col("first"))).alias("second")).distinct()
     held = tasks.select("first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block")).join(blocks, "block")
