@@ -88,12 +88,13 @@ def _cut(batches):
         rows: list[tuple] = []
         for doc, text, anchors, runs, hot in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "anchors", "runs", "hot"))):
             data = text.encode()
+            places: dict[tuple, list[int]] = {}  # a document that repeats a cut-out sends it once
             for anchor, run, often in zip(anchors, runs, hot):
                 at, length = run >> 8, run & 255
-                if not often:
-                    rows.append((anchor, doc, at, length, data[at : at + length + SPAN - 1]))
-                else:
-                    rows.extend((key, doc, at + b, n, data[at + b : at + b + n + SPAN - 1]) for key, b, n in _refined(data[at : at + length + SPAN - 1], length))
+                parts = _refined(data[at : at + length + SPAN - 1], length) if often else ((anchor, 0, length),)
+                for key, b, n in parts:
+                    places.setdefault((key, n, data[at + b : at + b + n + SPAN - 1]), []).append(at + b)
+            rows.extend((key, doc, spots, n, content) for (key, n, content), spots in places.items())
             if len(rows) > 20_000:
                 yield _cut_rows(rows)
                 rows = []
@@ -102,7 +103,7 @@ def _cut(batches):
 
 def _cut_rows(rows):
     columns = list(zip(*rows)) or [[]] * 5
-    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["anchor", "doc_id", "at", "length", "bytes"])
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()))], ["anchor", "doc_id", "at", "length", "bytes"])
 
 
 def _refined(data: bytes, length: int):
@@ -174,7 +175,7 @@ class Groups:
         self.key, self.last = None, None
         self.spans: list[tuple] = []
 
-    def add(self, key, doc, at, length, content):
+    def add(self, key, doc, spots, length, content):
         if key != self.key:
             self.key, self.last = key, None
             self.pending.append(([], []))
@@ -182,12 +183,12 @@ class Groups:
         if content != self.last:
             self.last = content
             contents.append((content, length, doc))
-            places.append((doc, [at]))
+            places.append((doc, list(spots)))
             self.held += len(content)
         elif doc == places[-1][0]:
-            places[-1][1].append(at)
+            places[-1][1].extend(spots)
         else:
-            self.spans.append((doc, at, at + length + SPAN - 1))
+            self.spans.extend((doc, at, at + length + SPAN - 1) for at in spots)
 
     def close(self):
         """Turn what is gathered into spans."""
@@ -201,7 +202,7 @@ class Groups:
                         parts.extend((key, content[begin : begin + n + SPAN - 1], doc, at + begin, n) for at in spots)
         finer = Groups()
         for key, content, doc, at, n in sorted(parts):
-            finer.add(key, doc, at, n, content)
+            finer.add(key, doc, [at], n, content)
         self.spans += finer.spans
         self.spans += compared([g for g in groups if len(g[0]) <= DISTINCT] + finer.pending)
 
@@ -225,10 +226,10 @@ def _match(batches):
     """Rows sorted by anchor, bytes and document: spans of each document that a smaller one holds."""
     groups = Groups()
     for batch in batches:
-        for key, doc, at, length, content in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc_id", "at", "length", "bytes"))):
+        for key, doc, spots, length, content in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc_id", "at", "length", "bytes"))):
             if groups.held > GATHERED and key != groups.key:
                 groups.close()
-            groups.add(key, doc, at, length, content)
+            groups.add(key, doc, spots, length, content)
         if len(groups.spans) > 20_000:
             yield _span_rows(groups.spans)
             groups.spans = []
@@ -286,7 +287,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     lists = shared.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "run", "often")).alias("r"))
     lists = lists.select("doc_id", F.col("r.anchor").alias("anchors"), F.col("r.run").alias("runs"), F.col("r.often").alias("hot"))
     need = small(materialize(shared.select("doc_id").distinct()))
-    cut = fresh.join(need, "doc_id", "left_semi").join(lists, "doc_id").mapInArrow(_cut, "anchor long, doc_id long, at long, length int, bytes binary")
+    cut = fresh.join(need, "doc_id", "left_semi").join(lists, "doc_id").mapInArrow(_cut, "anchor long, doc_id long, at array<long>, length int, bytes binary")
     spans = cut.repartition("anchor").sortWithinPartitions("anchor", "bytes", "doc_id").mapInArrow(_match, "doc_id long, begin long, end long")
     spans = materialize(spans)
     gone = spans.groupBy("doc_id").agg(F.collect_list(F.struct("begin", "end")).alias("s"))
