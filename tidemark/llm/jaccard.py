@@ -146,17 +146,18 @@ def unpack_block(data: bytes) -> list[np.ndarray]:
 
 
 def _blocks(batches):
-    block, docs, sets, held = TaskContext.get().partitionId() << 32, [], [], 0
+    block, docs, nears, sets, held = TaskContext.get().partitionId() << 32, [], set(), [], 0
 
     def row():
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([pack_block(sets)], pa.binary())], ["block", "docs", "sets"])
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([sorted(nears)], pa.list_(pa.int64())), pa.array([pack_block(sets)], pa.binary())], ["block", "docs", "nears", "sets"])
 
     for batch in batches:
-        for doc, shingles in zip(batch.column("doc_id").to_pylist(), batch.column("shingles").to_pylist()):
+        for doc, near, shingles in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "near", "shingles"))):
             if docs and (len(docs) == BLOCK_DOCS or held + len(shingles) // 8 > BLOCK_SHINGLES):
                 yield row()
-                block, docs, sets, held = block + 1, [], [], 0
+                block, docs, nears, sets, held = block + 1, [], set(), [], 0
             docs.append(doc)
+            nears.add(near)
             sets.append(np.frombuffer(shingles, np.uint64))
             held += len(shingles) // 8
     if docs:
@@ -204,7 +205,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
 
     Copies are one class before any signing. Documents that share a signature with another one are put
     into blocks of bounded size, candidates of each other side by side; every two blocks that hold documents of one
-    bucket are compared as a whole, by products of their incidence matrices. A task
+    component of candidates are compared as a whole, by products of their incidence matrices. A task
     holds two blocks and returns a link per document at most, so no pair is lost and no bucket is expanded into pairs.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -228,9 +229,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     sets = docs.join(near, "doc_id").mapInArrow(partial(_sets, width=width), "doc_id long, near long, least long, shingles binary")
     # Candidates of each other lie side by side, those with the same smallest hash closest, so few blocks have to meet.
     order = ["near", "least", "doc_id"]
-    blocks = sets.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, "block long, docs array<long>, sets binary")
+    blocks = sets.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, "block long, docs array<long>, nears array<long>, sets binary")
     blocks = materialize(blocks)
-    seen = shared.join(blocks.select("block", F.explode("docs").alias("doc_id")), "doc_id").groupBy("sign").agg(F.collect_set("block").alias("blocks"))
+    seen = blocks.select("block", F.explode("nears").alias("near")).groupBy("near").agg(F.collect_set("block").alias("blocks"))
     seen = seen.select(F.array_sort("blocks").alias("blocks")).distinct()
     tasks = seen.select("blocks", F.explode("blocks").alias("first")).select("first", F.explode(F.filter("blocks", lambda b: b >= F.col("first"))).alias("second")).distinct()
     held = tasks.select("first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block")).join(blocks, "block")
