@@ -126,6 +126,22 @@ def test_surrogates_keep_shape_distinctness_and_coreference(spark):
     assert privacy.replace_private(df.limit(0), "k").count() == 0
 
 
+def test_people_of_one_surname_stay_distinct(spark):
+    names = ["John", "Adam", "Karl", "Otto", "Paul", "Hans", "Max", "Kurt", "Erik"]
+    rows = [(n, f"Mr. {name} Smith and Mr. SMITH") for n, name in enumerate(names)]
+    rows += [(20, "so Mr. JOHN SMITH, Ms. John Smith"), (21, "Mr. John Miller"), (22, "г-н Иван Петров, г-н Олег Петров")]
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in privacy.replace_private(spark.createDataFrame(rows, "doc_id long, text string"), "k").collect()}
+    people = [re.fullmatch(r"Mr\. ([A-Z][a-z]+) ([A-Z][a-z]+) and Mr\. ([A-Z]+)", got[n][0]).groups() for n in range(len(names))]
+    assert len({p[0] for p in people}) == len(names) and len({p[1] for p in people}) == 1 and all(p[2] == p[1].upper() for p in people)
+    assert not {p[0] for p in people} & set(names)
+    again = re.fullmatch(r"so Mr\. (\w+) (\w+), Ms\. (\w+) (\w+)", got[20][0])
+    assert (again[1], again[2]) == (people[0][0].upper(), people[0][1].upper()) and (again[3], again[4]) != people[0][:2]
+    assert got[21][0].split()[1] == people[0][0] and got[21][0].split()[2] != people[0][1]
+    first, second = re.fullmatch(r"г-н ([А-Я][а-я]+ [А-Я][а-я]+), г-н ([А-Я][а-я]+ [А-Я][а-я]+)", got[22][0]).groups()
+    assert first != second and first.split()[1] == second.split()[1]
+    assert all(got[n][1] == 2 for n in [*range(len(names)), 20, 22]) and got[21][1] == 1
+
+
 def test_colliding_proposals_are_drawn_anew(spark):
     entities = spark.createDataFrame([("phone", f"{n}") for n in range(6)], "kind string, entity string")
     narrow = privacy.surrogates(entities.where("entity < 4"), "k").collect()  # ten one-digit surrogates, four of them real

@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates, with DataFrame functions only.
 
 Every distinct entity of the corpus gets one surrogate of its own: the same kind, the same shape, never that of another entity and never a real
-entity of the corpus. Mentions of an entity in any format become mentions of its surrogate in that format.
+entity of the corpus. Mentions of an entity in any format become mentions of its surrogate in that format. A full name is two entities, its
+given name and its surname, so two people stay two people.
 """
 
 from __future__ import annotations
@@ -12,15 +13,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.spans import matches
 from tidemark.session import materialize
 
-# Titles that tell the gender, and first names to take instead, by script and gender.
+# Titles that tell the gender.
 MALE = r"(?:Mr\.?|Herr|Señor|Sr\.|Monsieur|M\.|Don|г-н)"
 FEMALE = r"(?:Mrs\.?|Ms\.?|Miss|Frau|Señora|Sra\.|Madame|Mme\.?|Doña|г-жа)"
-FIRST = {
-    ("latin", "m"): ["Adrian", "Bruno", "Caspar", "Damian", "Emil", "Fabian", "Gustav", "Hugo"],
-    ("latin", "f"): ["Alma", "Berta", "Clara", "Delia", "Elisa", "Flora", "Greta", "Helena"],
-    ("cyrillic", "m"): ["Борис", "Виктор", "Глеб", "Егор", "Захар", "Игорь", "Кирилл", "Лев"],
-    ("cyrillic", "f"): ["Вера", "Галина", "Дарья", "Ева", "Жанна", "Зоя", "Инна", "Лидия"],
-}
 NAME = r"\p{Lu}[\p{L}'-]+"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 # Kinds and their forms, in the order in which they are tried at a place.
@@ -43,6 +38,9 @@ LETTERS = {
     r"[\p{Lu}]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
 }
 ATTEMPTS = 40
+# Draws in an entity's own shape before longer surrogates are drawn, longer by one with every draw up to LONGER.
+ROOM = 8
+LONGER = 10
 
 
 def kind_of(value: Column) -> Column:
@@ -53,6 +51,10 @@ def surname(value: Column) -> Column:
     return F.regexp_extract(value, rf"({NAME})$", 1)
 
 
+def given_name(value: Column) -> Column:
+    return F.regexp_extract(value, rf" ({NAME}) {NAME}$", 1)
+
+
 def gender(value: Column) -> Column:
     return F.when(value.rlike(f"^{FEMALE} "), "f").otherwise("m")
 
@@ -67,6 +69,15 @@ def canonical(kind: Column, value: Column) -> Column:
     )
 
 
+def entities_of(kind: Column, value: Column) -> Column:
+    """The entities of a mention as an array of (part, kind, entity): given name and surname of a full name, one of all others."""
+    given = F.concat(gender(value), F.lit(" "), F.lower(given_name(value)))
+    whole = F.struct(F.lit(0).alias("part"), kind.alias("kind"), canonical(kind, value).alias("entity"))
+    first = F.struct(F.lit(0).alias("part"), F.lit("given").alias("kind"), given.alias("entity"))
+    last = F.struct(F.lit(1).alias("part"), kind.alias("kind"), canonical(kind, value).alias("entity"))
+    return F.when((kind == "name") & (given_name(value) != ""), F.array(first, last)).otherwise(F.array(whole))
+
+
 def stream(key: str, attempt: int, *parts: str) -> str:
     """SQL for hex digits that follow from the key and the parts; as many as ``entity`` can need."""
     text = ", ".join(["'" + key.replace("\\", "\\\\").replace("'", "\\'") + "'", f"'{attempt}'", *parts])
@@ -96,14 +107,24 @@ def proposed(entities: DataFrame, key: str, attempt: int) -> DataFrame:
     vowels, stops = "'aeiou'", "'bdfgklmnprstvz'"
     russian_vowels, russian_stops = "'аеиоу'", "'бвгдзклмнпрст'"
 
-    def syllables(stop: str, vowel: str) -> str:
-        return ", ".join(f"substr({stop}, 1 + {draw('own', str(2 * n), f'length({stop})')}, 1), substr({vowel}, 1 + {draw('own', str(2 * n + 1), '5')}, 1)" for n in range(4))
+    more = min(LONGER, max(0, attempt - ROOM + 1))
+
+    def syllables(stop: str, vowel: str, count: int) -> str:
+        return ", ".join(f"substr({stop}, 1 + {draw('own', str(2 * n), f'length({stop})')}, 1), substr({vowel}, 1 + {draw('own', str(2 * n + 1), '5')}, 1)" for n in range(count + more))
 
-    name = f"concat(substr(entity, 1, 2), if(entity rlike '[а-яё]', concat({syllables(russian_stops, russian_vowels)}), concat({syllables(stops, vowels)})))"
+    def ending(stop: str, vowel: str) -> str:
+        """A consonant for a man's given name, and an a behind it for a woman's."""
+        return f"substr({stop}, 1 + {draw('own', '30', f'length({stop})')}, 1), if(entity like 'f %', substr({vowel}, 1, 1), '')"
+
+    name = f"concat(substr(entity, 1, 2), if(entity rlike '[а-яё]', concat({syllables(russian_stops, russian_vowels, 4)}), concat({syllables(stops, vowels, 4)})))"
+    given = (
+        f"concat(substr(entity, 1, 2), if(entity rlike '[а-яё]', concat({syllables(russian_stops, russian_vowels, 3)}, {ending(russian_stops, russian_vowels)}), "
+        f"concat({syllables(stops, vowels, 3)}, {ending(stops, vowels)})))"
+    )
     # A number of more than ten digits keeps its country's.
     country = "greatest(0, length(entity) - 10)"
     phone = f"concat(substr(entity, 1, {country}), substr({reshaped('entity', 'own')}, 1 + {country}))"
-    made = f"case kind when 'email' then {email} when 'ip' then {ip} when 'phone' then {phone} when 'name' then {name} else {reshaped('entity', 'own')} end"
+    made = f"case kind when 'email' then {email} when 'ip' then {ip} when 'phone' then {phone} when 'name' then {name} when 'given' then {given} else {reshaped('entity', 'own')} end"
     return data.select("kind", "entity", F.expr(made).alias("surrogate"))
 
 
@@ -134,21 +155,18 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 
 def mention(kind: Column, value: Column, surrogate: Column) -> Column:
-    """The surrogate in the format of the mention: its separators, its case, its title and number of names."""
+    """The surrogate in the format of the mention: its separators, its case, its title; of a full name, the part of that entity."""
     filled = F.expr(
         "array_join(transform(filter(split(value, ''), c -> c <> ''), (c, i) -> if(c rlike '[0-9]', "
         "substr(surrogate, 1 + length(regexp_replace(substr(value, 1, i), '[^0-9]', '')), 1), c)), '')"
     )
     title = F.regexp_extract(value, rf"^((?:{MALE}|{FEMALE}) )", 1)
-    script = F.when(surrogate.rlike("[а-яё]"), "cyrillic").otherwise("latin")
-    given = F.regexp_extract(value, rf" ({NAME}) {NAME}$", 1)
-    pick = F.pmod(F.xxhash64(given), F.lit(8)).cast("int") + 1
-    first = F.coalesce(*[F.when((script == s) & (gender(value) == g), F.element_at(F.array(*map(F.lit, names)), pick)) for (s, g), names in FIRST.items()])
-    last = F.initcap(F.substring(surrogate, 3, 100))
-    name = F.concat(F.when(given != "", F.concat(first, F.lit(" "), last)).otherwise(last))
+    name = F.initcap(F.substring(surrogate, 3, 100))
     loud = surname(value) == F.upper(surname(value))
+    name = F.when(loud, F.upper(name)).otherwise(name)
     return (
-        F.when(kind == "name", F.concat(title, F.when(loud, F.upper(name)).otherwise(name)))
+        F.when(kind == "given", F.concat(title, name, F.lit(" ")))
+        .when(kind == "name", F.when(given_name(value) == "", F.concat(title, name)).otherwise(name))
         .when(kind == "ip", surrogate)
         .when((kind == "email") & (value == F.upper(value)), F.upper(surrogate))
         .when(kind == "email", surrogate)
@@ -168,15 +186,17 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
     found = matches(F.col("text"), PATTERN)
     row = F.xxhash64("doc_id", "text")
     mentions = docs.where("text is not null").select(row.alias("_row"), F.posexplode(found).alias("place", "value"))
-    mentions = mentions.withColumn("kind", F.coalesce(kind_of(F.col("value")), F.lit("phone"))).withColumn("entity", canonical(F.col("kind"), F.col("value")))
+    mentions = mentions.withColumn("kind", F.coalesce(kind_of(F.col("value")), F.lit("phone")))
+    mentions = mentions.select("_row", "place", "value", F.inline(entities_of(F.col("kind"), F.col("value"))))
     mentions = materialize(mentions)
     entities = materialize(mentions.select("kind", "entity").distinct())
     chosen = surrogates(entities, key)
     told = mentions.join(chosen, ["kind", "entity"]).withColumn("new", mention(F.col("kind"), F.col("value"), F.col("surrogate")))
-    lists = told.groupBy("_row").agg(F.collect_set(F.struct("place", "new")).alias("news"))
+    lists = told.groupBy("_row").agg(F.collect_set(F.struct("place", "part", "new")).alias("news"))
     joined = docs.withColumn("_row", row).join(lists, "_row", "left")
-    news = F.transform(F.array_sort("news"), lambda n: n["new"])
     gaps = F.split("text", PATTERN, -1)
-    text = F.array_join(F.flatten(F.zip_with(gaps, news, lambda gap, new: F.array(gap, F.coalesce(new, F.lit(""))))), "")
+    filled = F.transform(F.array_sort("news"), lambda n: F.concat(F.when(n["part"] == 0, F.get("_gaps", n["place"])).otherwise(""), n["new"]))
+    text = F.concat(F.array_join(filled, ""), F.element_at("_gaps", -1))
+    joined = joined.withColumn("_gaps", F.when(F.col("news").isNotNull(), gaps))
     rest = [F.when(F.col("news").isNull(), F.col("text")).otherwise(text).alias("text") if c == "text" else F.col(c) for c in columns]
-    return joined.select(*rest, F.coalesce(F.size("news"), F.lit(0)).cast("long").alias("n_entities"))
+    return joined.select(*rest, F.coalesce(F.size(F.filter("news", lambda n: n["part"] == 0)), F.lit(0)).cast("long").alias("n_entities"))
