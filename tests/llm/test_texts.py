@@ -148,6 +148,15 @@ def test_colliding_proposals_are_drawn_anew(spark):
     assert len({r["surrogate"] for r in narrow}) == 4 and not {r["surrogate"] for r in narrow} & set("0123")
 
 
+def test_a_full_host_gets_longer_local_parts(spark):
+    locals_ = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"] + list("0123456789")
+    entities = spark.createDataFrame([("email", f"{local}@mail.com") for local in locals_], "kind string, entity string")
+    got = {r["entity"]: r["surrogate"] for r in privacy.surrogates(entities, "k").collect()}
+    assert len(got) == len(locals_) == len(set(got.values())) and not set(got) & set(got.values())
+    assert len({s.split("@")[1] for s in got.values()}) == 1 and any(len(s) > len(e) for e, s in got.items())
+    assert all(re.fullmatch(r"[a-z0-9]{1,12}@[a-z]{4}\.com", s) for s in got.values())
+
+
 def brute_base(text):
     out = []
     for m in re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):

@@ -101,14 +101,17 @@ def proposed(entities: DataFrame, key: str, attempt: int) -> DataFrame:
     data = entities.withColumn("own", F.expr(stream(key, attempt, "kind", "entity")))
     # The host of an address follows from the host alone, so addresses that share one still do.
     data = data.withColumn("host", F.expr(stream(key, 0, "'host'", address.format(2))))
-    email = f"concat({reshaped(address.format(1), 'own')}, '@', {reshaped(address.format(2), 'host')}, '.', {address.format(3)})"
-    octets = ", '.', ".join(f"cast(1 + {draw('own', str(n), '254')} as string)" for n in range(3))
+    more = min(LONGER, max(0, attempt - ROOM + 1))
+    letters = LETTERS["[a-z]"]
+    tail = "".join(f", substr('{letters}', 1 + {draw('tail', str(n), str(len(letters)))}, 1)" for n in range(more))
+    if more:
+        data = data.withColumn("tail", F.expr("sha2(concat_ws('|', own, 'tail'), 512)"))
+    email = f"concat({reshaped(address.format(1), 'own')}{tail}, '@', {reshaped(address.format(2), 'host')}, '.', {address.format(3)})"
+    octets = ", '.', ".join(f"cast({0 if more else 1} + {draw('own', str(n), '256' if more else '254')} as string)" for n in range(3))
     ip = f"concat(if(entity rlike '^(10|127)[.]', '10', cast(11 + {draw('own', '3', '112')} as string)), '.', {octets})"
     vowels, stops = "'aeiou'", "'bdfgklmnprstvz'"
     russian_vowels, russian_stops = "'аеиоу'", "'бвгдзклмнпрст'"
 
-    more = min(LONGER, max(0, attempt - ROOM + 1))
-
     def syllables(stop: str, vowel: str, count: int) -> str:
         return ", ".join(f"substr({stop}, 1 + {draw('own', str(2 * n), f'length({stop})')}, 1), substr({vowel}, 1 + {draw('own', str(2 * n + 1), '5')}, 1)" for n in range(count + more))
 
@@ -131,11 +134,12 @@ def proposed(entities: DataFrame, key: str, attempt: int) -> DataFrame:
 def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """A surrogate for every one of ``entities`` (kind, entity; distinct), no two alike within a kind, none a real entity.
 
-    Where several propose the same, the first by name keeps it; the others, and those that meet a real entity, draw anew. If a kind is too
-    narrow for all its entities, this ends in an error after ATTEMPTS draws.
+    Where several propose the same, the first by name keeps it; the others, and those that meet a real entity, draw anew. After ROOM draws
+    addresses get longer local parts and names more syllables, so that no busy host or name runs out of room. Numbers have the length of
+    their entity; only if ATTEMPTS draws in a row place none of those left, as where no number of that length is free, this ends in an error.
     """
-    settled, waiting = None, entities
-    for attempt in range(ATTEMPTS):
+    settled, waiting, left, attempt, idle = None, entities, None, 0, 0
+    while idle < ATTEMPTS:
         drawn = proposed(waiting, key, attempt)
         order = Window.partitionBy("kind", "surrogate").orderBy("entity")
         drawn = drawn.withColumn("first", F.row_number().over(order) == 1)
@@ -149,9 +153,11 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         done = drawn.where("good").select("kind", "entity", "surrogate")
         settled = done if settled is None else settled.unionByName(done)
         waiting = drawn.where("not good").select("kind", "entity")
-        if waiting.isEmpty():
+        before, left = left, waiting.count()
+        if not left:
             return settled
-    raise ValueError("a kind of entity has too few surrogates")
+        attempt, idle = attempt + 1, idle + 1 if left == before else 0
+    raise ValueError("a kind of entity has no free surrogate")
 
 
 def mention(kind: Column, value: Column, surrogate: Column) -> Column:
