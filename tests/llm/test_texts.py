@@ -48,6 +48,18 @@ def test_seeds_find_every_passage_with_two_replaced_words():
         assert any(all(same[at + j] for j, bit in enumerate(mask) if bit == "1") for mask in decontaminate.MASKS for at in range(len(same) - len(mask) + 1)), out
 
 
+def test_seeds_find_every_passage_that_the_rule_allows():
+    for size in range(decontaminate.OVERLAP, 31):
+        out = int(size * (1 - decontaminate.MATCH) + 1e-9)
+        places = np.array(list(combinations(range(size), out)))
+        differs = (np.int64(1) << places).sum(axis=1)
+        for mask in decontaminate.MASKS:
+            seed = sum(1 << j for j, bit in enumerate(mask) if bit == "1")
+            for at in range(size - len(mask) + 1):
+                differs = differs[(differs & (seed << at)) != 0]
+        assert not len(differs), (size, out, len(differs))
+
+
 def brute_overlap(doc, item, least, match):
     best = 0
     need, share = (min(least, len(item)), match if len(item) >= least else 1.0)

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import pieces
 from tidemark.llm.words import _SPACE, buffers, constants, mix, span_hashes, word_spans
 
-# Any 13 words of which at most 2 differ agree under one of these somewhere (tested exhaustively).
-MASKS = ("11011011001", "10101001111", "11001101011", "10011111001")
+# Any stretch of 13 to 30 words of which MATCH are equal agrees under one of these somewhere (tested exhaustively). A longer one can be cut
+# into stretches of 13 to 25 words, one of which has as large a share.
+MASKS = ("110110111", "1101001000111", "111010001011", "1001111011", "11100010100011", "10011000011101")
 OVERLAP = 13
 MATCH = 0.8
 # Words of the benchmark that one pass over the documents holds; a larger benchmark takes more passes.
