@@ -196,3 +196,22 @@ def test_random_tokens_are_found_and_ordinary_ones_are_not(spark):
     df = spark.createDataFrame([(n, f"x {t} y") for n, t in enumerate(keys + plain * 20)], "doc_id long, text string")
     found = {r["doc_id"] for r in secrets.find_secrets(df).collect() if any(s["kind"] == "random" and (s["start"], s["end"]) == (2, 2 + len((keys + plain * 20)[r["doc_id"]])) for s in r["spans"])}
     assert len(found & set(range(120))) >= 110 and not found - set(range(120))
+
+
+def test_ordinary_words_do_not_shut_out_other_encodings_nor_letters(spark):
+    rng = random.Random(23)
+    words = sorted({"".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4))) for _ in range(150)})
+    prose = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(60)]
+    joined = []
+    while len(joined) < 400:
+        token, sign = rng.choice(words), rng.choice(["", "_", "/"])
+        while len(token) < 20:
+            token += sign + rng.choice(words)
+        joined.append(token if rng.random() < 0.8 else token + "7")
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(20)) for _ in range(40)]
+    letters = ["".join(rng.choice(secrets.LOWER + secrets.UPPER) for _ in range(44)) for _ in range(40)]
+    tokens = hexes + letters + joined
+    texts = [f"x {t} y" for t in tokens] + prose
+    found = {r["doc_id"] for r in secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect() if any(s["kind"] == "random" for s in r["spans"])}
+    assert len(found & set(range(40))) >= 36 and len(found & set(range(40, 80))) >= 30
+    assert len(found - set(range(80))) <= 2

@@ -1,9 +1,9 @@
 """Secrets in texts, with DataFrame functions only: known forms, and tokens that pass a battery of randomness tests.
 
 A token of one inferred encoding is tested for a uniform alphabet (chi-squared), for runs above and below the
-middle of the alphabet, and for correlation of neighbours. How well ordinary long words of the corpus pass the same battery, by
-class of length, gives the expected share of false finds; the lowest threshold that keeps it under the wanted
-rate is used in each class.
+middle of the alphabet, and for correlation of neighbours. How well tokens made of the corpus's own frequent words pass the same battery, by
+class of length and encoding, gives the expected share of false finds; the lowest threshold that keeps it under the wanted
+rate is used in each class and encoding.
 """
 
 from __future__ import annotations
@@ -38,6 +38,11 @@ LENGTHS = (20, 24, 32, 40, 48, 64)
 # Expected share of false finds, and thresholds tried: a token is found if its p-value is at least 10^-step.
 RATE = 0.01
 STEPS = 6
+# Random tokens hardly ever lie beyond this step, so those beyond it tell how many ordinary ones the candidates hold.
+ORDINARY_STEP = 2
+# Frequent words of the corpus, where each is found so often at least, and the share of a token's runs of GRAM letters that is theirs in a token of words.
+WORD = r"^[a-z]{4,15}$"
+WORDS, WORD_COUNT, GRAM, WORD_SHARE = 20_000, 5, 4, 0.3
 
 
 def two_sided(z: Column) -> Column:
@@ -73,25 +78,53 @@ def battery(tokens: DataFrame) -> DataFrame:
     return data.select(*tokens.columns, "encoding", F.when(F.col("n") > 2, p).otherwise(F.lit(0.0)).alias("p"))
 
 
-def random_tokens(tokens: DataFrame, rate: float = RATE) -> DataFrame:
-    """Of ``tokens`` (value, more columns) those found to be random, under false-discovery control by class of length.
+def frequent_grams(docs: DataFrame) -> DataFrame:
+    """Runs of GRAM letters (gram) of the most frequent words of ``docs`` (text) that stand alone."""
+    word = F.explode(F.split(F.lower("text"), r"[^A-Za-z0-9+/_-]+")).alias("word")
+    words = docs.select(word).where(F.col("word").rlike(WORD)).groupBy("word").count().where(F.col("count") >= WORD_COUNT)
+    words = words.orderBy(F.desc("count"), "word").limit(WORDS)
+    return words.select(F.explode(grams_of("word")).alias("gram")).distinct()
 
-    A token with letters and digits is a candidate; one of letters and signs only is an ordinary word, and shows how
-    often such pass by chance. Tokens of digits and signs only are neither.
+
+def grams_of(text: str) -> Column:
+    return F.expr(f"if(length({text}) < {GRAM}, array(), transform(sequence(1, greatest(1, length({text}) - {GRAM - 1})), i -> substr({text}, i, {GRAM})))")
+
+
+def worded(values: DataFrame, grams: DataFrame) -> DataFrame:
+    """Those of ``values`` (value; distinct) made of words: WORD_SHARE of the runs of GRAM letters, signs and digits left out, are ``grams``."""
+    runs = values.withColumn("letters", F.regexp_replace(F.lower("value"), "[^a-z]", "")).select("value", F.explode(grams_of("letters")).alias("gram"))
+    runs = runs.join(F.broadcast(grams.withColumn("known", F.lit(1))), "gram", "left")
+    return runs.groupBy("value").agg(F.count("known").alias("known"), F.count("*").alias("runs")).where(F.col("known") >= WORD_SHARE * F.col("runs")).select("value")
+
+
+def random_tokens(tokens: DataFrame, grams: DataFrame, rate: float = RATE) -> DataFrame:
+    """Of ``tokens`` (value, more columns) those found to be random, under false-discovery control by class of length and encoding.
+
+    A token made of frequent words, as their ``grams`` tell, is ordinary, and shows how often such pass by chance; any other one
+    with a letter is a candidate. Tokens of digits and signs only are neither. How many candidates are ordinary follows from those that fail clearly. From
+    the step on that holds over ten times as many candidates as random ones leave for it, they are taken for ordinary as well.
     """
     length = F.coalesce(*[F.when(F.length("value") >= low, F.lit(low)) for low in reversed(LENGTHS)])
-    letters, digits = F.col("value").rlike("[A-Za-z]"), F.col("value").rlike("[0-9]")
-    tested = battery(tokens.where(letters)).withColumn("class", length).withColumn("candidate", digits)
+    distinct = materialize(tokens.where(F.col("value").rlike("[A-Za-z]")).groupBy("value").agg(F.count("*").alias("times")))
+    words = worded(distinct.select("value"), grams).withColumn("word", F.lit(True))
+    tested = battery(distinct.join(words, "value", "left")).withColumn("class", length).withColumn("candidate", F.col("word").isNull()).where("encoding is not null")
     tested = materialize(tested.withColumn("step", F.least(F.lit(STEPS + 1), F.ceil(-F.log10(F.greatest("p", F.lit(1e-30)))).cast("int"))))
-    tally = tested.groupBy("class", "step").agg(F.count_if("candidate").alias("found"), F.count_if(~F.col("candidate")).alias("plain"))
-    upto = Window.partitionBy("class").orderBy("step")
-    whole = Window.partitionBy("class")
-    tally = tally.select("class", "step", F.sum("found").over(upto).alias("found"), F.sum("plain").over(upto).alias("plain"), F.sum("found").over(whole).alias("all_found"), F.sum("plain").over(whole).alias("all_plain"))
-    # Half a pass in a hundred words stands for what a small table cannot show.
-    false = (F.col("plain") + 0.5) / (F.col("all_plain") + 100) * F.col("all_found") / F.greatest("found", F.lit(1))
-    limits = tally.where((F.col("step") <= STEPS) & (false <= rate + 1e-12)).groupBy("class").agg(F.max("step").alias("limit"))
-    # A row per length class.
-    return tested.join(F.broadcast(limits), "class").where("candidate and step <= limit").select(*tokens.columns)
+    # A p of 1 is of the first step.
+    tested = tested.withColumn("step", F.greatest("step", F.lit(1)))
+    tally = tested.groupBy("class", "encoding", "step").agg(F.count_if("candidate").alias("new"), F.count_if(~F.col("candidate")).alias("plain"))
+    upto = Window.partitionBy("class", "encoding").orderBy("step")
+    whole = Window.partitionBy("class", "encoding")
+    failed = [F.sum(F.when(F.col("step") > ORDINARY_STEP, F.col(c)).otherwise(0)).over(whole).alias(f"failed_{c}") for c in ("new", "plain")]
+    tally = tally.select("class", "encoding", "step", "new", F.sum("new").over(upto).alias("found"), F.sum("plain").over(upto).alias("plain"), F.sum("new").over(whole).alias("all_found"), F.sum("plain").over(whole).alias("all_plain"), *failed)
+    # Half a pass in a hundred words, which fail otherwise, stands for what a small table cannot show.
+    ordinary = F.least("all_found", F.col("failed_new") * (F.col("all_plain") + 100) / (F.col("failed_plain") + 100))
+    false = (F.col("plain") + 0.5) / (F.col("all_plain") + 100) * ordinary / F.greatest("found", F.lit(1))
+    crowded = (F.col("step") > 1) & (F.col("new") > F.pow(F.lit(10.0), 2 - F.col("step")) * (F.col("found") - F.col("new")))
+    tally = tally.withColumn("false", false).withColumn("crowded", F.max(crowded).over(upto))
+    limits = tally.where((F.col("step") <= STEPS) & (F.col("false") <= rate + 1e-12) & ~F.col("crowded")).groupBy("class", "encoding").agg(F.max("step").alias("limit"))
+    # A row per length class and encoding.
+    found = tested.join(F.broadcast(limits), ["class", "encoding"]).where("candidate and step <= limit").select("value")
+    return tokens.join(found, "value").select(*tokens.columns)
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -112,7 +145,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     key = F.xxhash64("text").alias("row")
     rows = docs.select("doc_id", key, base.alias("base"))
     tokens = docs.select("doc_id", key, F.explode(located(text, TOKEN)).alias("token")).select("doc_id", "row", "token.*")
-    found = random_tokens(tokens)
+    found = random_tokens(materialize(tokens), materialize(frequent_grams(docs)))
     extra = found.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", F.lit(3).alias("rank"), F.lit("random").alias("kind"), "end")).alias("extra"))
     extra = extra.withColumnsRenamed({"doc_id": "its_doc", "row": "its_row"})
     joined = rows.join(extra, F.col("doc_id").eqNullSafe(F.col("its_doc")) & (F.col("row") == F.col("its_row")), "left")
