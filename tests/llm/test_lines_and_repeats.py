@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 
+from tidemark.llm import lines
 from tidemark.llm.gsaca import suffix_arrays
 from tidemark.llm.lines import build_index, dedup_lines, probe
 from tidemark.llm.repeats import remove_repeats
@@ -105,3 +106,18 @@ def test_repeat_removal_equals_brute_force(spark):
     key = lambda r: (r[0] is None, r[0] or 0, r[4])
     assert sorted(got, key=key) == sorted(brute_repeats(rows), key=key)
     assert remove_repeats(df.limit(0)).count() == 0
+
+
+def test_lines_of_a_clean_corpus_do_not_meet_in_one_group(spark, monkeypatch):
+    look_up = lines._look_up
+
+    def counted(left, right):
+        assert left.num_rows < 6000, left.num_rows
+        return look_up(left, right)
+
+    monkeypatch.setattr(lines, "_look_up", counted)
+    rows = [(n, "\n".join(f"line {n} of its own, number {k}" for k in range(10))) for n in range(1000)]
+    rows += [(5000, "the only repeated line\nand another one"), (5001, "the only repeated line")]
+    rows += [(6000, "\n".join(f"a long document's line {k}" for k in range(10_000)))]
+    got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got.pop(5001) == 1 and not any(got.values())

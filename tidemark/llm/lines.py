@@ -19,6 +19,8 @@ from tidemark.llm.words import _SPACE, buffers, constants, mix, span_hashes
 from tidemark.session import materialize
 
 KEYS_PER_SHARD = 4096
+# Probes, in the mean, that one copy of a shard answers at most.
+PROBES_PER_COPY = 20_000
 # Slots per key of one level: more is faster to probe, fewer is smaller.
 SLOTS = 1.5
 LEVELS = 40
@@ -118,15 +120,15 @@ def probe(index: dict, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 _ARRAYS = {"sizes": np.int64, "bits": np.uint8, "loose": np.uint64, "fingerprint": np.uint64, "keeper": np.int64, "count": np.int64}
-_SHARD = "shard long, load long, " + ", ".join(f"{name} binary" for name in _ARRAYS)
+_SHARD = "shard long, " + ", ".join(f"{name} binary" for name in _ARRAYS)
 
 
 def _build(key, table):
     a, b = (table.column(c).to_numpy().view(np.uint64) for c in ("a", "b"))
     count = table.column("n_docs").to_numpy()
     index = build_index(a, b, table.column("keeper").to_numpy(), count)
-    columns = [pa.array([key[0].as_py()]), pa.array([int(count.sum())]), *(pa.array([index[n].astype(kind).tobytes()], pa.binary()) for n, kind in _ARRAYS.items())]
-    return pa.table(columns, names=["shard", "load", *_ARRAYS])
+    columns = [pa.array([key[0].as_py()]), *(pa.array([index[n].astype(kind).tobytes()], pa.binary()) for n, kind in _ARRAYS.items())]
+    return pa.table(columns, names=["shard", *_ARRAYS])
 
 
 def _look_up(left, right):
@@ -174,17 +176,19 @@ def dedup_lines(docs: DataFrame, least: int = 10) -> DataFrame:
     probes = docs.select("doc_id", "text").mapInArrow(partial(_probes, least=least), "doc_id long, a long, b long")
     found = probes.groupBy("a", "b").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"), F.count("*").alias("n_docs"))
     repeated = materialize(found.where("keeper < last").select("a", "b", "keeper", "n_docs"))
-    keys, load = repeated.agg(F.count("*"), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
+    keys = repeated.count()
     shard = F.pmod(F.shiftrightunsigned("a", 8), F.lit(keys // KEYS_PER_SHARD + 1)).alias("shard")
     shards = repeated.select(shard, "*").groupBy("shard").applyInArrow(_build, _SHARD)
     shards = materialize(shards)
-    # A shard with many probes is copied, and its probes are dealt over the copies.
-    each = max(500, load // (4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    copies = (F.col("load") / each).cast("long") + 1
-    busy = small(materialize(shards.where(copies > 1).select("shard", copies.alias("copies"))))
-    probing = probes.select("*", shard).join(busy, "shard", "left")
-    probing = probing.withColumn("copy", F.pmod(F.xxhash64("doc_id"), F.coalesce("copies", F.lit(1)))).drop("copies")
-    copied = shards.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))).drop("load")
+    # A shard is copied as its probes ask, those of lines found once included, and they are dealt over the copies; no shard, no probes.
+    asked = materialize(probes.groupBy(shard).agg(F.count("*").alias("n_probes")))
+    total = asked.agg(F.coalesce(F.sum("n_probes"), F.lit(0))).first()[0]
+    each = min(PROBES_PER_COPY, max(500, total // (4 * int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    copies = (F.col("n_probes") / each).cast("long") + 1
+    dealt = small(materialize(asked.join(shards.select("shard"), "shard").select("shard", copies.alias("copies"))))
+    probing = probes.select("*", shard).join(dealt, "shard")
+    probing = probing.withColumn("copy", F.pmod(F.xxhash64("doc_id", "b"), F.col("copies"))).drop("copies")
+    copied = shards.join(dealt, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))).drop("copies")
     gone = probing.groupBy("shard", "copy").cogroup(copied.groupBy("shard", "copy")).applyInArrow(_look_up, "doc_id long, line long")
     gone = gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
