@@ -175,3 +175,86 @@ def op7_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     from tidemark.llm.repeats import remove_repeats
 
     return remove_repeats(read(spark, folder, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(64 * x)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op11_top_k", TOP_K_SQL)
+def op11_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.topk import top_k
+
+    return top_k(read(spark, folder, "embeddings"), k=20, every=20, scale=64)
+
+
+INTERACTION_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+f AS (SELECT doc_id, part, concat(CASE WHEN len(ws) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' END,
+  CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' END, CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+  CASE WHEN doc_id > least THEN 'E' END) AS fails FROM w),
+g AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n FROM f LEFT JOIN g USING (doc_id) GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT part, filter_order, step, filter_order[step] AS letter, fails, good, toxic, n,
+  list_min(list_transform(string_split(fails, ''), lambda l: CASE WHEN l = '' THEN 6 ELSE instr(filter_order, l) END)) AS gone
+  FROM c, o, (SELECT unnest(range(1, 6)) AS step)),
+t AS (SELECT part, filter_order, step, letter, sum(n) FILTER (WHERE gone > step) AS kept, sum(n) FILTER (WHERE gone = step) AS removed,
+  sum(n) FILTER (WHERE gone < step AND contains(fails, letter)) AS redundant, sum(n) FILTER (WHERE fails = letter) AS unique_fails,
+  sum(n * good) FILTER (WHERE gone = step) AS good_lost, sum(n * toxic) FILTER (WHERE gone = step) AS toxic_lost
+  FROM s GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, letter), 0) AS BIGINT) AS shapley
+FROM t
+"""
+
+
+@query("op12_filter_audit", INTERACTION_SQL)
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    from tidemark.llm.interaction import filter_interactions
+
+    return filter_interactions(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Lloyd rounds as a chain of views: an entry's components by (part, entry, place), all parts compared with all entries in each."""
+    near = """a{n} AS (SELECT row, part, arg_min(entry, (dist, entry)) AS entry, min(dist) AS dist FROM (SELECT x.row, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v)) AS dist
+  FROM x JOIN b{n} b ON b.part = x.part AND b.place = x.place GROUP BY x.row, x.part, b.entry) GROUP BY row, part)"""
+    move = """m{n} AS (SELECT x.part, a.entry, x.place, CAST(floor(sum(x.v) / count(*)) AS BIGINT) AS v FROM x JOIN a{n} a ON a.row = x.row AND a.part = x.part GROUP BY x.part, a.entry, x.place),
+b{next} AS (SELECT b.part, b.entry, b.place, coalesce(m.v, b.v) AS v FROM b{n} b LEFT JOIN m{n} m ON m.part = b.part AND m.entry = b.entry AND m.place = b.place)"""
+    steps = ",\n".join(near.format(n=n) + ",\n" + move.format(n=n, next=n + 1) for n in range(rounds)) + ",\n" + near.format(n=rounds)
+    return f"""
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row, vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(4096 * x) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS (SELECT row, i // (len // 8) AS part, i % (len // 8) AS place, e[i + 1] AS v FROM (SELECT row, e, len(e) AS len, unnest(range(len(e))) AS i FROM k)),
+b0 AS (SELECT part, row AS entry, place, v FROM x WHERE row < 16),
+{steps},
+book AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM b{rounds}),
+code AS (SELECT row, string_agg('0' || substr('0123456789abcdef', CAST(entry AS INT) + 1, 1), '' ORDER BY part) AS code, CAST(sum(dist) AS BIGINT) AS error FROM a{rounds} GROUP BY row)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM k JOIN code USING (row), book
+"""
+
+
+@query("op13_vector_codes", _codes_sql())
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.compress import product_codes, with_label_error
+
+    coded, books = product_codes(read(spark, folder, "embeddings"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    code = F.lower(F.hex("code")).alias("code")
+    return with_label_error(coded).select("vec_id", code, "error", "label_error", F.lit(digest).alias("codebooks_sha256"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import checkpoint_dir, materialize
 
 # A side of at most so many narrow rows (ids, hashes) may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
@@ -27,6 +28,20 @@ def small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
 
 
+def stage(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, with its path for ``drop_stage``."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Remove a stage that no later step reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of ``column``; a longer value has a batch of its own."""
     for batch in batches:
