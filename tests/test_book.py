@@ -1,4 +1,4 @@
-"""Books against a small in-memory replay, and the documented delta cases."""
+"""Books against a small in-memory replay."""
 
 import random
 
@@ -106,8 +106,8 @@ def test_random_streams_match_replay(spark):
     assert len(rows) == len(got) and got == want_b
 
 
-SEED = [("S", 1, "M", 10, 10, "yes", 0, 420_000, 10_000), ("S", 1, "M", 10, 10, "yes", 1, 430_000, 5_000),
-        ("S", 1, "M", 10, 10, "no", 0, 550_000, 7_000), ("S", 1, "M", 10, 10, "no", 1, 560_000, 3_000)]
+SEED = [("S", 1, "M", 31, 31, "yes", 0, 210_000, 640), ("S", 1, "M", 31, 31, "yes", 1, 280_000, 1_900),
+        ("S", 1, "M", 31, 31, "no", 0, 610_000, 850), ("S", 1, "M", 31, 31, "no", 1, 690_000, 230)]
 
 
 def at_end(spark, moves, levels=SEED, convention="no_leg", extra=()):
@@ -120,40 +120,54 @@ def at_end(spark, moves, levels=SEED, convention="no_leg", extra=()):
     return {b.price: b.size for b in view.bids}, {a.price: a.size for a in view.asks}, view, final
 
 
-def test_documented_deltas(spark):
-    bids, _, view, _ = at_end(spark, [(11, "yes", 410_000, 2_500)])
-    assert bids[410_000] == 2_500 and view.bid_depth == 3
-    bids, _, view, final = at_end(spark, [(11, "yes", 400_000, -2_500)])
-    assert view is None and final == {11: ("applied", True)}
-    bids, _, view, _ = at_end(spark, [(11, "yes", 430_000, -5_000)])
-    assert bids == {420_000: 10_000} and view.bid_micros == 420_000
-    _, _, view, final = at_end(spark, [(11, "yes", 430_000, -7_500), (12, "yes", 430_000, 1)])
-    assert view is None and final == {11: ("applied", True), 12: ("discarded_invalid", False)}
-    bids, _, _, _ = at_end(spark, [(11, "yes", 420_000, 1_000), (12, "yes", 420_000, 1_000), (13, "yes", 420_000, 1_000)])
-    assert bids[420_000] == 13_000
-    _, asks, view, _ = at_end(spark, [(11, "no", 570_000, 4_000)])
-    assert asks[430_000] == 4_000 and view.is_locked and not view.is_crossed
-    assert {n.price: n.size for n in view.no_bids}[570_000] == 4_000
-    _, asks, _, _ = at_end(spark, [(11, "no", 430_000, 4_000)], SEED[:2], "yes_leg")
-    assert list(asks) == [430_000]
-
-
-def test_view_and_invalid_window(spark):
-    _, _, view, _ = at_end(spark, [])
-    assert (view.bid_micros, view.ask_micros, view.spread_micros, view.mid_micros) == (430_000, 440_000, 10_000, 435_000)
-    gap = [(20, "yes", 420_000, 500)] + [(s, "yes", 420_000, 100) for s in range(21, 30)]
+def replayed(moves, convention="no_leg"):
+    ref = Ref(convention)
+    ref.snapshot(31, [(side, price, size) for *_, side, _, price, size in SEED])
+    return ref, {seq: ref.delta(seq, side, price, change) for seq, side, price, change in moves}
+
+
+def test_single_deltas_equal_the_replay(spark):
+    """A new level, more of one, exactly none of one, less than none, of one that is not there, and on the other side."""
+    rng = random.Random(23)
+    cases = [[(32, "yes", 150_000, 400)], [(32, "yes", 210_000, 55), (33, "yes", 210_000, 5)], [(32, "yes", 280_000, -1_900)],
+             [(32, "yes", 280_000, -1_901), (33, "yes", 280_000, 10)], [(32, "yes", 90_000, -1)], [(32, "no", 720_000, 70)], [(32, "no", 690_000, -230)]]
+    for _ in range(4):
+        cases.append([(32 + n, rng.choice(["yes", "no"]), rng.choice([210_000, 280_000, 610_000, 690_000]), rng.choice([-200, 90, 310])) for n in range(6)])
+    for convention in ("no_leg", "yes_leg"):
+        levels = [(f"C{n}", *row[1:]) for n in range(len(cases)) for row in SEED]
+        deltas = [(f"C{n}", 1, "M", s, s, side, p, d) for n, moves in enumerate(cases) for s, side, p, d in moves]
+        state, outcomes, history = build(spark, levels, deltas, convention=convention)
+        views = {r.session_id: r for r in book.book_view(book.book_at(state, history, 10**9)).collect()}
+        final = {(r.session_id, r.seq): (r.outcome, r.is_desync) for r in book.delta_outcomes(outcomes, history).collect()}
+        for n, moves in enumerate(cases):
+            ref, want = replayed(moves, convention)
+            view = views.get(f"C{n}")
+            assert {seq: final[f"C{n}", seq] for seq in want} == want
+            assert (view is not None) == ref.valid
+            if view is None:
+                continue
+            bids, asks = ({x.price: x.size for x in side} for side in (view.bids, view.asks))
+            assert (bids, asks) == (ref.bids, ref.asks)
+            b, _, a, _, deep_b, deep_a = ref.bbo()
+            assert (view.bid_micros, view.ask_micros, view.bid_depth, view.ask_depth) == (b, a, deep_b, deep_a)
+            assert view.spread_micros == (a - b if a is not None and b is not None else None) and view.is_locked == (a == b) and view.is_crossed == (a is not None and b is not None and b > a)
+            assert {x.price: x.size for x in view.no_bids} == {1_000_000 - p: q for p, q in asks.items()}
+
+
+def test_a_gap_hides_the_book_until_a_snapshot(spark):
+    gap = [(36, "yes", 210_000, 15)] + [(s, "yes", 280_000, 20) for s in range(37, 41)]
     assert at_end(spark, gap)[2] is None
-    bids, asks, _, final = at_end(spark, gap, extra=[("S", 1, "M", 30, 30, "yes", 0, 420_000, 10_000)])
-    assert bids == {420_000: 10_000} and asks == {}
-    assert final[20][0] == "gapped" and {final[s][0] for s in range(21, 30)} == {"discarded_invalid"}
+    bids, asks, _, final = at_end(spark, gap, extra=[("S", 1, "M", 45, 41, "yes", 0, 330_000, 480)])
+    assert bids == {330_000: 480} and asks == {}
+    assert final[36][0] == "gapped" and {final[s][0] for s in range(37, 41)} == {"discarded_invalid"}
 
 
 def test_strict_mode_never_crosses(spark):
-    deltas = [("S", 1, "M", 11, 11, "yes", 440_000, 1_000), ("S", 1, "M", 12, 12, "yes", 10_000, 1_000)]
+    deltas = [("S", 1, "M", 32, 32, "yes", 310_000, 7), ("S", 1, "M", 33, 33, "yes", 20_000, 9)]
     _, _, history = build(spark, SEED, deltas)
     bbo = book.best_levels(history)
     assert [r.finding for r in book.invariant_findings(history, bbo).orderBy("seq").collect()] == ["locked", "locked"]
-    assert [r.seq for r in book.invalidate_on_cross(bbo).collect()] == [10]
+    assert [r.seq for r in book.invalidate_on_cross(bbo).collect()] == [31]
 
 
 def test_a_gap_on_a_shared_stream_invalidates_every_market(spark):
@@ -171,15 +185,15 @@ def test_a_gap_on_a_shared_stream_invalidates_every_market(spark):
 
 
 def test_unsorted_snapshot_is_refused_and_changes_nothing(spark):
-    bad = [("S", 1, "M", 12, 12, "yes", 0, 430_000, 1), ("S", 1, "M", 12, 12, "yes", 1, 420_000, 1),
-           ("S", 1, "M", 13, 13, "no", 0, 420_000, 1), ("S", 1, "M", 13, 13, "no", 1, 420_000, 1)]
+    bad = [("S", 1, "M", 33, 33, "yes", 0, 280_000, 1), ("S", 1, "M", 33, 33, "yes", 1, 210_000, 1),
+           ("S", 1, "M", 34, 34, "no", 0, 610_000, 1), ("S", 1, "M", 34, 34, "no", 1, 610_000, 1)]
     lv = spark.createDataFrame(SEED + bad, LEVELS)
-    assert sorted((r.seq, r.fault) for r in book.snapshot_faults(lv).collect()) == [(12, "unsorted"), (13, "duplicate")]
-    bids, _, _, final = at_end(spark, [(11, "yes", 410_000, 1)], extra=bad)
-    assert bids == {410_000: 1, 420_000: 10_000, 430_000: 5_000}
+    assert sorted((r.seq, r.fault) for r in book.snapshot_faults(lv).collect()) == [(33, "unsorted"), (34, "duplicate")]
+    bids, _, _, final = at_end(spark, [(32, "yes", 150_000, 3)], extra=bad)
+    assert bids == {150_000: 3, 210_000: 640, 280_000: 1_900}
     cont = {}
-    state, outcomes, history = build(spark, SEED + [("S", 1, "M", 20, 20, "yes", 0, 1, 1), ("S", 1, "M", 30, 5, "yes", 0, 1, 1)],
-                                     [("S", 1, "M", 11, 11, "yes", 430_000, 1)])
+    state, outcomes, history = build(spark, SEED + [("S", 1, "M", 40, 50, "yes", 0, 1, 1), ("S", 1, "M", 60, 4, "yes", 0, 1, 1)],
+                                     [("S", 1, "M", 32, 32, "yes", 280_000, 1)])
     for r in book.snapshot_continuity(outcomes, book.delta_outcomes(outcomes, history)).collect():
         cont[r.seq] = (r.previous_seq, r.continuity)
-    assert cont == {10: (None, "initial"), 20: (11, "continues"), 5: (20, "restarts")}
+    assert cont == {31: (None, "initial"), 50: (32, "continues"), 4: (50, "restarts")}

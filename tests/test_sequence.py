@@ -65,25 +65,25 @@ def test_verdicts_match_replay(spark):
         assert [r.verdict for r in got if r.session_id == k] == want[k]
 
 
-def test_documented_sequence_cases(spark):
-    rows = [("S", 1, 1, 10, True), ("S", 1, 2, 14, False), ("S", 1, 3, 15, False), ("S", 1, 4, 20, True),
-            ("T", 1, 1, 10, True), ("T", 1, 2, 9, False), ("T", 1, 3, 10, False), ("T", 1, 4, 11, False)]
+def test_gap_figures_and_regressions(spark):
+    rows = [("S", 1, 5, 40, True), ("S", 1, 6, 47, False), ("S", 1, 8, 48, False), ("S", 1, 9, 60, True),
+            ("T", 1, 2, 33, True), ("T", 1, 3, 31, False), ("T", 1, 5, 33, False), ("T", 1, 6, 34, False)]
     df = spark.createDataFrame(rows, "session_id string, sid bigint, received_at_ns bigint, seq bigint, is_snapshot boolean")
     got = {(r.session_id, r.received_at_ns): r for r in sequence.sequence_verdicts(df, width=2).collect()}
-    assert (got["S", 2].verdict, got["S", 2].expected, got["S", 2].skipped) == ("gap", 11, 3)
-    assert got["S", 3].verdict == "in_order"
-    assert [got["T", i].verdict for i in (2, 3, 4)] == ["regression", "regression", "in_order"]
+    assert (got["S", 6].verdict, got["S", 6].expected, got["S", 6].skipped) == ("gap", 41, 6)
+    assert got["S", 8].verdict == "in_order"
+    assert [got["T", i].verdict for i in (3, 5, 6)] == ["regression", "regression", "in_order"]
 
 
 def test_invalid_time_adds_up(spark):
     s = 1_000_000_000
-    rows = [("S", 1, 0, 1, True), ("S", 1, 0, 5, False), ("S", 1, 5 * s, 6, True), ("S", 1, 10 * s, 20, False),
-            ("S", 1, 11 * s, 30, False), ("S", 1, 13 * s, 31, True), ("U", 1, 0, 1, False)]
+    rows = [("S", 1, 2 * s, 7, True), ("S", 1, 4 * s, 11, False), ("S", 1, 11 * s, 12, True), ("S", 1, 19 * s, 29, False),
+            ("S", 1, 22 * s, 35, False), ("S", 1, 25 * s, 36, True), ("U", 1, 6 * s, 1, False)]
     df = spark.createDataFrame(rows, "session_id string, sid bigint, received_at_ns bigint, seq bigint, is_snapshot boolean")
     v = sequence.sequence_verdicts(df, width=2 * s)
-    health = sequence.stream_health(v, sequence.invalid_spans(v, 20 * s, width=2 * s))
+    health = sequence.stream_health(v, sequence.invalid_spans(v, 40 * s, width=2 * s))
     got = {r.session_id: (r.gaps, r.is_invalid, r.invalid_ns) for r in health.collect()}
-    assert got == {"S": (3, False, 8 * s), "U": (0, True, 20 * s)}
+    assert got == {"S": (3, False, (7 + 6) * s), "U": (0, True, 34 * s)}
 
 
 def test_gaps_need_both_keys(spark):

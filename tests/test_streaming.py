@@ -5,8 +5,6 @@ import os
 import random
 import time
 
-from pyspark.errors import AnalysisException
-
 from tidemark.operators import grids, reconcile, sequence
 from tidemark.sources import records, tables
 from tidemark.streaming import live
@@ -46,35 +44,163 @@ def test_ingest_and_minutes(spark, folder):
     assert [r.frames for r in spark.table("spells").collect()] == [5]
 
 
-def test_sequence_tracker_equals_batch(spark, folder):
-    rng, rows, seq = random.Random(4), [], {"A": 5, "B": 5}
-    for i in range(120):
-        k = rng.choice("AB")
-        seq[k] = max(1, seq[k] + rng.choice([1, 1, 1, 1, 3, 0, -1]))
-        rows.append({"session_id": k, "sid": 1, "received_at_ns": i, "seq": seq[k], "is_snapshot": rng.random() < 0.05})
-    for n in range(3):
-        drop(f"{folder}/in", n, rows[n * 40:(n + 1) * 40])
-    finish(live.track_sequences(stream(spark, f"{folder}/in", live.MARK), f"{folder}/st", f"{folder}/cp", 16))
-    got = {(r.received_at_ns): r.verdict for r in live.read_output(spark, f"{folder}/st").collect()}
-    batch = sequence.sequence_verdicts(spark.read.schema(live.MARK).json(f"{folder}/in"), width=16)
-    assert got == {r.received_at_ns: r.verdict for r in batch.collect()}
-
-
-def test_grids_and_registry_equal_batch(spark, folder):
+SECOND = 1_000_000_000
+BASE = 1_000_000 * SECOND
+FRAMES = "session_id string, sid bigint, received_at_ns bigint, seq bigint, is_snapshot boolean, control string"
+
+
+def feed(folder, rows, n, rng, reach, time, end):
+    """``rows`` in ``n`` files, each up to ``reach`` places late, and a last row far ahead."""
+    order = sorted(range(len(rows)), key=lambda i: i + rng.random() * reach)
+    size = len(rows) // n + 1
+    for k in range(n):
+        drop(folder, k, [rows[i] for i in order[k * size : (k + 1) * size]])
+    drop(folder, n, [{**end, time: rows[-1][time] + 10**6 * max(1, rows[-1][time] // 10**6)}])
+
+
+def lives_of(rows):
+    """Verdicts and closed spans of one stream's rows in order, as a plain loop."""
+    out, spans = [], []
+    known, live, life, last, valid, since = False, False, 0, None, False, None
+    for r in rows:
+        at, seq, control = r["received_at_ns"], r["seq"], r["control"]
+        if control == "open":
+            if live and not valid:
+                spans.append((since, at))
+            known, live, life, last, valid, since = True, True, life + 1, None, False, at
+            out.append((at, life, "registered"))
+            continue
+        if not known and control is None:
+            known, live, since = True, True, at
+        if not live:
+            known = True
+            out.append((at, life, "unregistered"))
+        elif control == "close":
+            if not valid:
+                spans.append((since, at))
+            live = False
+            out.append((at, life, "retired"))
+        elif r["is_snapshot"]:
+            out.append((at, life, "snapshot_initial" if last is None else "snapshot_continues" if seq > last else "snapshot_restarts"))
+            if not valid:
+                spans.append((since, at))
+            last, valid = seq, True
+        elif last is None or seq == last + 1:
+            out.append((at, life, "first" if last is None else "in_order"))
+            last = seq
+        elif seq <= last:
+            out.append((at, life, "regression"))
+        else:
+            out.append((at, life, "gap"))
+            last = seq
+            if valid:
+                valid, since = False, at
+    return out, spans
+
+
+def stream_rows(rng, n):
+    rows, seq = [], {}
+    for i in range(n):
+        k = (rng.choice("AAAB"), rng.choice([1, 2]))
+        roll = rng.random()
+        control = "open" if roll < 0.03 else "close" if roll < 0.07 else None
+        seq[k] = 1 if control == "open" else max(1, seq.get(k, 7) + rng.choice([1, 1, 1, 1, 1, 4, 0, -1]))
+        rows.append({"session_id": k[0], "sid": k[1], "received_at_ns": BASE + i * SECOND, "seq": None if control else seq[k], "is_snapshot": control is None and rng.random() < 0.12, "control": control})
+    return rows
+
+
+def test_tracker_and_batch_lifetimes_equal_a_plain_loop(spark, folder):
+    rng = random.Random(4)
+    rows = stream_rows(rng, 400)
+    feed(f"{folder}/in", rows, 4, rng, 9, "received_at_ns", {**rows[0], "session_id": "end", "control": None})
+    finish(live.track_sequences(stream(spark, f"{folder}/in", FRAMES), f"{folder}/st", f"{folder}/cp", late="10 seconds"))
+    got = live.read_output(spark, f"{folder}/st").collect()
+    frames = spark.createDataFrame([r for r in rows if r["control"] is None], FRAMES).drop("control")
+    controls = spark.createDataFrame([r for r in rows if r["control"]], FRAMES)
+    live_frames, lives = sequence.lifetimes(frames, controls, width=20 * SECOND)
+    verdicts = sequence.sequence_verdicts(live_frames, sequence.LIFE, width=20 * SECOND)
+    end = BASE + 10_000 * SECOND
+    spans = sequence.invalid_spans(verdicts, end, sequence.LIFE, width=20 * SECOND, lives=lives)
+    batch, closed = verdicts.collect(), spans.where("NOT is_open").collect()
+    totals = sequence.live_totals(sequence.lifetime_health(verdicts, spans, lives)).first()
+    retired = 0
+    for key in {(r["session_id"], r["sid"]) for r in rows}:
+        want, want_spans = lives_of([r for r in rows if (r["session_id"], r["sid"]) == key])
+        mine = [r for r in got if (r.session_id, r.sid) == key]
+        assert sorted((r.received_at_ns, r.life, r.verdict) for r in mine) == want
+        assert sorted((r.span_started_ns, r.received_at_ns) for r in mine if r.span_started_ns is not None) == want_spans
+        data = [w for w in want if w[2] not in ("registered", "retired", "unregistered")]
+        assert sorted((r.received_at_ns, r.life, r.verdict) for r in batch if (r.session_id, r.sid) == key) == data
+        assert sorted((r.started_ns, r.ended_ns) for r in closed if (r.session_id, r.sid) == key) == want_spans
+        retired += sum(w[2] == "retired" for w in want)
+    assert totals.retired_streams >= retired > 0
+
+
+def test_outages_of_a_life_add_up_and_an_ended_one_stops_counting(spark):
+    def row(at, seq, snapshot=False, sid=4):
+        return ("Q", sid, at * SECOND, seq, snapshot)
+
+    rows = [row(3, 70, True), row(9, 75), row(12, 76), row(16, 90, True), row(20, 95), row(27, 96, True), row(30, 99), row(41, 8, True, 6)]
+    frames = spark.createDataFrame(rows, "session_id string, sid bigint, received_at_ns bigint, seq bigint, is_snapshot boolean")
+    schema = "session_id string, sid bigint, received_at_ns bigint, control string"
+    opened = [("Q", 4, 1 * SECOND, "open"), ("Q", 6, 40 * SECOND, "open"), ("Q", 9, 44 * SECOND, "open")]
+
+    def totals(controls):
+        good, lives = sequence.lifetimes(frames, spark.createDataFrame(controls, schema), width=5 * SECOND)
+        verdicts = sequence.sequence_verdicts(good, sequence.LIFE, width=5 * SECOND)
+        spans = sequence.invalid_spans(verdicts, 50 * SECOND, sequence.LIFE, width=5 * SECOND, lives=lives)
+        health = sequence.lifetime_health(verdicts, spans, lives)
+        return {r.sid: (r.gaps, r.is_invalid, r.invalid_ns // SECOND, r.is_retired) for r in health.collect()}, sequence.live_totals(health).first()
+
+    # Sid 4: 2 s until its first snapshot, 7 s and 7 s of outages, and from 30 s on; sid 9 never got a frame.
+    each, total = totals(opened)
+    assert each == {4: (3, True, 2 + 7 + 7 + 20, False), 6: (0, False, 1, False), 9: (0, True, 6, False)}
+    assert tuple(total) == (3, 2, (36 + 1 + 6) * SECOND, 0)
+    each, total = totals([*opened, ("Q", 4, 33 * SECOND, "close")])
+    assert each[4] == (3, False, 2 + 7 + 7 + 3, True) and tuple(total) == (0, 1, 7 * SECOND, 1)
+
+
+def test_controls_come_from_control_rows_errors_and_lost_connections(spark):
+    control = spark.createDataFrame([("A", 1, 10, "subscribed"), ("A", 2, 11, "subscribed"), ("A", 1, 30, "unsubscribed"), ("B", 1, 5, "subscribed"), ("A", None, 7, "error")],
+                                    "session_id string, sid bigint, received_at_ns bigint, message_type string")
+    losses = spark.createDataFrame([("A", 50)], "session_id string, received_at_ns bigint")
+    errors = spark.createDataFrame([("B", 1, 20, "resubscribe"), ("B", 1, 21, None)], "session_id string, sid bigint, received_at_ns bigint, recovery string")
+    got = sorted(map(tuple, sequence.stream_controls(control, losses, errors).collect()))
+    assert got == [("A", 1, 10, "open"), ("A", 1, 30, "close"), ("A", 1, 50, "close"), ("A", 2, 11, "open"), ("A", 2, 50, "close"), ("B", 1, 5, "open"), ("B", 1, 20, "close")]
+
+
+def test_grids_and_registry_equal_batch_and_start_warm(spark, folder):
     rng = random.Random(6)
-    looks = [{"market_ticker": rng.choice("MN"), "source": "d", "observed_ms": i, "price_ranges_raw": rng.choice(["[1]", "[1]", "[2]"])} for i in range(60)]
-    seen = [{"market_ticker": f"M{rng.randrange(12)}", "learned_via": rng.choice(reconcile.SOURCES), "seen_ms": i} for i in range(60)]
-    for n in range(3):
-        drop(f"{folder}/g", n, looks[n * 20:(n + 1) * 20])
-        drop(f"{folder}/r", n, seen[n * 20:(n + 1) * 20])
-    finish(live.track_grids(stream(spark, f"{folder}/g", live.GRID_STATE), f"{folder}/gs", f"{folder}/gc"))
+    looks = [{"market_ticker": rng.choice("MMN"), "source": "d", "observed_ms": 1000 + i, "price_ranges_raw": rng.choice(["[1]", "[1]", "[2]"])} for i in range(60)]
+    seen = [{"market_ticker": f"M{rng.randrange(12)}", "learned_via": rng.choice(reconcile.SOURCES), "seen_ms": 1000 + i // 2} for i in range(60)]
+    feed(f"{folder}/g", looks, 3, rng, 8, "observed_ms", {**looks[0], "market_ticker": "end"})
+    feed(f"{folder}/r", seen, 3, rng, 8, "seen_ms", {**seen[0], "market_ticker": "end"})
+    finish(live.track_grids(stream(spark, f"{folder}/g", live.keyed.GRID_ROW), f"{folder}/gs", f"{folder}/gc"))
     got = {r.observed_ms: r.verdict for r in live.read_output(spark, f"{folder}/gs").collect()}
-    assert got == {r.observed_ms: r.verdict for r in grids.grid_verdicts(spark.read.schema(live.GRID_STATE).json(f"{folder}/g")).collect()}
+    batch = grids.grid_verdicts(spark.createDataFrame(looks, live.keyed.GRID_ROW))
+    assert got == {r.observed_ms: r.verdict for r in batch.collect()}
+    stored = spark.createDataFrame([("M", "d", looks[0]["price_ranges_raw"])], "market_ticker string, source string, price_ranges_raw string")
+    finish(live.track_grids(stream(spark, f"{folder}/g", live.keyed.GRID_ROW), f"{folder}/ws", f"{folder}/wc", initial=stored))
+    warm = {r.market_ticker: r.verdict for r in live.read_output(spark, f"{folder}/ws").where("verdict = 'first_observation'").collect()}
+    assert set(warm) == {"N"}
     schema = "market_ticker string, learned_via string, seen_ms bigint"
     finish(live.track_registry(stream(spark, f"{folder}/r", schema), f"{folder}/rs", f"{folder}/rc"))
-    want = reconcile.market_registry(spark.read.schema(schema).json(f"{folder}/r")).where("learned_via = 'reconciliation'")
-    assert {r.market_ticker for r in live.read_output(spark, f"{folder}/rs").collect()} == {r.market_ticker for r in want.collect()}
-    assert spark.read.parquet(f"{folder}/rs/state/version=2").count() == len({r["market_ticker"] for r in seen})
+    want = {tuple(r) for r in reconcile.market_registry(spark.createDataFrame(seen, schema)).collect()}
+    assert {tuple(r) for r in live.read_output(spark, f"{folder}/rs").collect()} == want
+    known = spark.createDataFrame([("M1", "lifecycle", 5)], live.keyed.KNOWN)
+    finish(live.track_registry(stream(spark, f"{folder}/r", schema), f"{folder}/ks", f"{folder}/kc", initial=known))
+    assert {r.market_ticker for r in live.read_output(spark, f"{folder}/ks").collect()} == {w[0] for w in want} - {"M1"}
+
+
+def test_a_second_query_goes_on_from_where_the_first_one_ended(spark, folder):
+    rows = [{"session_id": "A", "sid": 1, "received_at_ns": BASE + i * SECOND, "seq": seq, "is_snapshot": i == 0, "control": None} for i, seq in enumerate([5, 6, 9, 10])]
+    far = {"session_id": "end", "sid": 1, "seq": 1, "is_snapshot": False, "control": None}
+    for n, part in enumerate((rows[:2], rows[2:])):
+        drop(f"{folder}/in", 2 * n, part)
+        drop(f"{folder}/in", 2 * n + 1, [{**far, "received_at_ns": BASE + (100 if n else 11) * SECOND}])
+        finish(live.track_sequences(stream(spark, f"{folder}/in", FRAMES), f"{folder}/st", f"{folder}/cp", late="10 seconds"))
+    got = live.read_output(spark, f"{folder}/st").where("session_id = 'A'").orderBy("received_at_ns").collect()
+    assert [(r.seq, r.verdict, r.is_valid) for r in got] == [(5, "snapshot_initial", True), (6, "in_order", True), (9, "gap", False), (10, "in_order", False)]
 
 
 def test_idle_sessions_raise_an_alert(spark, folder):
@@ -87,13 +213,3 @@ def test_idle_sessions_raise_an_alert(spark, folder):
         time.sleep(1)
     query.stop()
     assert sorted((r.session_id, r.last_received_ns) for r in spark.table("alerts").collect()) == [("A", 4), ("B", 4)]
-
-
-def test_missing_state_is_an_error_after_the_first_batch(spark, folder):
-    rows = spark.createDataFrame([("S", 1, 10, 1, False)], live.MARK)
-    live.track_batch(rows, folder, 0, 1000)
-    try:
-        live.track_batch(rows, folder, 7, 1000)
-        raise AssertionError("batch 7 started from nothing")
-    except AnalysisException:
-        pass

@@ -59,17 +59,30 @@ def grid_intervals(
     )
 
 
-def grid_in_force(prices: DataFrame, observations: DataFrame, at: str, tie: Sequence[str] = ()) -> DataFrame:
-    """Add the bands in force at each price's time (NULL before any was seen), from every source's observations.
+# At equal effective times the market's own announcement outranks what a crawl saw.
+SOURCE_RANK = {"discovery": 1, "lifecycle": 2}
 
-    Stored changes serve as well where one source feeds a market.
+
+def grid_in_force(prices: DataFrame, observations: DataFrame, at: str, hindsight: bool = False, width: int = TIME_CHUNK_MS) -> DataFrame:
+    """Add the bands in force at each price's time (NULL before any was), from every source's observations.
+
+    Two times count: since when a grid holds (``effective_ms``, else ``observed_ms``) and when it was seen. In force is the newest by the first
+    among those that hold and have been seen by then; with ``hindsight``, also those seen later, which agrees with ``grid_intervals``. Ties
+    go to the lifecycle source, then the later observation, then the greater text. Stored changes serve as well as observations.
     """
-    facts = observations.select(
-        "market_ticker", F.col("observed_ms").alias(at), "bands", *[t for t in tie if t in observations.columns]
-    )
-    return as_of(prices, facts, ["market_ticker"], at, ["bands"], tie, name="_grid").select(
-        *prices.columns, F.col("_grid.bands").alias("bands")
-    )
+    columns = observations.columns
+    holds = F.coalesce("effective_ms", "observed_ms") if "effective_ms" in columns else F.col("observed_ms")
+    rank = F.lit(0)
+    if "source" in columns:
+        for source, place in SOURCE_RANK.items():
+            rank = F.when(F.col("source") == source, place).otherwise(rank)
+    words = F.col("price_ranges_raw") if "price_ranges_raw" in columns else F.lit("")
+    known = holds if hindsight else F.greatest(holds, "observed_ms")
+    order = F.struct(holds.alias("holds"), rank.alias("rank"), F.col("observed_ms").alias("seen"), words.alias("words"), F.col("bands").alias("bands"))
+    facts = observations.select("market_ticker", known.alias(at), F.lit(0).alias("_is_price"), order.alias("_grid"))
+    both = prices.withColumn("_is_price", F.lit(1)).unionByName(facts, allowMissingColumns=True)
+    ran = running(both, ["market_ticker"], [at, "_is_price"], time_chunk(at, width), {"_best": Run("max", F.col("_grid"))})
+    return ran.where("_is_price = 1").select(*prices.columns, F.col("_best.bands").alias("bands"))
 
 
 def off_grid_counts(priced: DataFrame, price: str = "price_micros") -> DataFrame:
@@ -81,7 +94,7 @@ def off_grid_counts(priced: DataFrame, price: str = "price_micros") -> DataFrame
 def fee_in_force(trades: DataFrame, overrides: DataFrame, at: str, tie: Sequence[str] = ()) -> DataFrame:
     """Add the fee override of the trade's event at its time.
 
-    ``has_record`` tells "cleared" (a record with NULL values) from "never set".
+    ``has_record`` tells "cleared" (a record with NULL values) from "never set". Records of one time are told apart by ``tie``.
     """
     events = trades.withColumn("event_ticker", tickers.event_ticker("market_ticker"))
     payload = ["fee_type_override", "fee_multiplier_override_raw"]

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.fixed import int_div
 from tidemark.operators.ordered import TIME_CHUNK_NS, Run, running, running_high_water, time_chunk
+from tidemark.session import materialize
 
 STREAM = ("session_id", "sid")
+LIFE = (*STREAM, "life")
+# Sorts behind every number of a stream.
+LAST_SEQ = (1 << 63) - 1
 BITMAP_BITS = 32_768
 BITMAP_BYTES = BITMAP_BITS // 8
 
@@ -165,10 +169,12 @@ def invalid_spans(
     keys: Sequence[str] = STREAM,
     order: Sequence[str] = ("received_at_ns", "seq"),
     width: int = TIME_CHUNK_NS,
+    lives: DataFrame | None = None,
 ) -> DataFrame:
     """Times during which a stream could not be trusted: from registration or a gap to the next snapshot.
 
-    A further gap inside a span does not restart it. Spans still open end at ``now_ns``.
+    A further gap inside a span does not restart it. Spans still open end at ``now_ns``. With ``lives`` (see ``lifetimes``; ``keys`` then
+    include ``life``) a stream is registered when it was opened, if it has no frame too, and a span ends at the latest when it was closed.
     """
     at = order[0]
     chunk = time_chunk(at, width)
@@ -177,9 +183,14 @@ def invalid_spans(
     stated = running(turns, keys, order, chunk, {"was_valid": Run("last", F.col("is_snapshot"))})
     changes = stated.where(F.col("is_snapshot") != F.coalesce("was_valid", F.lit(False)))
     registered = verdicts.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first")).select(*keys, "_first.*")
+    if lives is not None:
+        registered = lives.select(*keys, F.col("opened_ns").alias(at), F.lit(-1).cast("bigint").alias(order[1]))
     marks = changes.select(*keys, *order, F.when(F.col("is_snapshot"), 1).otherwise(0).alias("kind")).unionByName(
         registered.withColumn("kind", F.lit(-1))
     )
+    if lives is not None:
+        closed = lives.where("closed_ns IS NOT NULL").select(*keys, F.col("closed_ns").alias(at), F.lit(LAST_SEQ).alias(order[1]))
+        marks = marks.unionByName(closed.withColumn("kind", F.lit(1)))
     # Starts and ends alternate in arrival order, so the end of a span is the next end after it.
     paired = running(
         marks, keys, [*order, "kind"], chunk, {"next_end": Run("last", F.when(F.col("kind") == 1, F.col(at)))},
@@ -214,3 +225,69 @@ def stream_totals(health: DataFrame) -> DataFrame:
         F.count_if("is_invalid").alias("invalid_streams"),
         F.coalesce(F.sum("invalid_ns"), F.lit(0)).alias("invalid_ns"),
     )
+
+
+def stream_controls(control: DataFrame, losses: DataFrame | None = None, errors: DataFrame | None = None) -> DataFrame:
+    """Openings and closings ``(session_id, sid, received_at_ns, control)`` from stored control rows.
+
+    'subscribed' opens a sid and 'unsubscribed' closes it. ``errors`` are attributed error rows (``metrics.attribute_errors``), whose
+    terminal ones close; ``losses`` (session_id, received_at_ns) are lost connections, which close every sid the session has opened.
+    """
+    kinds = F.when(F.col("message_type") == "subscribed", "open").when(F.col("message_type") == "unsubscribed", "close")
+    out = control.where("sid IS NOT NULL").select(*STREAM, "received_at_ns", kinds.alias("control")).where("control IS NOT NULL")
+    closing = F.lit("close").alias("control")
+    if errors is not None:
+        out = out.unionByName(errors.where("recovery IS NOT NULL AND sid IS NOT NULL").select(*STREAM, "received_at_ns", closing))
+    if losses is not None:
+        opened = control.where("message_type = 'subscribed' AND sid IS NOT NULL").select(*STREAM).distinct()
+        out = out.unionByName(losses.select("session_id", "received_at_ns").join(opened, "session_id").select(*STREAM, "received_at_ns", closing))
+    return out
+
+
+def lifetimes(frames: DataFrame, controls: DataFrame, width: int = TIME_CHUNK_NS) -> tuple[DataFrame, DataFrame]:
+    """Frames of registered streams with their ``life``, and the lives ``(session_id, sid, life, opened_ns, closed_ns)``.
+
+    A life runs from an opening to the next closing or opening of the same sid; its counter starts from nothing. What arrives before any
+    control is life 0, opened by its first frame; frames after a closing belong to no life and are left out. At one time openings
+    come before frames and closings after.
+    """
+    rank = F.when(F.col("control").isNull(), 1).when(F.col("control") == "open", 0).otherwise(2)
+    both = frames.withColumn("control", F.lit(None).cast("string")).unionByName(
+        controls.select(*STREAM, "received_at_ns", "control"), allowMissingColumns=True
+    )
+    lined = both.withColumn("_rank", rank).withColumn("_seq", F.coalesce("seq", F.lit(-1).cast("bigint")))
+    opens = F.col("control") == "open"
+    ran = running(
+        lined, STREAM, ["received_at_ns", "_rank", "_seq"], time_chunk("received_at_ns", width),
+        {"life": Run("count", opens), "_last": Run("last", F.col("control"))}, inclusive=True,
+    )
+    ran = materialize(ran)
+    data = F.col("control").isNull() & ~(F.coalesce("_last", F.lit("open")) == "close")
+    at = F.col("received_at_ns")
+    lives = ran.groupBy(*LIFE).agg(
+        F.coalesce(F.min(F.when(opens, at)), F.min(F.when(data, at))).alias("opened_ns"), F.min(F.when(F.col("control") == "close", at)).alias("_closed")
+    ).where("opened_ns IS NOT NULL")
+    following = F.lead("opened_ns").over(Window.partitionBy(*STREAM).orderBy("life"))
+    lives = lives.select(*LIFE, "opened_ns", F.least("_closed", following).alias("closed_ns"))
+    return ran.where(data).select(*frames.columns, "life"), lives
+
+
+def lifetime_health(verdicts: DataFrame, spans: DataFrame, lives: DataFrame) -> DataFrame:
+    """``stream_health`` of every life, and whether it has ended."""
+    healthy = stream_health(verdicts, spans, LIFE)
+    silent = lives.join(spans.groupBy(*LIFE).agg(F.max("is_open").alias("_open"), F.sum(F.col("ended_ns") - F.col("started_ns")).alias("_lost")), list(LIFE), "left")
+    return silent.join(healthy.select(*LIFE, "gaps"), list(LIFE), "left").select(
+        *LIFE,
+        F.coalesce("gaps", F.lit(0)).alias("gaps"),
+        F.coalesce("_open", F.lit(False)).alias("is_invalid"),
+        F.coalesce("_lost", F.lit(0)).alias("invalid_ns"),
+        F.col("closed_ns").isNotNull().alias("is_retired"),
+    )
+
+
+def live_totals(health: DataFrame) -> DataFrame:
+    """``stream_totals`` of the lives that go on; one that has ended stops counting."""
+    live = health.where("NOT is_retired")
+    ended = health.agg(F.count_if("is_retired").alias("retired_streams"))
+    # Both sides are single-row aggregates.
+    return stream_totals(live).join(ended, F.lit(True))

@@ -1,29 +1,23 @@
-"""Structured Streaming forms.
-
-Order-dependent operators run as micro-batches over the batch operators plus a
-small table of carried state, one version per batch. A batch reads version
-``n - 1`` and overwrites version ``n``, so a repeated batch gives the same files.
-A stream with most of the rows is still spread over many tasks inside a batch,
-which one keyed state function could not do.
-"""
+"""Structured Streaming forms of ingest, metrics, trackers and books. Ordered operators use the engine's keyed state (``keyed``)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.clocks import received_ts
 from tidemark.operators import decode
-from tidemark.operators.grids import GRID_KEY, grid_verdicts
+from tidemark.operators.grids import GRID_KEY
 from tidemark.operators.metrics import IDLE_MS
-from tidemark.operators.sequence import STREAM, sequence_verdicts
-from tidemark.session import materialize
+from tidemark.operators.reconcile import SOURCES
+from tidemark.operators.sequence import STREAM
 from tidemark.sources.tables import ROLL_PERIOD, fan_out
+from tidemark.streaming import keyed
 
 
 def _start(frames: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], period: str | None) -> StreamingQuery:
@@ -60,78 +54,98 @@ def rebuilt_sessions(frames: DataFrame, gap: str = "120 seconds", late: str = "2
     )
 
 
-def _state(spark: SparkSession, folder: str, batch_id: int, schema: str) -> DataFrame:
-    """The state left by the batch before. Only the first batch starts empty: state that is missing later is an error."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{folder}/state/version={batch_id - 1}")
+# Keyed state is kept by the engine's RocksDB store; a new query takes this setting with it.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+LATE = "10 seconds"
 
 
-def _keep(df: DataFrame, folder: str, name: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{folder}/{name}/version={batch_id}")
+def _into(rows: DataFrame, folder: str, checkpoint: str, period: str | None) -> StreamingQuery:
+    """Rows appended to the table ``folder``/out, each batch once."""
+    writer = rows.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if period is None else writer.trigger(processingTime=period)
+    return writer.start()
 
 
 def read_output(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/out").drop("version")
+    return spark.read.parquet(f"{folder}/out")
 
 
-MARK = "session_id string, sid bigint, received_at_ns bigint, seq bigint, is_snapshot boolean"
+def _keyed(rows: DataFrame, keys: list[str], processor, schema: str, initial: DataFrame | None, mode: str = "eventTime") -> DataFrame:
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    seed = None if initial is None else initial.groupBy(*keys)
+    return rows.groupBy(*keys).transformWithState(processor, schema, "Append", mode, seed)
 
 
-def track_batch(batch: DataFrame, folder: str, batch_id: int, width: int) -> None:
-    """Verdicts of one micro-batch. The state is the mark of each stream, fed in as an earlier snapshot row."""
-    spark = batch.sparkSession
-    marks = _state(spark, folder, batch_id, MARK)
+def sequence_events(frames: DataFrame, late: str = LATE, payload: Sequence[str] = ()) -> DataFrame:
+    """Frames as the tracker takes them: keys and numbers, ``control`` where the input has it, and a watermark on arrival."""
+    control = F.col("control") if "control" in frames.columns else F.lit(None).cast("string").alias("control")
     columns = ["session_id", "sid", "received_at_ns", "seq", "is_snapshot"]
-    fresh = batch.select(*columns, F.lit(True).alias("_new"))
-    seeded = fresh.unionByName(marks.select(*columns, F.lit(False).alias("_new")))
-    verdicts = materialize(sequence_verdicts(seeded, width=width))
-    _keep(verdicts.where("_new").drop("_new"), folder, "out", batch_id)
-    newest = F.max(F.struct("received_at_ns", "seq", F.greatest("high_water", F.when(~F.col("is_snapshot"), F.col("seq"))).alias("top"), "is_snapshot"))
-    after = verdicts.groupBy(*STREAM).agg(newest.alias("n")).select(
-        *STREAM, "n.received_at_ns", F.when(F.col("n.is_snapshot"), F.col("n.seq")).otherwise(F.col("n.top")).alias("seq"), F.lit(True).alias("is_snapshot")
-    )
-    _keep(after, folder, "state", batch_id)
+    kept = frames.select(*columns, control, *payload, received_ts("received_at_ns").alias("at"))
+    return kept.where("session_id IS NOT NULL AND sid IS NOT NULL AND (seq IS NOT NULL OR control IS NOT NULL)").withWatermark("at", late)
 
 
-def track_sequences(frames: DataFrame, folder: str, checkpoint: str, width: int, period: str | None = None) -> StreamingQuery:
-    """Live sequence verdicts for ``(session_id, sid, received_at_ns, seq, is_snapshot)`` frames."""
-    return _start(frames, checkpoint, lambda batch, n: track_batch(batch, folder, n, width), period)
+def live_verdicts(frames: DataFrame, late: str = LATE, initial: DataFrame | None = None) -> DataFrame:
+    """Verdict rows of a stream of ``(session_id, sid, received_at_ns, seq, is_snapshot[, control])``; see ``keyed.SequenceTracker``.
+
+    ``initial`` holds the newest verdict row per stream of an earlier query, with ``open_since_ns`` (NULL when valid).
+    """
+    return _keyed(sequence_events(frames, late), list(STREAM), keyed.SequenceTracker(), keyed.VERDICT, initial)
+
 
+def track_sequences(frames: DataFrame, folder: str, checkpoint: str, period: str | None = None, late: str = LATE, initial: DataFrame | None = None) -> StreamingQuery:
+    return _into(live_verdicts(frames, late, initial), folder, checkpoint, period)
 
-GRID_STATE = "market_ticker string, source string, observed_ms bigint, price_ranges_raw string"
 
+def readable_snapshot(levels: Column) -> Column:
+    """Levels that ascend strictly within each side and can all be read; a frame of others is refused whole."""
+
+    def ascends(side: str) -> Column:
+        own = F.filter(levels, lambda x: x["side"] == side)
+        prices = F.transform(own, lambda x: x["price_micros"])
+        sound = F.forall(own, lambda x: x["price_micros"].isNotNull() & x["size_fp_units"].isNotNull())
+        return F.coalesce(sound & (F.array_sort(F.array_distinct(prices)) == prices), F.lit(False))
+
+    return levels.isNull() | (ascends("yes") & ascends("no"))
+
+
+def live_books(frames: DataFrame, late: str = LATE) -> DataFrame:
+    """Outcome of every market frame and the best levels after it, live; see ``keyed.LiveBook``.
+
+    One row per frame: ``(session_id, sid, received_at_ns, seq, is_snapshot, market_ticker, side, price_micros, delta_fp_units, levels,
+    pricing_convention[, control])``, ``levels`` for snapshots only, frames of other channels with a NULL market. Two steps of keyed state: frames are put
+    in order and judged per stream, then books are kept per market.
+    """
+    sound = frames.where(~F.coalesce("is_snapshot", F.lit(False)) | readable_snapshot(F.col("levels")))
+    # Nested values do not fit a list state: levels wait as JSON.
+    flat = sound.withColumn("levels", F.to_json("levels"))
+    tracker = keyed.SequenceTracker(keyed.BOOK_PAYLOAD, tuple(keyed.BOOK_PAYLOAD_NAMES))
+    judged = _keyed(sequence_events(flat, late, keyed.BOOK_PAYLOAD_NAMES), list(STREAM), tracker, f"{keyed.VERDICT}, {keyed.BOOK_PAYLOAD}", None)
+    return _keyed(judged.where("market_ticker IS NOT NULL"), [*STREAM, "market_ticker"], keyed.LiveBook(), keyed.BOOK, None, "None")
 
-def grid_batch(batch: DataFrame, folder: str, batch_id: int) -> None:
-    """Grid verdicts of one micro-batch against the last grid of each (market, source)."""
-    columns = ["market_ticker", "source", "observed_ms", "price_ranges_raw"]
-    before = _state(batch.sparkSession, folder, batch_id, GRID_STATE)
-    rows = batch.select(*columns, F.lit(True).alias("_new")).unionByName(before.select(*columns, F.lit(False).alias("_new")))
-    verdicts = materialize(grid_verdicts(rows))
-    _keep(verdicts.where("_new").drop("_new"), folder, "out", batch_id)
-    newest = F.max(F.struct("observed_ms", "price_ranges_raw"))
-    _keep(verdicts.groupBy(*GRID_KEY).agg(newest.alias("n")).select(*GRID_KEY, "n.*"), folder, "state", batch_id)
 
+def track_books(frames: DataFrame, folder: str, checkpoint: str, period: str | None = None, late: str = LATE) -> StreamingQuery:
+    return _into(live_books(frames, late), folder, checkpoint, period)
 
-def track_grids(observations: DataFrame, folder: str, checkpoint: str, period: str | None = None) -> StreamingQuery:
-    return _start(observations, checkpoint, lambda batch, n: grid_batch(batch, folder, n), period)
 
+def live_grids(observations: DataFrame, late: str = LATE, initial: DataFrame | None = None) -> DataFrame:
+    """Verdicts of grid observations against the last one of their (market, source); ``initial``: the last stored ones."""
+    rows = observations.select("market_ticker", "source", "observed_ms", "price_ranges_raw", F.timestamp_millis("observed_ms").alias("at"))
+    return _keyed(rows.withWatermark("at", late), list(GRID_KEY), keyed.GridDetector(), keyed.GRID_VERDICT, initial)
 
-REGISTRY = "market_ticker string, learned_via string, first_seen_ms bigint"
 
+def track_grids(observations: DataFrame, folder: str, checkpoint: str, period: str | None = None, late: str = LATE, initial: DataFrame | None = None) -> StreamingQuery:
+    return _into(live_grids(observations, late, initial), folder, checkpoint, period)
 
-def registry_batch(batch: DataFrame, folder: str, batch_id: int) -> None:
-    """Add newly seen markets; those first found by reconciliation are the alerts of the batch."""
-    from tidemark.operators.reconcile import market_registry
 
-    known = _state(batch.sparkSession, folder, batch_id, REGISTRY)
-    fresh = materialize(market_registry(batch.join(known.select("market_ticker"), "market_ticker", "left_anti")))
-    _keep(fresh.where("learned_via = 'reconciliation'"), folder, "out", batch_id)
-    _keep(known.unionByName(fresh), folder, "state", batch_id)
+def live_registry(sightings: DataFrame, late: str = LATE, initial: DataFrame | None = None) -> DataFrame:
+    """Markets seen for the first time; those learned by reconciliation are the alerts. ``initial``: the markets known before."""
+    rank = F.array_position(F.array(*[F.lit(s) for s in SOURCES]), F.col("learned_via")).cast("int")
+    rows = sightings.select("market_ticker", "learned_via", "seen_ms", rank.alias("rank"), F.timestamp_millis("seen_ms").alias("at"))
+    return _keyed(rows.withWatermark("at", late), ["market_ticker"], keyed.Registry(), keyed.KNOWN, initial)
 
 
-def track_registry(sightings: DataFrame, folder: str, checkpoint: str, period: str | None = None) -> StreamingQuery:
-    return _start(sightings, checkpoint, lambda batch, n: registry_batch(batch, folder, n), period)
+def track_registry(sightings: DataFrame, folder: str, checkpoint: str, period: str | None = None, late: str = LATE, initial: DataFrame | None = None) -> StreamingQuery:
+    return _into(live_registry(sightings, late, initial), folder, checkpoint, period)
 
 
 def idle_alerts(frames: DataFrame, idle_ms: int = IDLE_MS) -> DataFrame:

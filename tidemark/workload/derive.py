@@ -98,6 +98,12 @@ def ctes(e) -> dict[str, tuple[tuple[str, ...], str]]:
                (event_id * 10 + CASE WHEN event_id % 53 = 7 THEN 900 ELSE 0 END) * 100000 + event_id % 100000 AS received_at_ns,
                CASE WHEN event_id % 82 = 5 AND seq > 4 THEN seq - 3 ELSE seq END AS seq, event_id % 41 = 5 AS is_snapshot
         FROM points""")
+    # Subscriptions opened and closed between the arrivals, and connections lost.
+    out["controls"] = (("ev",), f"""
+        SELECT concat('S', {text('event_id % 4')}) AS session_id, {e.div('event_id', 4)} % 3 + 1 AS sid, event_id * 1000000 + 500000 AS received_at_ns,
+               CASE WHEN event_id % 397 = 250 THEN 'open' ELSE 'close' END AS control FROM ev WHERE event_id % 397 IN (100, 250, 300)
+        UNION ALL SELECT concat('S', {text('event_id % 4')}), k.sid, event_id * 1000000 + 600000, 'close'
+        FROM ev CROSS JOIN (VALUES (CAST(1 AS BIGINT)), (2), (3)) AS k(sid) WHERE event_id % 1501 = 700""")
     out["bk"] = (("ev",), f"""
         SELECT event_id, concat('S', {text('event_id % 4')}) AS session_id, CAST(1 AS BIGINT) AS sid,
                concat('M', {text('user_id % 12')}) AS market_ticker, event_id * 1000000 AS received_at_ns,
@@ -166,6 +172,10 @@ def ctes(e) -> dict[str, tuple[tuple[str, ...], str]]:
                       '","end":"0.9900","step":"', fine, '"}}]') AS price_ranges_raw
         FROM (SELECT p_partkey, p_brand, CAST(1 AS BIGINT) AS lo, p_size % 3 * 10 + 30 AS cut,
                      CASE WHEN p_size % 2 = 0 THEN '0.0100' ELSE '0.0010' END AS fine FROM {base}part) AS p""")
+    # The same, announced ahead of time or told late.
+    out["grid_moves"] = (("grids",), """
+        SELECT market_ticker, source, observed_ms, CASE WHEN source = 'lifecycle' THEN observed_ms + (observed_ms % 7 - 3) * 9000000 END AS effective_ms,
+               cut, fine, price_ranges_raw FROM grids""")
     out["quotes"] = (("lineitem",), f"""
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, concat('MKBrand#', {text('l_partkey % 30')}) AS market_ticker,
                l_orderkey * 40000 + l_linenumber AS at_ms, (CAST(round(l_extendedprice * 100) AS BIGINT) % 1100) * 1000 AS price_micros

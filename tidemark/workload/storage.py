@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.operators import audit, decode, reconcile
 from tidemark.session import checkpoint_dir
 from tidemark.sources import health, records, tables
-from tidemark.streaming import live
 from tidemark.workload.feeds import CHANNEL_SQL, frames
 from tidemark.workload.registry import query, step
 
@@ -89,14 +88,3 @@ def _(s):
     pages = s.crawl.groupBy("pass_no", "page_no").agg(F.transform(places, lambda p: p["m"]).alias("markets"))
     pages.select(F.to_json(F.struct("pass_no", "page_no", F.lit(7).alias("finished_ms"), "markets")).alias("value")).write.text(path)
     return reconcile.merge_crawl(records.read_discovery(s.spark, path)).select("ticker", "status")
-
-
-@query("stream_registry", ("sightings",), """
-SELECT market_ticker, learned_via, seen_ms AS first_seen_ms FROM (SELECT *, row_number() OVER (PARTITION BY market_ticker ORDER BY seen_ms) AS k FROM sightings) WHERE k = 1 AND learned_via = 'reconciliation'""")
-def _(s):
-    path, folder = scratch(s), scratch(s)
-    rows = s.sightings
-    rows.write.parquet(path)
-    arriving = s.spark.readStream.schema(rows.schema).parquet(path)
-    live.track_registry(arriving, folder, f"{folder}/checkpoint").awaitTermination()
-    return live.read_output(s.spark, folder).select("market_ticker", "learned_via", "first_seen_ms")
