@@ -8,7 +8,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 def test_every_operator_has_one_registered_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())
 

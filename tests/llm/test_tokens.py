@@ -16,7 +16,7 @@ from tidemark.llm.tokenfile import Reader, id_bits, pack, read_token_files, unpa
 
 ODD = [
     "", "a", "  x", " a b", "a\n\nb", "it's  'll don't\nI'm", "a\x01b", "x\x00y z", "ÀÉ ǅ word́ a b", "12 34.5%", "a \x01 b",
-    "日本 語\n。", "<|endoftext|> x", "İstanbul ΣΑΣ", "tab\there", "end \n", "naïve café­", "x" * 3000,
+    "日本 語\n。", "<|endoftext|> x", "a <|endoftext|>", "b<|endoftext|>c d", "<|ENDOFTEXT|> e", "f <|startoftext|> g\n<|endoftext|>", "<|endof text|> <", "İstanbul ΣΑΣ", "tab\there", "end \n", "naïve café­", "x" * 3000,
 ]
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 
@@ -26,7 +26,6 @@ def test_cached_words_give_the_tokenizer_s_ids(path, style):
     rng = random.Random(2)
     texts = ODD + [" ".join(rng.choice(["the", "of.", "Ünter", "thtionly,", "x1", "(a)"]) + rng.choice(["", "\n", "!!"]) for _ in range(60)) for _ in range(50)]
     encoder, plain = Encoder(path), Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     assert encoder.style == style
     for _ in range(2):
         for text, ids in zip(texts, encoder.encode(texts)):
@@ -110,7 +109,6 @@ def test_pieces_of_odd_documents(spark):
     rows = [(n, t, "z") for n, t in enumerate(ODD)] + [(100, None, None), (None, "a b", None), (3, ODD[3], "z"), (101, "word " * 9000, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, piece string")
     plain = Tokenizer.from_file(WORD)
-    plain.encode_special_tokens = True
     want = []
     for doc, text, _ in rows:
         ids = plain.encode(text or "", add_special_tokens=False).ids + [1]
@@ -139,7 +137,6 @@ def test_token_files_read_back_whole_and_at_random(spark, folder):
     where, files = write_token_files(df, BYTE, 0, f"{folder}/tokens", block_ids=97)
     got = sorted(read_token_files(where, files).collect(), key=lambda r: r["start"])
     plain = Tokenizer.from_file(BYTE)
-    plain.encode_special_tokens = True
     start = 0
     for r, (doc, text, _) in zip(got, sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())), strict=True):
         ids = plain.encode(text or "", add_special_tokens=False).ids + [0]

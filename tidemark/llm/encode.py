@@ -7,6 +7,9 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # Words, and pieces of words, of a generation whose ids one task keeps; of the one before, those in use are taken over.
@@ -26,7 +29,8 @@ class Encoder:
     Texts are cut only where the tokenizer itself always cuts, and the ids of each cut piece are kept:
     a tokenizer that drops white space cuts at every blank and line break; a byte-level one whose words own the blank
     before them cuts before single blanks and around single line breaks, and a text with runs of white space or white space at
-    an end is encoded whole. Any other tokenizer encodes whole texts.
+    an end is encoded whole. A text that may hold one of the file's added tokens is encoded whole as well, and any other tokenizer
+    encodes whole texts. The words of a batch are counted and joined as Arrow arrays, so Python sees each different one once.
     """
 
     def __init__(self, path: str):
@@ -34,7 +38,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = sorted({form for t in added for form in (t, t.lower())})
+        self.marks = {t[0] for t in self.added if t}
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -88,27 +94,52 @@ class Encoder:
             return regex.compile(LEADING).findall
         return None
 
-    def _cut(self, text: str) -> list[str] | None:
+    def _cuttable(self, text: str) -> bool:
+        if self.style == "whole" or "\0" in text or (self.style == "leading" and _UNSAFE.search(text)):
+            return False
+        if not any(mark in text for mark in self.marks):
+            return True
+        lower = text.lower()
+        return not any(token in text or token in lower for token in self.added)
+
+    def _cut(self, texts: list[str]) -> pa.ListArray:
+        column = pa.array(texts, pa.large_string())
         if self.style == "dropped":
-            return text.replace("\n", " ").split(" ")
-        if self.style == "leading" and not _UNSAFE.search(text):
-            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else None
-        return None
+            return pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        return pc.split_pattern(pc.replace_substring(pc.replace_substring(column, " ", "\0 "), "\n", "\0\n\0"), "\0")
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(text) for text in texts]
+    def _known(self, words: list[str]) -> list[bytes]:
         if len(self.cache) > CACHED_WORDS:
             self.older, self.cache = self.cache, {}
         if len(self.parts) > CACHED_WORDS:
             self.older_parts, self.parts = self.parts, {}
-        new: set[str] = set()
-        for words in cut:
-            if words is not None:
-                new.update(words)
-        new.difference_update(self.cache)
-        self.cache.update((w, self.older[w]) for w in new & self.older.keys())
-        missing = list(new.difference(self.cache))
+        missing = [w for w in words if w not in self.cache]
+        again = {w: self.older[w] for w in missing if w in self.older}
+        self.cache.update(again)
+        missing = [w for w in missing if w not in again]
         if missing:
             self.cache.update(zip(missing, self._words(missing)))
-        known = self.cache.__getitem__
-        return [b"".join(map(known, words)) if words is not None else self._plain([text])[0] for words, text in zip(cut, texts)]
+        return [self.cache[w] for w in words]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [self._cuttable(text) for text in texts]
+        found = iter(self._joined([text for text, fits in zip(texts, cut) if fits]))
+        whole = iter(self._plain([text for text, fits in zip(texts, cut) if not fits]))
+        return [next(found) if fits else next(whole) for fits in cut]
+
+    def _joined(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        lists = self._cut(texts)
+        coded = lists.flatten().dictionary_encode()
+        ids = self._known(coded.dictionary.to_pylist())
+        sizes = np.array([len(i) // 4 for i in ids], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        word = coded.indices.to_numpy()
+        size = sizes[word]
+        ends = np.cumsum(size)
+        # Place of every id of the batch among the ids of the different words.
+        place = np.repeat(starts[word] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+        flat = np.frombuffer(b"".join(ids), "<u4")[place]
+        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return [flat[begin:end].tobytes() for begin, end in zip(bounds[:-1], bounds[1:])]
