@@ -28,11 +28,16 @@ from tidemark.session import materialize
 
 CELLS = 3
 PAIRS = list(combinations(range(CELLS), 2))
-# Parts beyond those the bound asks for: a set with no more parts than that with an empty pair of cells need not sign empty pairs.
-SPARE = 1
+# One in so many parts is beyond those the bound asks for, and one at least.
+SPARE_IN = 5
 # Documents, and shingles, that a block holds at most (one longer document is a block of its own).
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 20
+# Cells of a sketch, and candidate pairs whose sketches are compared at once.
+SKETCH = 96
+_PAIRS = 1 << 18
+# Blocks that share so many signatures across groups meet as a whole before candidates are looked at one by one.
+PARTNER_SIGNS = 256
 # Shingles whose incidence is multiplied at once.
 COLUMNS = 4096
 _SEEDS = constants(4, 4242)
@@ -53,6 +58,11 @@ def allowed(end: int, percent: int) -> int:
     return 2 * end * (100 - percent) // (100 + percent)
 
 
+def spare(k: int) -> int:
+    """Parts beyond those that ``k`` differences ask for: a set with no more parts than that with an empty pair of cells need not sign empty pairs."""
+    return 1 + (k // 2 + 2) // SPARE_IN
+
+
 def signatures(shingles: np.ndarray, percent: int, ends: list[int]) -> np.ndarray:
     """All signatures of a set. A set that can only link to equal ones (k = 0) has none: equal sets are one class already."""
     out = []
@@ -63,7 +73,7 @@ def signatures(shingles: np.ndarray, percent: int, ends: list[int]) -> np.ndarra
         k = allowed(ends[band], percent)
         if k < 1:
             continue
-        parts = k // 2 + 1 + SPARE
+        parts = k // 2 + 1 + spare(k)
         cell = ((spread >> np.uint64(32)) * np.uint64(parts * CELLS)) >> np.uint64(32)
         cell = cell.astype(np.int64)
         sums = np.zeros(parts * CELLS, np.uint64)
@@ -73,7 +83,7 @@ def signatures(shingles: np.ndarray, percent: int, ends: list[int]) -> np.ndarra
         place = np.arange(parts, dtype=np.uint64) * _SEEDS[2] + band * _SEEDS[3:]
         held = np.stack([filled[:, a] | filled[:, b] for a, b in PAIRS])
         signs = np.stack([mix(sums[:, a] + sums[:, b] + mix(place + np.uint64(n + 1))) for n, (a, b) in enumerate(PAIRS)])
-        scarce = int((~held.all(axis=0)).sum()) > SPARE
+        scarce = int((~held.all(axis=0)).sum()) > spare(k)
         out.append(signs.ravel() if scarce else signs[held])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -119,13 +129,39 @@ def _sign(batches, width, percent):
         yield flush()
 
 
-def _sets(batches, width):
+def sketch(shingles: np.ndarray) -> bytes:
+    """One byte per cell of a fixed partition of the domain. Two sets that differ in k shingles differ in at most k cells."""
+    sums = np.zeros(SKETCH, np.uint64)
+    np.add.at(sums, (mix(shingles ^ _SEEDS[3]) % np.uint64(SKETCH)).astype(np.int64), mix(shingles + _SEEDS[0]))
+    return mix(sums).astype(np.uint8).tobytes()
+
+
+def common_signs(shingles: np.ndarray, percent: int, ends: list[int]) -> int:
+    """How many signatures, at least, a set has in common with any other that links to it."""
+    home = int(np.searchsorted(ends, len(shingles)))
+    spread = mix(shingles ^ _SEEDS[0]) >> np.uint64(32)
+    least = []
+    for band in (home, home + 1):
+        k = allowed(ends[band], percent)
+        parts = k // 2 + 1 + spare(k)
+        cell = ((spread * np.uint64(parts * CELLS)) >> np.uint64(32)).astype(np.int64)
+        filled = (np.bincount(cell, minlength=parts * CELLS) > 0).reshape(parts, CELLS)
+        empty = int((filled.sum(axis=1) < 2).sum())
+        least.append(1 + spare(k) - empty if empty <= spare(k) else 1)
+    return min(least)
+
+
+def _sets(batches, width, percent):
+    ends = band_ends(1, percent)
     for batch in pieces(batches):
         sets = shingle_sets(batch.column("text"), width)
+        longest = max((len(s) for s in sets), default=0)
+        if ends[-2] < longest:
+            ends = band_ends(longest, percent)
         rank = pa.array([int(s[0] >> np.uint64(1)) if len(s) else 0 for s in sets], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("component"), rank, pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "near", "least", "shingles"]
-        )
+        need = pa.array([common_signs(s, percent, ends) if len(s) else 1 for s in sets], pa.int64())
+        columns = [batch.column("doc_id"), batch.column("component"), rank, need, pa.array([sketch(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "near", "least", "need", "sketch", "shingles"])
 
 
 def pack_block(sets: list[np.ndarray]) -> bytes:
@@ -146,24 +182,85 @@ def unpack_block(data: bytes) -> list[np.ndarray]:
 
 
 def _blocks(batches):
-    block, docs, nears, sets, held = TaskContext.get().partitionId() << 32, [], set(), [], 0
+    block, held, kept = TaskContext.get().partitionId() << 32, 0, []
 
     def row():
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([sorted(nears)], pa.list_(pa.int64())), pa.array([pack_block(sets)], pa.binary())], ["block", "docs", "nears", "sets"])
+        docs, needs, sketches, sets = zip(*kept)
+        sizes = [len(s) for s in sets]
+        columns = [pa.array([block]), pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([needs], pa.list_(pa.int64())), pa.array([sketches], pa.list_(pa.binary())), pa.array([pack_block(sets)], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["block", "docs", "sizes", "needs", "sketches", "sets"])
 
     for batch in batches:
-        for doc, near, shingles in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "near", "shingles"))):
-            if docs and (len(docs) == BLOCK_DOCS or held + len(shingles) // 8 > BLOCK_SHINGLES):
+        for doc, need, cells, shingles in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "need", "sketch", "shingles"))):
+            if kept and (len(kept) == BLOCK_DOCS or held + len(shingles) // 8 > BLOCK_SHINGLES):
                 yield row()
-                block, docs, nears, sets, held = block + 1, [], set(), [], 0
-            docs.append(doc)
-            nears.add(near)
-            sets.append(np.frombuffer(shingles, np.uint64))
+                block, held, kept = block + 1, 0, []
+            kept.append((doc, need, cells, np.frombuffer(shingles, np.uint64)))
             held += len(shingles) // 8
-    if docs:
+    if kept:
         yield row()
 
 
+def _meet(batches, percent):
+    """Pairs of documents of one signature and different groups that may link, from rows sorted by signature.
+
+    A pair is ruled out by sizes, or if its sketches differ in more cells than it may differ in shingles; and it must be met under ``need``
+    signatures in all.
+    """
+    names = ["sign", "doc_id", "group", "size", "need"]
+    out = pa.schema([(c, pa.int64()) for c in ("a", "b", "need")])
+
+    def pairs(rows):
+        sign, doc, group, size, need = (rows.column(c).to_numpy() for c in names)
+        cells = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(sign), SKETCH)
+        left = np.arange(len(sign))
+        for step in range(1, len(sign)):
+            left = left[left + step < len(sign)]
+            left = left[sign[left] == sign[left + step]]
+            if not len(left):
+                return
+            for begin in range(0, len(left), _PAIRS):
+                x = left[begin : begin + _PAIRS]
+                y = x + step
+                small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+                ok = (group[x] != group[y]) & (100 * small >= percent * large)
+                x, y = x[ok], y[ok]
+                most = (size[x] + size[y]) * (100 - percent) // (100 + percent)
+                ok = (cells[x] != cells[y]).sum(axis=1) <= most
+                x, y = x[ok], y[ok]
+                asked = np.maximum(need[x], need[y])
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[x], doc[y])), pa.array(np.maximum(doc[x], doc[y])), pa.array(asked)], schema=out)
+
+    held = []
+    for batch in batches:
+        sign = batch.column("sign").to_numpy()
+        last = int(np.searchsorted(sign, sign[-1])) if len(sign) else 0
+        if last:  # signatures before the last one are complete
+            held.append(batch.slice(0, last))
+            yield from pairs(pa.Table.from_batches(held).combine_chunks())
+            held = [batch.slice(last)]
+        elif len(sign):
+            if held and held[0].column("sign")[0].as_py() != sign[0]:
+                yield from pairs(pa.Table.from_batches(held).combine_chunks())
+                held = []
+            held.append(batch)
+    if held:
+        yield from pairs(pa.Table.from_batches(held).combine_chunks())
+
+
+def _verify(key, table, percent):
+    first, second = key[0].as_py(), key[1].as_py()
+    sets = [(doc, np.frombuffer(data, np.uint64)) for doc, data in zip(table.column("doc_id").to_pylist(), table.column("shingles").to_pylist())]
+
+    def linked(x, y):
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * common >= percent * (len(x) + len(y) - common)
+
+    found = any(linked(x, y) for a, x in sets if a == first for b, y in sets if b == second)
+    return pa.table({"a": pa.array([first] * found, pa.int64()), "b": pa.array([second] * found, pa.int64())})
+
+
 def _compare(key, table, percent):
     """Links within a block or between two: each linked document with the smallest one it reaches here."""
     sets = [own for data in table.column("sets").to_pylist() for own in unpack_block(data)]
@@ -203,10 +300,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     n_shingles 0 and link with nothing. Rows that repeat a doc_id are one document with several sets; a null doc_id is kept
     and links with nothing. An empty table gives no rows.
 
-    Copies are one class before any signing. Documents that share a signature with another one are put
-    into blocks of bounded size, candidates of each other side by side; every two blocks that hold documents of one
-    component of candidates are compared as a whole, by products of their incidence matrices. A task
-    holds two blocks and returns a link per document at most, so no pair is lost and no bucket is expanded into pairs.
+    Copies are one class before any signing. Documents that share a signature with another one are put into blocks of bounded size, candidates
+    of each other side by side. Blocks are compared as a whole, by products of their incidence matrices: each with itself, and with the one
+    it shares most signatures with across groups of linked documents, which makes large groups whole. Documents of one group need no
+    other comparison; those of different groups that share a signature are compared by sketches where they meet, and only pairs that
+    may link are told and compared as whole sets.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     digests = materialize(docs.mapInArrow(partial(_digests, width=width), "doc_id long, n_shingles long, low long, high long"))
@@ -226,15 +324,43 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     first = shared.groupBy("sign").agg(F.min("doc_id").alias("a"))
     candidates = components(shared.join(first, "sign").select("a", F.col("doc_id").alias("b")))
     near = small(materialize(candidates.withColumnRenamed("node", "doc_id")))
-    sets = docs.join(near, "doc_id").mapInArrow(partial(_sets, width=width), "doc_id long, near long, least long, shingles binary")
-    # Candidates of each other lie side by side, those with the same smallest hash closest, so few blocks have to meet.
+    fields = "doc_id long, near long, least long, need long, sketch binary, shingles binary"
+    sets = docs.join(near, "doc_id").mapInArrow(partial(_sets, width=width, percent=percent), fields)
+    # Candidates of each other lie side by side, those with the same smallest hash closest, so that most links are within blocks.
     order = ["near", "least", "doc_id"]
-    blocks = sets.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, "block long, docs array<long>, nears array<long>, sets binary")
-    blocks = materialize(blocks)
-    seen = blocks.select("block", F.explode("nears").alias("near")).groupBy("near").agg(F.collect_set("block").alias("blocks"))
-    seen = seen.select(F.array_sort("blocks").alias("blocks")).distinct()
-    tasks = seen.select("blocks", F.explode("blocks").alias("first")).select("first", F.explode(F.filter("blocks", lambda b: b >= F.col("first"))).alias("second")).distinct()
-    held = tasks.select("first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block")).join(blocks, "block")
-    links = materialize(held.groupBy("first", "second").applyInArrow(partial(_compare, percent=percent), "a long, b long"))
+    form = "block long, docs array<long>, sizes array<long>, needs array<long>, sketches array<binary>, sets binary"
+    blocks = materialize(sets.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, form))
+    each = F.arrays_zip("docs", "sizes", "needs", "sketches")
+    placed = blocks.select("block", F.explode(each).alias("d")).select("block", F.col("d.docs").alias("doc_id"), F.col("d.sizes").alias("size"), F.col("d.needs").alias("need"), F.col("d.sketches").alias("sketch"))
+    placed = small(materialize(placed.dropDuplicates(["doc_id", "size", "sketch"])))
+
+    def compared(tasks: DataFrame) -> DataFrame:
+        held = tasks.select("first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block")).join(blocks.select("block", "docs", "sets"), "block")
+        return materialize(held.groupBy("first", "second").applyInArrow(partial(_compare, percent=percent), "a long, b long"))
+
+    def apart(links: DataFrame) -> DataFrame:
+        """(sign, doc_id, group) of the signatures that still lie in several groups of linked documents."""
+        groups = small(materialize(components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))))
+        known = shared.join(groups, "doc_id", "left").select("sign", "doc_id", F.coalesce("group", "doc_id").alias("group"))
+        mixed = known.groupBy("sign").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("sign")
+        return materialize(known.join(mixed, "sign", "left_semi"))
+
+    links = compared(blocks.select(F.col("block").alias("first"), F.col("block").alias("second")))
+    # Blocks of one large group meet first, each with one other: the group is whole after that, and its documents need no other comparison.
+    mixed = apart(links).join(placed.select("doc_id", "block"), "doc_id").select("sign", "block", "group").distinct()
+    least = mixed.groupBy("sign").agg(F.min(F.struct("block", "group")).alias("one"))
+    chosen = mixed.join(least, "sign").where((F.col("group") != F.col("one.group")) & (F.col("block") != F.col("one.block")))
+    chosen = chosen.groupBy("block", F.col("one.block").alias("partner")).count().where(F.col("count") >= PARTNER_SIGNS)
+    chosen = chosen.groupBy("block").agg(F.max_by("partner", F.struct("count", -F.col("partner"))).alias("partner"))
+    tasks = chosen.select(F.col("partner").alias("first"), F.col("block").alias("second"))
+    links = materialize(links.unionByName(compared(tasks)))
+    met = apart(links).join(placed.drop("block"), "doc_id").repartition("sign").sortWithinPartitions("sign")
+    met = met.mapInArrow(partial(_meet, percent=percent), "a long, b long, need long")
+    pairs = materialize(met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("a", "b"))
+    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    texts = docs.join(small(materialize(wanted)), "doc_id").withColumn("component", F.lit(0).cast("long"))
+    own = materialize(texts.mapInArrow(partial(_sets, width=width, percent=percent), fields).select("doc_id", "shingles").distinct())
+    both = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id")).join(own, "doc_id")
+    links = materialize(links.unionByName(both.groupBy("a", "b").applyInArrow(partial(_verify, percent=percent), "a long, b long")))
     out = members.join(components(links).withColumnRenamed("node", "class_id"), "class_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"), "class_id")
