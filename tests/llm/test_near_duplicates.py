@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import embed
+from tidemark.llm import embed, shared
 from tidemark.llm.embed import embedding_groups
 from tidemark.llm.jaccard import allowed, band_ends, jaccard_components, signatures
 from tidemark.llm.shared import components
@@ -27,7 +27,9 @@ def reach(ids, links):
     return {i: find(i) for i in ids}
 
 
-def test_components_of_chains_loops_and_nothing(spark):
+@pytest.mark.parametrize("one_task", [0, 1 << 19])
+def test_components_of_chains_loops_and_nothing(spark, monkeypatch, one_task):
+    monkeypatch.setattr(shared, "ONE_TASK_EDGES", one_task)
     edges = [(n, n + 1) for n in range(20)] + [(30, 31), (31, 30), (40, 40), (50, 52), (51, 52)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {n: 0 for n in range(21)} | {30: 30, 31: 30, 50: 50, 51: 50, 52: 50}

@@ -15,6 +15,8 @@ from tidemark.session import checkpoint_dir, materialize
 
 # A side of at most so many narrow rows (ids, hashes) may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
+# So many distinct edges (16 bytes each) are small enough for one task, which saves rounds.
+ONE_TASK_EDGES = 1 << 19
 # Bytes of text that one numpy pass handles at once.
 PIECE_BYTES = 2 << 20
 
@@ -60,11 +62,13 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b: long) as (node, component), component being the smallest node.
 
     Large-star and small-star rounds: each is an aggregation and a join, and each
-    round is stored, so nothing is gathered in one place. Nodes without edges do not
-    appear. Loops and repeated edges are harmless; no edges give no rows.
+    round is stored, so nothing is gathered in one place; edges that a count proves to be few
+    are joined by one task instead. Nodes without edges do not appear. Loops and repeated edges are harmless; no edges give no rows.
     """
     flat = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     flat = materialize(flat)
+    if flat.limit(ONE_TASK_EDGES + 1).count() <= ONE_TASK_EDGES:
+        return materialize(flat.repartition(1).mapInArrow(_joined, "node long, component long"))
     mark = _mark(flat)
     while mark[0]:
         both = flat.unionByName(flat.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -81,6 +85,13 @@ def components(edges: DataFrame) -> DataFrame:
     return flat.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def _joined(batches):
+    edges = pa.Table.from_batches(list(batches), pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+    nodes, place = np.unique(np.concatenate([edges.column("u").to_numpy(), edges.column("v").to_numpy()]), return_inverse=True)
+    root = smallest_reached(place[: edges.num_rows], place[edges.num_rows :], len(nodes))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["node", "component"])
+
+
 def _mark(flat: DataFrame) -> tuple:
     total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
     return tuple(flat.agg(F.count("*"), total).first())
