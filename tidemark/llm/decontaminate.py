@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import pieces
 from tidemark.llm.words import _SPACE, buffers, constants, mix, span_hashes, word_spans
+from tidemark.session import materialize
 
 # Any stretch of 13 to 30 words of which MATCH are equal agrees under one of these somewhere (tested exhaustively). A longer one can be cut
 # into stretches of 13 to 25 words, one of which has as large a share.
@@ -29,6 +30,8 @@ _BREAK = _SPACE.copy()
 _BREAK[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _FACTOR = constants(64, 515)
 _SIEVE_BITS = 22
+# Equal windows that are looked at together, at most.
+_LOT = 1 << 21
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,22 +71,48 @@ class Seeds:
             else:
                 whole &= sizes[self.owner[at]] >= OVERLAP
             at = at[whole]
-            hashes = window_hashes(self.words, mask)[at]
-            order = np.argsort(hashes, kind="stable")
+            hashes = window_hashes(self.words, mask)
+            before = self._before(hashes, at, self.first[self.owner[at]])
+            hashes = hashes[at]
+            order = np.lexsort((before, hashes))
+            both, begin, count = np.unique(_both(hashes, before)[order], return_index=True, return_counts=True)
             sieve = np.zeros(1 << _SIEVE_BITS, bool)
             sieve[(hashes & np.uint64((1 << _SIEVE_BITS) - 1)).astype(np.int64)] = True
-            self.tables.append((hashes[order], at[order], sieve))
+            self.tables.append((hashes[order], at[order], sieve, both, begin, begin + count))
 
-    def hits(self, words: np.ndarray):
-        """Pairs (position among ``words``, position among the benchmark's words) of equal windows."""
-        for mask, (hashes, at, sieve) in zip(self.masks, self.tables):
+    @staticmethod
+    def _before(hashes: np.ndarray, at: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Hash of the window one word earlier, 0 where a text begins."""
+        return np.where(at > begins, hashes[np.maximum(at - 1, 0)] | np.uint64(1), np.uint64(0))
+
+    def diagonals(self, words: np.ndarray, first: np.ndarray):
+        """(row, item, shift) of equal windows in arrays of bounded length, sorted and distinct within one.
+
+        Windows that are equal because the ones before them are equal too lie on the same diagonal and are left out, so a passage
+        counts once, and so does a word repeated without end in both texts.
+        """
+        for mask, (hashes, at, sieve, both, begin, end) in zip(self.masks, self.tables):
             own = window_hashes(words, mask)
-            maybe = np.flatnonzero(sieve[(own & np.uint64((1 << _SIEVE_BITS) - 1)).astype(np.int64)])
-            low = np.searchsorted(hashes, own[maybe], side="left")
-            high = np.searchsorted(hashes, own[maybe], side="right")
-            for position, begin, end in zip(maybe[high > low], low[high > low], high[high > low]):
-                for other in at[begin:end]:
-                    yield int(position), int(other)
+            place = np.flatnonzero(sieve[(own & np.uint64((1 << _SIEVE_BITS) - 1)).astype(np.int64)])
+            low, high = np.searchsorted(hashes, own[place], side="left"), np.searchsorted(hashes, own[place], side="right")
+            place, low, high = place[high > low], low[high > low], high[high > low]
+            if not len(place):
+                continue
+            row = np.searchsorted(first, place, side="right") - 1
+            wanted = _both(own[place], self._before(own, place, first[row]))
+            found = np.minimum(np.searchsorted(both, wanted), len(both) - 1)
+            # A window at the beginning of an item or document has none before it.
+            same = (both[found] == wanted) & (place > first[row])
+            skip, go_on = np.where(same, begin[found], high), np.where(same, end[found], high)
+            left = np.concatenate([skip - low, high - go_on])
+            start, place, row = np.concatenate([low, go_on]), np.concatenate([place, place]), np.concatenate([row, row])
+            for lot in _lots(left):
+                many = left[lot]
+                which = np.repeat(np.arange(lot.start, lot.stop), many)
+                other = at[start[which] + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)]
+                item = self.owner[other]
+                shift = place[which] - first[row[which]] - (other - self.first[item])
+                yield np.unique(np.stack([row[which], item, shift], axis=1), axis=0)
 
     def overlap(self, words: np.ndarray, item: int, shift: int) -> int:
         """The longest stretch, in words, in which the document agrees well enough with the item laid at ``shift``."""
@@ -95,33 +124,44 @@ class Seeds:
             return 0
         # The longest stretch with a share of MATCH: the farthest pair with a rising sum of same - MATCH.
         level = np.concatenate([[0.0], np.cumsum(same - (MATCH if len(own) >= OVERLAP else 1.0))])
-        best_after = np.maximum.accumulate(level[::-1])[::-1]
-        best, stop = 0, 0
-        for start in range(len(level)):
-            stop = max(stop, start)
-            while stop + 1 < len(level) and best_after[stop + 1] >= level[start] - 1e-9:
-                stop += 1
-            best = max(best, stop - start)
+        best_after = np.maximum.accumulate(level[::-1])
+        last = len(level) - 1 - np.searchsorted(best_after, level - 1e-9, side="left")
+        best = int((last - np.arange(len(level))).max())
         return best if best >= need else 0
 
 
+def _both(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return mix(hashes * _FACTOR[0] + mix(before + _FACTOR[1]))
+
+
+def _lots(sizes: np.ndarray):
+    """Slices of ``sizes`` that add up to about ``_LOT`` at most."""
+    total, begin = np.cumsum(sizes), 0
+    while begin < len(sizes):
+        base = total[begin] - sizes[begin]
+        stop = max(begin + 1, int(np.searchsorted(total, base + _LOT, side="right")))
+        yield slice(begin, stop)
+        begin = stop
+
+
 def _mark(batches, seeds):
     seeds = seeds.value
     for batch in pieces(batches):
         words, first = tokens(batch.column("text"))
         found: list[dict[int, int]] = [{} for _ in range(batch.num_rows)]
-        tried = set()
-        for position, other in seeds.hits(words):
-            row = int(np.searchsorted(first, position, side="right")) - 1
-            item = int(seeds.owner[other])
-            shift = position - int(first[row]) - (other - int(seeds.first[item]))
-            if (row, item, shift) in tried:
-                continue
-            tried.add((row, item, shift))
-            size = seeds.overlap(words[first[row] : first[row + 1]], item, shift)
-            if size:
-                key = int(seeds.ids[item])
-                found[row][key] = max(size, found[row].get(key, 0))
+        for lot in seeds.diagonals(words, first):
+            row, item, shift = lot.T
+            size, own = np.diff(seeds.first)[item], np.diff(first)[row]
+            # No stretch is longer than what the two have in common; the longest come first.
+            most = np.minimum(size, own - shift) - np.maximum(0, -shift)
+            order = np.lexsort((-most, item, row))
+            for place in order[most[order] >= np.minimum(OVERLAP, size[order])]:
+                key, known = int(seeds.ids[item[place]]), found[row[place]]
+                if most[place] <= known.get(key, 0):
+                    continue
+                length = seeds.overlap(words[first[row[place]] : first[row[place] + 1]], item[place], int(shift[place]))
+                if length > known.get(key, 0):
+                    known[key] = length
         columns = {n: batch.column(n) for n in batch.schema.names}
         known = batch.column("leaked_items").to_pylist()
         columns["leaked_items"] = pa.array([sorted({*(k or []), *f}) for k, f in zip(known, found)], pa.list_(pa.int64()))
@@ -147,5 +187,9 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for n in range(passes):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == n).distinct().orderBy("item_id", "text").collect()  # one pass's words
         if rows:
-            docs = docs.mapInArrow(partial(_mark, seeds=spark.sparkContext.broadcast(Seeds([tuple(r) for r in rows]))), fields)
+            seeds = spark.sparkContext.broadcast(Seeds([tuple(r) for r in rows]))
+            docs = docs.mapInArrow(partial(_mark, seeds=seeds), fields)
+            if n + 1 < passes:  # no task holds the seeds of two passes
+                docs = materialize(docs)
+                seeds.destroy()
     return docs.withColumn("contaminated", F.size("leaked_items") > 0)
