@@ -59,10 +59,11 @@ def battery(tokens: DataFrame) -> DataFrame:
     name = F.coalesce(*[F.when(F.col("value").rlike(form), F.lit(n)) for n, form, _ in ENCODINGS])
     alphabet = F.coalesce(*[F.when(F.col("encoding") == n, F.lit(letters)) for n, _, letters in ENCODINGS])
     data = tokens.withColumn("encoding", name).withColumn("alphabet", alphabet).withColumn("body", body)
-    codes = F.expr("transform(sequence(1, length(body)), i -> cast(instr(alphabet, substr(body, i, 1)) - 1 as double))")
+    codes = F.expr("transform(filter(split(body, ''), c -> c <> ''), c -> cast(instr(alphabet, c) - 1 as double))")
     data = data.withColumn("codes", F.when(F.col("encoding").isNotNull(), codes))
     data = data.withColumn("n", F.size("codes").cast("double")).withColumn("a", F.length("alphabet").cast("double"))
-    counts = F.expr("aggregate(transform(array_distinct(codes), c -> cast(size(filter(codes, x -> x = c)) as double)), 0D, (s, k) -> s + k * k)")
+    # How often a letter occurs, from the length without it.
+    counts = F.expr("aggregate(transform(filter(split(alphabet, ''), c -> c <> ''), c -> cast(length(body) - length(replace(body, c, '')) as double)), 0D, (s, k) -> s + k * k)")
     data = data.withColumn("chi", counts * F.col("a") / F.col("n") - F.col("n"))
     data = data.withColumn("mean", F.expr("aggregate(codes, 0D, (s, x) -> s + x) / n"))
     data = data.withColumn("high", F.expr("aggregate(codes, 0D, (s, x) -> s + if(x >= a / 2, 1, 0))"))
@@ -87,14 +88,14 @@ def frequent_grams(docs: DataFrame) -> DataFrame:
 
 
 def grams_of(text: str) -> Column:
-    return F.expr(f"if(length({text}) < {GRAM}, array(), transform(sequence(1, greatest(1, length({text}) - {GRAM - 1})), i -> substr({text}, i, {GRAM})))")
+    return F.expr(f"regexp_extract_all({text}, '(?=(.{{{GRAM}}}))', 1)")
 
 
 def worded(values: DataFrame, grams: DataFrame) -> DataFrame:
-    """Those of ``values`` (value; distinct) made of words: WORD_SHARE of the runs of GRAM letters, signs and digits left out, are ``grams``."""
-    runs = values.withColumn("letters", F.regexp_replace(F.lower("value"), "[^a-z]", "")).select("value", F.explode(grams_of("letters")).alias("gram"))
+    """The ids of those of ``values`` (id, value; distinct) made of words: WORD_SHARE of the runs of GRAM letters, signs and digits left out, are ``grams``."""
+    runs = values.withColumn("letters", F.regexp_replace(F.lower("value"), "[^a-z]", "")).select("id", F.explode(grams_of("letters")).alias("gram"))
     runs = runs.join(F.broadcast(grams.withColumn("known", F.lit(1))), "gram", "left")
-    return runs.groupBy("value").agg(F.count("known").alias("known"), F.count("*").alias("runs")).where(F.col("known") >= WORD_SHARE * F.col("runs")).select("value")
+    return runs.groupBy("id").agg(F.count("known").alias("known"), F.count("*").alias("runs")).where(F.col("known") >= WORD_SHARE * F.col("runs")).select("id")
 
 
 def random_tokens(tokens: DataFrame, grams: DataFrame, rate: float = RATE) -> DataFrame:
@@ -105,9 +106,9 @@ def random_tokens(tokens: DataFrame, grams: DataFrame, rate: float = RATE) -> Da
     the step on that holds over ten times as many candidates as random ones leave for it, they are taken for ordinary as well.
     """
     length = F.coalesce(*[F.when(F.length("value") >= low, F.lit(low)) for low in reversed(LENGTHS)])
-    distinct = materialize(tokens.where(F.col("value").rlike("[A-Za-z]")).groupBy("value").agg(F.count("*").alias("times")))
-    words = worded(distinct.select("value"), grams).withColumn("word", F.lit(True))
-    tested = battery(distinct.join(words, "value", "left")).withColumn("class", length).withColumn("candidate", F.col("word").isNull()).where("encoding is not null")
+    distinct = materialize(tokens.where(F.col("value").rlike("[A-Za-z]")).groupBy("value").agg(F.count("*").alias("times")).withColumn("id", F.md5("value")))
+    words = worded(distinct.select("id", "value"), grams).withColumn("word", F.lit(True))
+    tested = battery(distinct.join(words, "id", "left")).withColumn("class", length).withColumn("candidate", F.col("word").isNull()).where("encoding is not null")
     tested = materialize(tested.withColumn("step", F.least(F.lit(STEPS + 1), F.ceil(-F.log10(F.greatest("p", F.lit(1e-30)))).cast("int"))))
     # A p of 1 is of the first step.
     tested = tested.withColumn("step", F.greatest("step", F.lit(1)))
