@@ -22,14 +22,14 @@ NEUTRAL = r"(?:Dr\.|Prof\.)"
 TITLE = rf"(?:(?:{MALE}|{FEMALE})(?: {NEUTRAL})*|{NEUTRAL}(?: {NEUTRAL})*)"
 NAME = r"\p{Lu}[\p{L}'-]+"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-# Kinds and their forms, in the order in which they are tried at a place.
+# Kinds and their forms, in the order in which they are tried at a place. What a title or a long number begins with is looked at first.
 FORMS = (
     ("email", r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     ("card", r"(?<![0-9-])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?![0-9])"),
     ("ip", rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|(?<=(?i:tel|phone|fax|mobile)[.:]{0,2}\x20)[0-9]{10}(?![0-9])"),
-    ("name", rf"(?<![\p{{L}}]){TITLE} {NAME}(?: {NAME})?"),
+    ("phone", r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|(?=[0-9]{10}(?![0-9]))(?<=(?i:tel|phone|fax|mobile)[.:]{0,2}\x20)[0-9]{10}"),
+    ("name", rf"(?=[DFHMPSг])(?<![\p{{L}}]){TITLE} {NAME}(?: {NAME})?"),
 )
 PATTERN = "|".join(form for _, form in FORMS)
 # A word that may be a name without a title, tried last and in documents that tell a name.
