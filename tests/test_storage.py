@@ -139,7 +139,7 @@ def test_unreadable_files_fail_unless_they_are_listed(spark, folder):
     except (PySparkException, Py4JJavaError):
         pass
     assert health.quarantined(spark, folder) == []
-    health.store_manifest(spark, folder)
+    assert health.store_manifest(spark, folder) == 4
     bad = health.quarantined(spark, folder)
     assert [os.path.basename(p) for p in bad] == [os.path.basename(name)]
     assert tables.read_all(spark, folder)["orderbook_delta"].count() == 1
@@ -182,3 +182,72 @@ def test_latest_values_of_a_tie_come_from_one_row(spark):
     columns = "market_ticker string, received_at_ns bigint, seq bigint, yes_bid_micros bigint, yes_ask_micros bigint, price_micros bigint, volume_fp_units bigint, open_interest_fp_units bigint"
     row = market_board(spark.createDataFrame(rows, columns)).first()
     assert (row.yes_bid_micros, row.yes_ask_micros, row.price_micros) == (9, 1, 2)
+
+
+def test_only_new_or_changed_files_are_probed(spark, folder):
+    day = f"{folder}/trade/date=2026-11-01"
+    os.makedirs(day)
+
+    def put(name, data):
+        with open(f"{day}/{name}.parquet", "wb") as f:
+            f.write(data)
+
+    whole, cut = b"PAR1" + b"x" * 40 + b"PAR1", b"PAR1" + b"x" * 44
+    put("a", whole)
+    put("b", cut)
+    assert health.store_manifest(spark, folder) == 2 and health.store_manifest(spark, folder) == 0
+    assert [os.path.basename(p) for p in health.quarantined(spark, folder)] == ["b.parquet"]
+    at = os.stat(f"{day}/a.parquet")
+    put("a", cut)  # of the same size and time: taken for the file that was probed, as it is not opened
+    os.utime(f"{day}/a.parquet", ns=(at.st_atime_ns, at.st_mtime_ns))
+    put("c", cut)
+    assert health.store_manifest(spark, folder) == 1
+    assert [os.path.basename(p) for p in health.quarantined(spark, folder)] == ["b.parquet", "c.parquet"]
+    put("b", whole + b"PAR1")  # finished since: no longer listed as it was, and sound when probed again
+    os.unlink(f"{day}/c.parquet")
+    assert health.quarantined(spark, folder) == []
+    assert health.store_manifest(spark, folder) == 1 and health.quarantined(spark, folder) == []
+    assert {os.path.basename(r.path): (r.bytes, r.defect) for r in health.read_manifest(spark, folder).collect()}["b.parquet"] == (52, None)
+
+
+def test_files_are_bounded_by_bytes(spark, folder):
+    """Frames of 30 to 9,000 random characters, most of them within one second: full files are within 20 % of the bound."""
+    import base64
+    import random
+
+    rng = random.Random(8)
+    bound = 400_000
+
+    def junk(n, at):
+        return [(at + i * 1_000_000, "S", base64.b64encode(rng.randbytes(rng.choice([20, 60, 400, 6_500]))).decode()) for i in range(n)]
+
+    first = junk(400, LATE - 10**12)
+    second = junk(900, LATE) + junk(40, LATE + 120 * 10**9)
+    for batch, rows in enumerate((first, second)):
+        done = tables.fan_out(decode.route(spark.createDataFrame(rows, FRAMES)), folder, batch, bound)
+        assert done == {"unparsed": (len(rows), len(rows))}
+    files = health.list_files(spark, f"{folder}/unparsed", "*.parquet").collect()
+    own = {}
+    for f in files:
+        if "batch_id=1" in f.path:
+            own.setdefault("date=2026-11-02" in f.path, []).append(f.bytes)
+    assert len(own[True]) == 1 and len(own[False]) > 2  # the next day has few rows, this one many
+    rest, *full = sorted(own[False])
+    assert all(0.8 * bound < n < 1.2 * bound for n in full) and rest < 1.2 * bound
+    read = tables.read_channel(spark, folder, "unparsed")
+    assert sorted(r.raw_message for r in read.select("raw_message").collect()) == sorted(m for _, _, m in first + second)
+    order = read.withColumn("f", F.input_file_name()).where("date = '2026-11-01'").groupBy("f").agg(F.min("received_at_ns").alias("a"), F.max("received_at_ns").alias("b"))
+    spans = sorted((r.a, r.b) for r in order.collect())
+    assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))  # files follow each other in time
+
+
+def test_a_batch_reads_only_its_own_folders(spark, folder):
+    rows = decode.route(frames(spark))
+    tables.fan_out(rows, folder, 0)
+    with open(next(p for p in _walk(f"{folder}/unparsed") if p.endswith(".parquet")), "wb") as f:
+        f.write(b"broken")
+    assert tables.fan_out(rows, folder, 1)["unparsed"] == (1, 1)
+
+
+def _walk(root):
+    return [os.path.join(d, n) for d, _, names in os.walk(root) for n in names]

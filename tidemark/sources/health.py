@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tidemark.session import materialize
+
 # A Parquet file starts and ends with these bytes and cannot be shorter.
 MAGIC = b"PAR1"
 SHORTEST = 12
-MANIFEST = "_unfinished"
+MANIFEST = "_probed"
+MANIFEST_FIELDS = "path string, bytes bigint, modified timestamp, channel string, defect string"
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -32,8 +35,8 @@ def storage_usage(spark: SparkSession, root: str) -> DataFrame:
     return list_files(spark, root).groupBy("channel").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
 
 
-def file_health(spark: SparkSession, root: str) -> DataFrame:
-    """Defect of each data file, NULL when sound.
+def probed(files: DataFrame) -> DataFrame:
+    """``files`` (path, bytes, modified, channel) with the defect of each, NULL when sound.
 
     Executors read the first and last four bytes of each file and nothing more.
     """
@@ -52,27 +55,61 @@ def file_health(spark: SparkSession, root: str) -> DataFrame:
                 defects.append(
                     "missing_header_magic" if head != MAGIC else "missing_footer_magic" if tail != MAGIC else None
                 )
-            yield pd.DataFrame({"path": batch["path"], "bytes": batch["bytes"], "channel": batch["channel"], "defect": pd.Series(defects, dtype=object)})
+            yield batch.assign(defect=pd.Series(defects, index=batch.index, dtype=object))
 
-    files = list_files(spark, root, "*.parquet").select("path", "bytes", "channel")
-    return files.mapInPandas(probe, "path string, bytes bigint, channel string, defect string")
+    return files.select("path", "bytes", "modified", "channel").mapInPandas(probe, MANIFEST_FIELDS)
 
 
-def store_manifest(spark: SparkSession, root: str) -> None:
-    """Probe all files once and keep the list of unfinished ones beside the tables, for every later read."""
-    quarantine_list(spark, root).coalesce(1).write.mode("overwrite").parquet(f"{root}/{MANIFEST}")
+def _data_files(spark: SparkSession, root: str) -> DataFrame:
+    return list_files(spark, root, "*.parquet").withColumnRenamed("modificationTime", "modified")
 
 
-def quarantined(spark: SparkSession, root: str) -> list[str]:
-    """Paths of the stored manifest (a row per unfinished file); none if it was never stored."""
+def file_health(spark: SparkSession, root: str) -> DataFrame:
+    """Defect of each data file, NULL when sound; every file is probed."""
+    return probed(_data_files(spark, root)).select("path", "bytes", "channel", "defect")
+
+
+def read_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """What was found in each file when it was last probed; no rows before the first time."""
     try:
-        return sorted(r.path for r in spark.read.parquet(f"{root}/{MANIFEST}").select("path").collect())
+        known = spark.read.schema(MANIFEST_FIELDS).parquet(f"{root}/{MANIFEST}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return spark.createDataFrame([], MANIFEST_FIELDS)
+    newest = F.max(F.struct("modified", "bytes", "channel", "defect")).alias("f")
+    return known.groupBy("path").agg(newest).select("path", "f.bytes", "f.modified", "f.channel", "f.defect")
+
+
+def store_manifest(spark: SparkSession, root: str) -> int:
+    """Probe the files that are new or have changed since, and add them to the manifest; returns how many.
+
+    Path, size and time are compared with the listing, so a file that was probed before is not opened again. A run that is
+    repeated finds nothing new and adds nothing.
+    """
+    same = ["path", "bytes", "modified"]
+    fresh = _data_files(spark, root).join(read_manifest(spark, root).select(same), same, "left_anti")
+    found = materialize(probed(fresh))
+    count = found.count()
+    if count:
+        found.coalesce(1).write.mode("append").parquet(f"{root}/{MANIFEST}")
+    return count
+
+
+def unfinished(spark: SparkSession, root: str) -> DataFrame:
+    """Listed files that the manifest has as defective (path, defect, bytes); one that has changed since is not among them."""
+    same = ["path", "bytes", "modified"]
+    bad = read_manifest(spark, root).where("defect IS NOT NULL")
+    return _data_files(spark, root).select(same).join(bad, same).select("path", "defect", "bytes")
+
+
+def quarantined(spark: SparkSession, root: str) -> list[str]:
+    """Paths of ``unfinished``: as many as there are broken files; none if no manifest was stored."""
+    if not read_manifest(spark, root).where("defect IS NOT NULL").take(1):
         return []
+    return sorted(r.path for r in unfinished(spark, root).select("path").collect())
 
 
 def quarantine_list(spark: SparkSession, root: str) -> DataFrame:
-    """Unfinished files to be kept out of reads, with defect and size; nothing is deleted or moved."""
+    """Unfinished files to be kept out of reads, with defect and size, probed now; nothing is deleted or moved."""
     return file_health(spark, root).where("defect IS NOT NULL").select("path", "defect", "bytes")

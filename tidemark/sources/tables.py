@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -14,13 +15,22 @@ from pyspark.sql.utils import AnalysisException
 from tidemark.functions.clocks import partition_date
 from tidemark.operators import decode
 from tidemark.operators.grids import grid_changes, grid_verdicts
+from tidemark.operators.ordered import TIME_CHUNK_NS, Run, running, time_chunk
 from tidemark.schemas import CHANNELS, channel_schema
 from tidemark.session import materialize
-from tidemark.sources.health import quarantined
+from tidemark.sources.health import list_files, quarantined
 
 # Upper bounds of a stored file.
-ROLL_ROWS = 2_000_000
+ROLL_BYTES = 128 << 20
 ROLL_PERIOD = "5 minutes"
+# Bytes that a value of fixed width adds to the estimate of a row, and the share of the estimate that is stored while nothing is known yet.
+VALUE_BYTES = 8
+FIRST_RATIO = 0.25
+ACCOUNTING = "channel string, expected long, stored long, weight long, bytes long"
+
+
+def _plain(path: str) -> str:
+    return re.sub("^file:/+", "file:/", path)
 
 
 def read_channel(
@@ -46,7 +56,8 @@ def read_channel(
     else:
         if quarantined:
             # Spark holds the list of files on the driver in any case; a listed one is left out of it.
-            left = [f for f in rows.inputFiles() if re.sub("^file:/+", "file:/", f) not in {re.sub("^file:/+", "file:/", q) for q in quarantined}]
+            bad = {_plain(q) for q in quarantined}
+            left = [f for f in rows.inputFiles() if _plain(f) not in bad]
             reader = spark.read.schema(schema).option("basePath", f"{root}/{channel}")
             rows = reader.parquet(*left) if left else spark.createDataFrame([], schema)
     if since is not None:
@@ -87,28 +98,70 @@ def read_sequence_columns(spark: SparkSession, root: str, date: str | None = Non
     return [df.select("session_id", "sid", "seq") for df in read_all(spark, root, date).values()]
 
 
-def write_channel(rows: DataFrame, root: str, channel: str, batch_id: int, max_rows: int = ROLL_ROWS) -> None:
-    """Write one batch of one channel. Writing the same batch again replaces it, so a retry adds nothing."""
+def row_weight(rows: DataFrame) -> Column:
+    """Estimated bytes of a row: its texts, and a fixed width for each other value."""
+    texts = [f.name for f in rows.schema if isinstance(f.dataType, T.StringType)]
+    fixed = VALUE_BYTES * (len(rows.columns) - len(texts))
+    return reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(t)), F.lit(0)) for t in texts], F.lit(fixed)).cast("bigint")
+
+
+def write_channel(
+    rows: DataFrame, root: str, channel: str, batch_id: int, max_bytes: int = ROLL_BYTES, ratio: float = FIRST_RATIO,
+    width: int = TIME_CHUNK_NS,
+) -> int:
+    """Write one batch of one channel in files of about ``max_bytes`` and return its estimated bytes.
+
+    Writing the same batch again replaces it, so a retry adds nothing. Rows are dealt to the files of their date in order of
+    receipt, by the running sum of their estimated bytes times ``ratio``, the share of the estimate that the batch before
+    took on disk. A date's last file holds the rest. A burst is cut like any other rows; a row alone may exceed the bound.
+    """
     names = channel_schema(channel).fieldNames()
-    placed = rows.select(*names).withColumn("date", partition_date("received_at_ns")).withColumn(
-        "batch_id", F.lit(batch_id).cast("bigint")
-    )
+    placed = rows.select(*names).withColumn("date", partition_date("received_at_ns")).withColumn("_weight", row_weight(rows.select(*names)))
+    # One row per date of the batch.
+    sizes = {r.date: r.n for r in placed.groupBy("date").agg(F.sum("_weight").alias("n")).collect()}
+    total = sum(sizes.values())
+    if not total:
+        return 0
+    share = max_bytes / ratio  # estimated bytes of a full file
+    files = {date: int(n / share) + 1 for date, n in sizes.items()}
+    first = dict(zip(files, accumulate(files.values(), initial=0)))
+    if max(files.values()) > 1:
+        order = ["received_at_ns", "_weight"]
+        placed = running(placed, ["date"], order, time_chunk(order[0], width), {"_before": Run("sum", F.col("_weight"))})
+        number = F.least(F.floor(F.col("_before") / F.lit(share)), F.col("_files") - 1)
+    else:
+        number = F.lit(0)
+    starts = placed.sparkSession.createDataFrame([(d, first[d], n) for d, n in files.items()], "date date, _first long, _files long")
+    dealt = placed.join(starts, "date").withColumn("_file", (F.col("_first") + number).cast("int"))
     (
-        placed.write.mode("overwrite")
+        dealt.repartitionById(sum(files.values()), "_file")
+        .select(*names, "date", F.lit(batch_id).cast("bigint").alias("batch_id"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_rows)
         .partitionBy("date", "batch_id")
         .parquet(f"{root}/{channel}")
     )
+    return total
+
+
+def stored_ratios(spark: SparkSession, root: str, batch_id: int) -> dict[str, float]:
+    """Bytes on disk per estimated byte of each channel in the batch before; a batch costs the same however long the history."""
+    try:
+        before = spark.read.schema(ACCOUNTING).parquet(f"{root}/_accounting/batch_id={batch_id - 1}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r.channel: r.bytes / r.weight for r in before.where("weight > 0 AND bytes > 0").collect()}
 
 
-def fan_out(routed: DataFrame, root: str, batch_id: int) -> dict[str, tuple[int, int]]:
+def fan_out(routed: DataFrame, root: str, batch_id: int, max_bytes: int = ROLL_BYTES, width: int = TIME_CHUNK_NS) -> dict[str, tuple[int, int]]:
     """Write a mixed batch to all its channels; returns (rows expected, rows stored) per channel.
 
     The routed frames are written once, by channel, and every encoder reads its
     own part, so that nothing is parsed twice and nothing has to fit in memory.
-    What is stored is counted in the files. A difference is an error, and the counts of
-    each batch stay in ``_accounting``.
+    What is stored is counted in the batch's own files. A difference is an error, and the counts and sizes of
+    each batch stay in ``_accounting``; the next batch takes its file sizes from there.
     """
     spark = routed.sparkSession
     staging = f"{root}/_staging/batch_id={batch_id}"
@@ -119,18 +172,20 @@ def fan_out(routed: DataFrame, root: str, batch_id: int) -> dict[str, tuple[int,
     )
     counted.drop("expected").write.mode("overwrite").partitionBy("channel").parquet(staging)
     expected = wanted.get
-    staged = spark.read.parquet(staging)
-    result = {}
+    staged = spark.read.schema(routed.schema).parquet(staging)
+    ratios = stored_ratios(spark, root, batch_id)
+    result, facts = {}, []
     for channel in CHANNELS:
         if not expected[channel]:
             continue
-        write_channel(decode.decode_channel(staged, channel), root, channel, batch_id)
-        stored = spark.read.parquet(f"{root}/{channel}").where(F.col("batch_id") == batch_id).count()
+        rows = decode.decode_channel(staged, channel)
+        weight = write_channel(rows, root, channel, batch_id, max_bytes, ratios.get(channel, FIRST_RATIO), width)
+        own = f"{root}/{channel}/date=*/batch_id={batch_id}"
+        stored = spark.read.schema(channel_schema(channel)).parquet(own).count()
+        held = list_files(spark, own, "*.parquet").agg(F.sum("bytes")).first()[0]
         result[channel] = (int(expected[channel]), stored)
-    facts = [(channel, *counts) for channel, counts in result.items()]
-    spark.createDataFrame(facts, "channel string, expected long, stored long").coalesce(1).write.mode("overwrite").parquet(
-        f"{root}/_accounting/batch_id={batch_id}"
-    )
+        facts.append((channel, *result[channel], weight, held))
+    spark.createDataFrame(facts, ACCOUNTING).coalesce(1).write.mode("overwrite").parquet(f"{root}/_accounting/batch_id={batch_id}")
     if rows_lost(result):
         raise RuntimeError(f"batch {batch_id} of {root} lost rows: {result}")
     return result
@@ -138,7 +193,7 @@ def fan_out(routed: DataFrame, root: str, batch_id: int) -> dict[str, tuple[int,
 
 def read_accounting(spark: SparkSession, root: str) -> DataFrame:
     """(batch_id, channel, expected, stored) of every batch."""
-    return spark.read.parquet(f"{root}/_accounting").select("batch_id", "channel", "expected", "stored")
+    return spark.read.schema(f"{ACCOUNTING}, batch_id long").parquet(f"{root}/_accounting").select("batch_id", "channel", "expected", "stored")
 
 
 def rows_lost(accounting: dict[str, tuple[int, int]]) -> int:
