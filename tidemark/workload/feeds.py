@@ -153,17 +153,6 @@ def _(s):
     return metrics.minute_metrics(decode.route(frames(s)))
 
 
-step("pairs", ("wire",), f"SELECT session_id, sid, {CHANNEL_SQL} AS channel, market_ticker FROM wire WHERE kind IN ('delta', 'ticker', 'trade')")
-
-
-@query("subscription_map", ("pairs",), """
-SELECT session_id, sid, array_to_string(list_sort(list(DISTINCT channel)), ',') AS channels, count(DISTINCT market_ticker) AS markets FROM pairs GROUP BY session_id, sid""")
-def _(s):
-    routed = decode.route(frames(s)).where(F.col("channel").isin("orderbook_delta", "ticker", "trade"))
-    rows = routed.select("session_id", decode.unsigned_at("sid").alias("sid"), "channel", decode.text_at("msg.market_ticker").alias("market_ticker"))
-    return metrics.subscription_map(rows)
-
-
 @query("subscribed_rows", ("wire",), """
 SELECT w.session_id, w.sid, c.subscribed_channel, count(*) AS "rows" FROM wire w LEFT JOIN (SELECT session_id, sid, min(regexp_extract(raw_message, '"channel":"([a-z]+)"', 1)) AS subscribed_channel
   FROM wire WHERE kind = 'subscribed' GROUP BY 1, 2) c USING (session_id, sid) WHERE kind = 'delta' GROUP BY 1, 2, 3""")
@@ -173,17 +162,6 @@ def _(s):
     return rows.groupBy("session_id", "sid", "subscribed_channel").agg(F.count("*").alias("rows"))
 
 
-@query("error_attribution", ("wire",), """
-SELECT e.session_id, e.market_ticker, d.sid, e.cents % 30 IN (10, 17, 25) AS terminal, count(*) AS errors FROM wire e LEFT JOIN (SELECT DISTINCT session_id, market_ticker, sid FROM wire WHERE kind = 'delta') d USING (session_id, market_ticker)
-WHERE e.kind = 'error' GROUP BY ALL""")
-def _(s):
-    routed = decode.route(frames(s))
-    known = decode.decode_channel(routed, "orderbook_delta").select("session_id", "market_ticker", "sid").distinct()
-    out = metrics.attribute_errors(decode.decode_channel(routed, "control"), known)
-    return out.groupBy("session_id", "market_ticker", "sid", F.col("recovery").isNotNull().alias("terminal")).agg(F.count("*").alias("errors"))
-
-
-
 step("board_rows", ("tick",), "SELECT *, row_number() OVER (PARTITION BY market_ticker ORDER BY received_at_ns, seq) AS n FROM tick")
 LAST = [f"arg_max({x}, n) FILTER (WHERE {x} IS NOT NULL) AS {x}" for x in board.LATEST]
 step("board", ("board_rows",), f"SELECT market_ticker, {', '.join(LAST)}, max(received_at_ns) // 1000000 AS updated_ms FROM board_rows GROUP BY market_ticker")

@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit, decode, reconcile
+from tidemark.operators import audit, decode, metrics, reconcile
 from tidemark.session import checkpoint_dir
 from tidemark.sources import health, records, tables
 from tidemark.workload.feeds import CHANNEL_SQL, frames
@@ -38,12 +38,11 @@ def _(s):
 
 
 @query("channel_scan_dates", ("stored_rows",), """
-SELECT CAST(make_timestamp(received_at_ns // 1000) AS DATE) AS date, count(*) AS trades, CAST(sum(seq) AS BIGINT) AS seqs
-FROM (SELECT received_at_ns, CAST(NULL AS BIGINT) AS seq FROM stored_rows WHERE channel = 'trade')
-WHERE received_at_ns >= 1704844800000000000 AND received_at_ns < 1705708800000000000 GROUP BY 1""")
+SELECT CAST(make_timestamp(received_at_ns // 1000) AS DATE) AS date, count(*) AS deltas, CAST(sum(seq) AS BIGINT) AS seqs FROM stored_rows
+WHERE channel = 'orderbook_delta' AND received_at_ns >= 1704844800000000000 AND received_at_ns < 1705708800000000000 GROUP BY 1""")
 def _(s):
-    rows = tables.read_channel(s.spark, stored(s), "trade", "2024-01-10", "2024-01-19")
-    return rows.groupBy("date").agg(F.count("*").alias("trades"), F.sum("seq").alias("seqs"))
+    rows = tables.read_channel(s.spark, stored(s), "orderbook_delta", "2024-01-10", "2024-01-19")
+    return rows.groupBy("date").agg(F.count("*").alias("deltas"), F.sum("seq").alias("seqs"))
 
 
 @query("sequence_scan", ("stored_rows",), """
@@ -53,18 +52,103 @@ def _(s):
     return tables.union_by_name(parts).groupBy("session_id").agg(F.count("*").alias("frames"))
 
 
-@query("storage_usage", ("stored_rows",), """
-SELECT DISTINCT channel, true AS has_files, true AS has_bytes FROM stored_rows""")
+DATES_SQL = "count(DISTINCT CAST(make_timestamp(received_at_ns // 1000) AS DATE))"
+
+
+DATA_CHANNELS = ("orderbook_snapshot", "orderbook_delta", "ticker", "trade", "market_lifecycle", "event_fee_update")
+step("pairs", ("stored_rows",), """SELECT session_id, sid, channel, CASE kind WHEN 'event' THEN concat('KXEV', CAST(user_id // 2 AS VARCHAR)) WHEN 'fee' THEN NULL ELSE market_ticker END AS market_ticker
+FROM stored_rows WHERE channel NOT IN ('control', 'unparsed')""")
+
+
+def carried(s, root: str):
+    """(session_id, sid, channel, market_ticker) of every stored data frame; an event's own ticker stands in where a frame names no market, fee updates name none."""
+    def part(channel):
+        rows = tables.read_channel(s.spark, root, channel)
+        market = F.col("market_ticker") if "market_ticker" in rows.columns else F.lit(None).cast("string")
+        return rows.select("session_id", "sid", F.lit(channel).alias("channel"), market.alias("market_ticker"))
+
+    return tables.union_by_name([part(c) for c in DATA_CHANNELS])
+
+
+@query("subscription_map", ("pairs",), """
+SELECT session_id, sid, array_to_string(list_sort(list(DISTINCT channel)), ',') AS channels, count(DISTINCT market_ticker) AS markets FROM pairs GROUP BY session_id, sid""")
+def _(s):
+    return metrics.subscription_map(carried(s, stored(s)))
+
+
+@query("error_attribution", ("wire", "pairs"), """
+SELECT e.session_id, e.market_ticker, d.sid, e.cents % 30 IN (10, 17, 25) AS terminal, count(*) AS errors
+FROM wire e LEFT JOIN (SELECT DISTINCT session_id, market_ticker, sid FROM pairs WHERE market_ticker IS NOT NULL) d USING (session_id, market_ticker)
+WHERE e.kind = 'error' GROUP BY ALL""")
+def _(s):
+    root = stored(s)
+    known = carried(s, root).where("market_ticker IS NOT NULL").select("session_id", "market_ticker", "sid").distinct()
+    out = metrics.attribute_errors(tables.read_channel(s.spark, root, "control"), known)
+    return out.groupBy("session_id", "market_ticker", "sid", F.col("recovery").isNotNull().alias("terminal")).agg(F.count("*").alias("errors"))
+
+
+@query("storage_usage", ("stored_rows",), f"""
+SELECT channel, {DATES_SQL} AS files, true AS has_bytes FROM stored_rows GROUP BY channel""")
 def _(s):
+    """A batch below the bound has one file per date."""
     used = health.storage_usage(s.spark, stored(s)).where("channel <> ''")
-    return used.select("channel", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    return used.select("channel", "files", (F.col("bytes") > 0).alias("has_bytes"))
 
 
-@query("file_health", ("stored_rows",), """
-SELECT DISTINCT channel, CAST(0 AS BIGINT) AS unfinished FROM stored_rows""")
+def cut_copies(s, root: str) -> None:
+    """Beside each stored file of ``root``, a copy of its first half, as a writer leaves one that is stopped."""
+    from pyarrow import fs
+
+    def cut(batches):
+        for batch in batches:
+            for path, size in zip(batch["path"], batch["bytes"]):
+                filesystem, name = fs.FileSystem.from_uri(path)
+                with filesystem.open_input_file(name) as whole, filesystem.open_output_stream(name.replace(".parquet", ".cut.parquet")) as half:
+                    half.write(whole.read(int(size) // 2))
+            yield batch[["path"]]
+
+    files = health.list_files(s.spark, root, "part-*.parquet").select("path", "bytes").where("path NOT LIKE '%.cut.parquet'")
+    files.mapInPandas(cut, "path string").write.format("noop").mode("overwrite").save()
+
+
+@query("file_health", ("stored_rows",), f"""
+SELECT channel, {DATES_SQL} AS sound, {DATES_SQL} AS unfinished FROM stored_rows GROUP BY channel""")
+def _(s):
+    root = stored(s)
+    cut_copies(s, root)
+    found = health.file_health(s.spark, root).where("channel <> ''")
+    return found.groupBy("channel").agg(F.count_if(F.col("defect").isNull()).alias("sound"), F.count("defect").alias("unfinished"))
+
+
+@query("read_around_cut_files", ("stored_rows",), f"""
+SELECT channel, CAST(sum(n) AS BIGINT) AS "rows", {DATES_SQL} AS unfinished, CAST(0 AS BIGINT) AS probed_again FROM stored_rows GROUP BY channel""")
 def _(s):
-    found = health.file_health(s.spark, stored(s)).where("channel <> ''")
-    return found.groupBy("channel").agg(F.count("defect").alias("unfinished"))
+    """Files are probed before and after some are cut, so the second manifest opens the cut ones alone; reads leave those out."""
+    root = stored(s)
+    health.store_manifest(s.spark, root)
+    cut_copies(s, root)
+    health.store_manifest(s.spark, root)
+    again = health.store_manifest(s.spark, root)
+    counts = audit.channel_counts(tables.read_all(s.spark, root)).where("channel <> 'TOTAL' AND rows > 0")
+    bad = health.unfinished(s.spark, root).groupBy(F.regexp_extract("path", r"/([a-z_]+)/date=", 1).alias("channel")).agg(F.count("*").alias("unfinished"))
+    return counts.join(bad, "channel", "left").select("channel", "rows", "unfinished", F.lit(again).cast("bigint").alias("probed_again"))
+
+
+# Bound of a file in the query below; the whole feed is below the real one on test data.
+SMALL_FILE = 1 << 18
+
+
+@query("bounded_files", ("stored_rows",), """
+SELECT channel, 2 * CAST(sum(n) AS BIGINT) AS "rows", CAST(0 AS BIGINT) AS oversized FROM stored_rows GROUP BY channel""")
+def _(s):
+    """The feed stored as two batches; files of the second take their size from the first and stay within 20 % of the bound."""
+    root = scratch(s)
+    for batch in (0, 1):
+        tables.fan_out(decode.route(frames(s)), root, batch, SMALL_FILE)
+    sizes = health.list_files(s.spark, root, "*.parquet").where("channel <> '' AND path LIKE '%/batch_id=1/%'")
+    over = sizes.groupBy("channel").agg(F.count_if(F.col("bytes") > 1.2 * SMALL_FILE).alias("oversized"))
+    rows = audit.channel_counts(tables.read_all(s.spark, root)).where("channel <> 'TOTAL' AND rows > 0")
+    return rows.join(over, "channel").select("channel", "rows", "oversized")
 
 
 @query("session_scan", ("sess",), """

@@ -33,10 +33,9 @@ def _(s):
 
 
 @query("seq_gaps_by_sid", ("points",), """
-SELECT sid, before AS after_seq, seq AS before_seq, seq - before - 1 AS missing FROM (SELECT sid, seq, lag(seq) OVER (PARTITION BY sid ORDER BY seq) AS before FROM (SELECT DISTINCT sid, seq FROM points WHERE session_id IN ('S0', 'S1') AND event_type <> 'view')) WHERE seq <> before + 1""")
+SELECT sid, before AS after_seq, seq AS before_seq, seq - before - 1 AS missing FROM (SELECT sid, seq, lag(seq) OVER (PARTITION BY sid ORDER BY seq) AS before FROM (SELECT DISTINCT sid, seq FROM points)) WHERE seq <> before + 1""")
 def _(s):
-    rows = s.points.where("session_id IN ('S0', 'S1') AND event_type <> 'view'")
-    return sequence.sequence_gaps(sequence.sequence_points([rows], ("sid",)), ("sid",))
+    return sequence.sequence_gaps(sequence.sequence_points(channels(s), ("sid",)), ("sid",))
 
 
 @query("seq_summary", ("stream_sums",), "SELECT * FROM stream_sums")
