@@ -251,3 +251,13 @@ def test_a_batch_reads_only_its_own_folders(spark, folder):
 
 def _walk(root):
     return [os.path.join(d, n) for d, _, names in os.walk(root) for n in names]
+
+
+def test_the_rows_of_a_batch_are_never_broadcast(spark, folder):
+    tables.fan_out(decode.route(frames(spark)), folder, 0)
+    batch = tables.read_channel(spark, folder, "orderbook_delta")
+    days = [(r.date, i, 1) for i, r in enumerate(batch.select("date").distinct().collect())]
+    dealt = tables.numbered(batch, days, F.lit(0))
+    plan = dealt._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "BuildLeft" not in plan
+    assert dealt.count() == 2

@@ -105,6 +105,15 @@ def row_weight(rows: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(t)), F.lit(0)) for t in texts], F.lit(fixed)).cast("bigint")
 
 
+def numbered(placed: DataFrame, files: list[tuple], number: Column) -> DataFrame:
+    """``placed`` with the ``_file`` of each row, from (date, first file, files) and the ``number`` of the file within its date.
+
+    Spark knows no size of a list from the driver and would broadcast the batch instead where its files are small; hence the hint.
+    """
+    starts = placed.sparkSession.createDataFrame(files, "date date, _first long, _files long")
+    return placed.join(F.broadcast(starts), "date").withColumn("_file", (F.col("_first") + number).cast("int"))
+
+
 def write_channel(
     rows: DataFrame, root: str, channel: str, batch_id: int, max_bytes: int = ROLL_BYTES, ratio: float = FIRST_RATIO,
     width: int = TIME_CHUNK_NS,
@@ -131,8 +140,7 @@ def write_channel(
         number = F.least(F.floor(F.col("_before") / F.lit(share)), F.col("_files") - 1)
     else:
         number = F.lit(0)
-    starts = placed.sparkSession.createDataFrame([(d, first[d], n) for d, n in files.items()], "date date, _first long, _files long")
-    dealt = placed.join(starts, "date").withColumn("_file", (F.col("_first") + number).cast("int"))
+    dealt = numbered(placed, [(d, first[d], n) for d, n in files.items()], number)
     (
         dealt.repartitionById(sum(files.values()), "_file")
         .select(*names, "date", F.lit(batch_id).cast("bigint").alias("batch_id"))
