@@ -261,3 +261,16 @@ def test_the_rows_of_a_batch_are_never_broadcast(spark, folder):
     plan = dealt._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "BuildLeft" not in plan
     assert dealt.count() == 2
+
+
+def test_files_that_compress_worse_than_the_batch_before_are_written_again(spark, folder):
+    rows = [(LATE + i, "S", wire(i, f"0.{i * 7919 % 10000:04d}")) for i in range(20_000)]
+    routed = decode.route(spark.createDataFrame(rows, FRAMES))
+    tables.fan_out(routed, folder, 0)
+    bound = 1 << 16
+    told = "SELECT 'orderbook_delta' AS channel, 1L AS expected, 1L AS stored, 100L AS weight, 1L AS bytes"
+    spark.sql(told).write.mode("overwrite").parquet(f"{folder}/_accounting/batch_id=0")
+    tables.fan_out(routed, folder, 1, bound)
+    sizes = [r.bytes for r in health.list_files(spark, f"{folder}/orderbook_delta/date=*/batch_id=1", "*.parquet").collect()]
+    assert len(sizes) > 1 and max(sizes) <= 1.2 * bound
+    assert tables.read_channel(spark, folder, "orderbook_delta").count() == 40_000

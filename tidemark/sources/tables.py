@@ -26,6 +26,10 @@ ROLL_PERIOD = "5 minutes"
 # Bytes that a value of fixed width adds to the estimate of a row, and the share of the estimate that is stored while nothing is known yet.
 VALUE_BYTES = 8
 FIRST_RATIO = 0.25
+# A batch with files beyond the slack is written again with its own ratio; a single row may be larger than any file, so not without end.
+ROLL_SLACK = 1.2
+REWRITES = 3
+MOST_CORRECTION = 4
 ACCOUNTING = "channel string, expected long, stored long, weight long, bytes long"
 
 
@@ -169,7 +173,8 @@ def fan_out(routed: DataFrame, root: str, batch_id: int, max_bytes: int = ROLL_B
     The routed frames are written once, by channel, and every encoder reads its
     own part, so that nothing is parsed twice and nothing has to fit in memory.
     What is stored is counted in the batch's own files. A difference is an error, and the counts and sizes of
-    each batch stay in ``_accounting``; the next batch takes its file sizes from there.
+    each batch stay in ``_accounting``; the next batch takes its file sizes from there. Where they come out too large, the channel is
+    written again by its own ratio.
     """
     spark = routed.sparkSession
     staging = f"{root}/_staging/batch_id={batch_id}"
@@ -187,10 +192,16 @@ def fan_out(routed: DataFrame, root: str, batch_id: int, max_bytes: int = ROLL_B
         if not expected[channel]:
             continue
         rows = decode.decode_channel(staged, channel)
-        weight = write_channel(rows, root, channel, batch_id, max_bytes, ratios.get(channel, FIRST_RATIO), width)
         own = f"{root}/{channel}/date=*/batch_id={batch_id}"
+        ratio = ratios.get(channel, FIRST_RATIO)
+        for left in range(REWRITES, -1, -1):
+            weight = write_channel(rows, root, channel, batch_id, max_bytes, ratio, width)
+            held, largest = list_files(spark, own, "*.parquet").agg(F.sum("bytes"), F.max("bytes")).first()
+            if not left or (largest or 0) <= ROLL_SLACK * max_bytes:
+                break
+            # Smaller files may compress worse than those the ratio was learned from.
+            ratio *= min(largest / max_bytes, MOST_CORRECTION)
         stored = spark.read.schema(channel_schema(channel)).parquet(own).count()
-        held = list_files(spark, own, "*.parquet").agg(F.sum("bytes")).first()[0]
         result[channel] = (int(expected[channel]), stored)
         facts.append((channel, *result[channel], weight, held))
     spark.createDataFrame(facts, ACCOUNTING).coalesce(1).write.mode("overwrite").parquet(f"{root}/_accounting/batch_id={batch_id}")
