@@ -153,6 +153,17 @@ def test_grid_hash(spark):
         assert one(spark, grid.grid_hash(F.lit(text)))[0] == fnv(text.encode())
 
 
+def test_grid_hash_of_many_and_long_texts(spark):
+    import time
+
+    texts = [None if i % 7 == 0 else "é" * (i % 5) + str(i % 50) for i in range(500)] + ["", "x" * 300_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").withColumn("h", grid.grid_hash("t"))
+    started = time.monotonic()
+    got = {r.i: r.h for r in df.collect()}
+    assert time.monotonic() - started < 60  # a substring per byte took the square of the length
+    assert got == {i: None if t is None else fnv(t.encode()) for i, t in enumerate(texts)}
+
+
 def test_labels(spark):
     assert one(spark, display.cents_label(F.lit(435_000)), display.cents_label(F.lit(None).cast("bigint")),
                display.bytes_label(F.lit(512)), display.bytes_label(F.lit(1536)), display.bytes_label(F.lit(20 * 1024**2)),

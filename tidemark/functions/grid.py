@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.fixed import as_col, format_price, parse_price
 
 BANDS = "array<struct<start:bigint,end:bigint,step:bigint>>"
 BAND_TEXT = "array<struct<start:string,end:string,step:string>>"
 
-# 64-bit FNV-1a offset basis, as two 32-bit halves, and the low part of its prime (2^40 + 435).
-FNV_BASIS_HI = 0xCBF29CE4
-FNV_BASIS_LO = 0x84222325
-FNV_PRIME_LOW = 435
-LOW32 = 0xFFFFFFFF
+# 64-bit FNV-1a offset basis and prime.
+FNV_BASIS = np.uint64(0xCBF29CE484222325)
+FNV_PRIME = np.uint64(0x100000001B3)
 
 
 def parse_grid(text: Column | str) -> Column:
@@ -101,31 +102,24 @@ def render_grid(bands: Column | str) -> Column:
     return F.concat(F.lit("["), F.array_join(parts, ", "), F.lit("]"))
 
 
-def grid_hash(text: Column | str) -> Column:
-    """64-bit FNV-1a of the UTF-8 bytes, 16 hex digits.
-
-    The state is kept as two 32-bit halves: under ANSI mode a BIGINT product may
-    not wrap, and no product here exceeds 41 bits.
-    """
-    hexed = F.hex(F.encode(as_col(text), "UTF-8"))
-    length = F.length(hexed)
-    digits = F.lit("0123456789ABCDEF")
-    starts = F.when(length > 0, F.sequence(F.lit(1), length - 1, F.lit(2))).otherwise(F.array().cast("array<int>"))
-
-    def nibble(at: Column) -> Column:
-        return F.instr(digits, F.substring(hexed, at, F.lit(1))) - 1
-
-    octets = F.transform(starts, lambda i: (nibble(i) * 16 + nibble(i + 1)).cast("bigint"))
-
-    def step(acc: Column, octet: Column) -> Column:
-        low = acc["lo"].bitwiseXOR(octet)
-        product = low * FNV_PRIME_LOW
-        high = acc["hi"] * FNV_PRIME_LOW + F.shiftright(product, 32) + F.shiftleft(low, 8)
-        return F.struct(
-            high.bitwiseAND(F.lit(LOW32)).alias("hi"), product.bitwiseAND(F.lit(LOW32)).alias("lo")
-        )
+def _fnv1a(texts: pd.Series) -> pd.Series:
+    """Distinct texts of a batch, longest first, take one byte each per step; 64-bit products wrap."""
+    codes, distinct = pd.factorize(texts)
+    data = sorted(((text.encode("utf-8"), place) for place, text in enumerate(distinct)), key=lambda d: -len(d[0]))
+    lengths = np.array([len(d) for d, _ in data], dtype=np.int64)
+    octets = np.frombuffer(b"".join(d for d, _ in data), dtype=np.uint8).astype(np.uint64)
+    starts = np.cumsum(lengths) - lengths
+    state = np.full(len(data), FNV_BASIS, dtype=np.uint64)
+    for i in range(int(lengths.max(initial=0))):
+        left = np.searchsorted(-lengths, -i)  # texts longer than i
+        state[:left] = (state[:left] ^ octets[starts[:left] + i]) * FNV_PRIME
+    found = np.empty(len(data) + 1, dtype=object)
+    found[-1] = None  # the code of NULL
+    for (_, place), h in zip(data, state.tolist()):
+        found[place] = f"{h:016x}"
+    return pd.Series(found[codes], index=texts.index)
 
-    start = F.struct(F.lit(FNV_BASIS_HI).cast("bigint").alias("hi"), F.lit(FNV_BASIS_LO).cast("bigint").alias("lo"))
-    state = F.aggregate(octets, start, step)
-    halves = [F.lpad(F.lower(F.hex(state[h])), 8, "0") for h in ("hi", "lo")]
-    return F.when(as_col(text).isNotNull(), F.concat(*halves))
+
+def grid_hash(text: Column | str) -> Column:
+    """64-bit FNV-1a of the UTF-8 bytes, 16 hex digits."""
+    return F.pandas_udf(_fnv1a, T.StringType())(as_col(text))
