@@ -213,3 +213,12 @@ def test_idle_sessions_raise_an_alert(spark, folder):
         time.sleep(1)
     query.stop()
     assert sorted((r.session_id, r.last_received_ns) for r in spark.table("alerts").collect()) == [("A", 4), ("B", 4)]
+
+
+def test_a_stream_over_a_long_time_ends(spark, folder):
+    from tidemark.workload import catalog
+
+    parts = [(k, "Brand#11", k % 7) for k in (0, 1, 60_000, 60_002, 7_200_000)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_size long").write.parquet(f"{folder}/part.parquet")
+    got = {(r.source, r.observed_ms) for r in catalog.QUERIES["stream_grids"](spark, folder).collect()}
+    assert got == {("lifecycle" if k % 5 == 0 else "discovery", k * 300_000) for k, _, _ in parts}

@@ -29,7 +29,7 @@ def arriving(s, rows: DataFrame, time: str, per_ms: int) -> tuple[DataFrame, str
     batch = floor_div(F.col(time) + late - low, length)
     for n in range(BATCHES + 1):
         rows.where(batch == n).repartition(BATCH_FILES).write.mode("append").parquet(path)
-    last = rows.limit(1).select(*[F.lit(high + 10**6 * length).cast(t).alias(c) if c == time else F.lit("~").alias(c) if t == "string" else F.col(c) for c, t in rows.dtypes])
+    last = rows.limit(1).select(*[F.lit(high + 10 * length).cast(t).alias(c) if c == time else F.lit("~").alias(c) if t == "string" else F.col(c) for c, t in rows.dtypes])
     last.write.mode("append").parquet(path)
     stream = s.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(path)
     return stream, f"{2 * length // per_ms + 1} milliseconds"
