@@ -222,3 +222,59 @@ def test_a_stream_over_a_long_time_ends(spark, folder):
     spark.createDataFrame(parts, "p_partkey long, p_brand string, p_size long").write.parquet(f"{folder}/part.parquet")
     got = {(r.source, r.observed_ms) for r in catalog.QUERIES["stream_grids"](spark, folder).collect()}
     assert got == {("lifecycle" if k % 5 == 0 else "discovery", k * 300_000) for k, _, _ in parts}
+
+
+def test_rows_wait_in_parts_of_a_bucket_and_are_read_bucket_by_bucket(monkeypatch):
+    import random
+
+    from pyspark.sql import Row
+
+    from tidemark.streaming import keyed
+
+    class Value:
+        def __init__(self):
+            self.held = None
+
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+
+        def update(self, value):
+            self.held = value
+
+        def clear(self):
+            self.held = None
+
+    class Map(dict):
+        largest = 0
+
+        def updateValue(self, key, value):
+            Map.largest = max(Map.largest, len(keyed.pickle.loads(value[0])))
+            self[key] = value
+
+        getValue, removeKey = dict.get, dict.pop
+
+    class Handle:
+        getValueState = lambda self, *a: Value()
+        getMapState = lambda self, *a: Map()
+        registerTimer = deleteTimer = lambda self, at: None
+
+    class Times:
+        def __init__(self, at):
+            self.getCurrentWatermarkInMs = lambda: at
+
+    class Plain(keyed.InEventOrder):
+        def act(self, key, rows):
+            yield from rows
+
+    monkeypatch.setattr(keyed, "FRESH_ROWS", 500)
+    one = Plain(["at", "n"], ["at", "n"], 1, 1_000)
+    one.init(Handle())
+    rows = [(at, n) for n, at in enumerate(range(0, 40_000, 10))]
+    random.Random(1).shuffle(rows)
+    make = Row("n", "at", "other")
+    assert list(one.handleInputRows("k", (make(n, at, "x") for at, n in rows), Times(-1))) == []
+    assert len(one.waiting) > 40 and Map.largest <= 100
+    first = list(one.handleInputRows("k", iter([make(-1, 7, "x")]), Times(20_005)))
+    assert first == sorted([r for r in rows if r[0] <= 20_005] + [(7, -1)]) and one.due.get() == (20_010,)
+    assert list(one.handleExpiredTimer("k", Times(10**6), None)) == sorted(r for r in rows if r[0] > 20_005)
+    assert not one.waiting and not one.buckets.exists() and not one.due.exists()
