@@ -42,3 +42,11 @@ def test_coverage_report(spark, folder):
     assert (head.sessions, head.running, head.covered_ms) == (2, 1, 11 * 3_600_000)
     assert out["largest_gaps"].first().gap_ms == 3_600_000
     assert out["daily"].first().flag == "gap"
+
+
+def test_channel_counts_parse_each_frame_once(spark):
+    from tidemark.workload import catalog
+
+    counts = catalog.QUERIES["channel_counts"](spark, "/root/testdata/sf0.001")
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan.lower() and "relation [" in plan.lower()

@@ -7,6 +7,7 @@ from tidemark.functions import grid
 from tidemark.functions.clocks import received_ms
 from tidemark.operators import audit, board, decode, grids, metrics, reconcile
 from tidemark.schemas import CHANNELS
+from tidemark.session import materialize
 from tidemark.workload.derive import NOW_MS
 from tidemark.workload.registry import query, step
 
@@ -135,7 +136,7 @@ def _(s):
 SELECT coalesce(channel, 'TOTAL') AS channel, CAST(sum(CASE WHEN kind = 'snapshot' THEN greatest(cents % 3 + user_id % 2, 1) ELSE 1 END) AS BIGINT) AS "rows"
 FROM (SELECT *, {CHANNEL_SQL} AS channel FROM wire) GROUP BY ROLLUP (channel)""")
 def _(s):
-    routed = decode.route(frames(s))
+    routed = materialize(decode.route(frames(s)))  # every channel reads it
     return audit.channel_counts({name: decode.decode_channel(routed, name) for name in CHANNELS if name != "price_ranges"})
 
 
