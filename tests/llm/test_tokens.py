@@ -32,6 +32,21 @@ def test_cached_words_give_the_tokenizer_s_ids(path, style):
             assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_blanks_at_ends_and_words_of_letters_give_the_tokenizer_s_ids(path):
+    texts = [a + w + b for a in ("", " ", "\n", "\u3000", "\x85") for w in ("word", "It's", "a b", "don't x", "z9", "\x1c", "q\u2003r", "é") for b in ("", " ", "\n", "\u3000", " \n")]
+    encoder, plain = Encoder(path), Tokenizer.from_file(path)
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_words_of_letters_are_not_searched_for_pieces():
+    # One piece as it stands; others are cut into a list.
+    split = Encoder(BYTE).split
+    assert split(" word") == (" word",) and split("it") == ("it",)
+    assert split(" it's") == [" it", "'s"] and split(" é") == [" é"] and split(" ") == [" "]
+
+
 def whole(patterns, capacity):
     counts = defaultdict(int)
     for times, pattern in patterns:

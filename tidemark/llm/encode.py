@@ -20,7 +20,9 @@ LEADING = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 # Byte-level tokenizers show a byte as the character of that number where it is printable, others, in order, from 256 on.
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOWN = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
-_UNSAFE = re.compile(r"\s\s|\A\s|\s\Z")
+_BLANK = chr(_SHOWN[32])
+# White space before more of it or the end; what follows a class is found faster than alternatives.
+_UNSAFE = re.compile(r"\s(?!\S)")
 
 
 class Encoder:
@@ -68,14 +70,16 @@ class Encoder:
             return self._plain(words)
         others = [w for w in words if not _LATIN.fullmatch(w)]
         found = dict(zip(others, self._plain(others)))
-        return [found[w] if w in found else b"".join([self._piece(p) for p in self.split(w)]) for w in words]
+        return [found[w] if w in found else b"".join(map(self._piece, self.split(w))) for w in words]
 
     def _piece(self, piece: str) -> bytes:
         ids = self.parts.get(piece)
         if ids is None:
             ids = self.older_parts.get(piece)
             if ids is None:
-                ids = array("I", [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_SHOWN))]).tobytes()
+                # Of the ASCII characters that come here the blank alone is shown as another one.
+                shown = piece.replace(" ", _BLANK) if piece.isascii() else piece.encode().decode("latin-1").translate(_SHOWN)
+                ids = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
             self.parts[piece] = ids
         return ids
 
@@ -91,11 +95,13 @@ class Encoder:
             cut = regex.compile(steps[0]["pattern"]["Regex"])
             return lambda word: cut.findall(word.lower())
         if self.style == "leading" and len(steps) == 1 and steps[0]["use_regex"] and not form["normalizer"]:
-            return regex.compile(LEADING).findall
+            pieces = regex.compile(LEADING).findall
+            # A blank and letters are one piece.
+            return lambda word: (word,) if word.isascii() and word.removeprefix(" ").isalpha() else pieces(word)
         return None
 
     def _cuttable(self, text: str) -> bool:
-        if self.style == "whole" or "\0" in text or (self.style == "leading" and _UNSAFE.search(text)):
+        if self.style == "whole" or "\0" in text or (self.style == "leading" and (text[:1].isspace() or _UNSAFE.search(text))):
             return False
         if not any(mark in text for mark in self.marks):
             return True
@@ -114,12 +120,13 @@ class Encoder:
         if len(self.parts) > CACHED_WORDS:
             self.older_parts, self.parts = self.parts, {}
         missing = [w for w in words if w not in self.cache]
-        again = {w: self.older[w] for w in missing if w in self.older}
-        self.cache.update(again)
-        missing = [w for w in missing if w not in again]
+        if self.older:
+            again = {w: self.older[w] for w in missing if w in self.older}
+            self.cache.update(again)
+            missing = [w for w in missing if w not in again]
         if missing:
             self.cache.update(zip(missing, self._words(missing)))
-        return [self.cache[w] for w in words]
+        return list(map(self.cache.__getitem__, words))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._cuttable(text) for text in texts]
@@ -133,13 +140,15 @@ class Encoder:
         lists = self._cut(texts)
         coded = lists.flatten().dictionary_encode()
         ids = self._known(coded.dictionary.to_pylist())
-        sizes = np.array([len(i) // 4 for i in ids], np.int64)
-        starts = np.cumsum(sizes) - sizes
+        # A batch has fewer ids than bytes, so places fit 32 bits.
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
         word = coded.indices.to_numpy()
         size = sizes[word]
-        ends = np.cumsum(size)
+        ends = np.cumsum(size, dtype=np.int32)
         # Place of every id of the batch among the ids of the different words.
-        place = np.repeat(starts[word] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+        place = np.repeat(starts[word] - (ends - size), size)
+        place += np.arange(len(place), dtype=np.int32)
         flat = np.frombuffer(b"".join(ids), "<u4")[place]
         bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return [flat[begin:end].tobytes() for begin, end in zip(bounds[:-1], bounds[1:])]
