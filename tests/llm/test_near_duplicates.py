@@ -5,9 +5,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidemark.llm import embed, shared
+from tidemark.llm import embed, jaccard, shared
 from tidemark.llm.embed import embedding_groups
 from tidemark.llm.jaccard import allowed, band_ends, jaccard_components, signatures
 from tidemark.llm.shared import components
@@ -138,3 +139,70 @@ def test_similar_sets_always_share_a_signature():
         if 100 * common >= 85 * union:
             x, y = (signatures(np.unique(np.array(s, np.uint64)), 85, ends) for s in (base, other))
             assert set(x.tolist()) & set(y.tolist()) or sorted(base) == sorted(other), (size, differ)
+
+
+def test_documents_of_compared_blocks_make_no_candidate_pairs(spark, monkeypatch):
+    made = []
+    store = jaccard.materialize
+
+    def counted(df):
+        out = store(df)
+        if out.columns == ["a", "b"]:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    rng = random.Random(3)
+    base = [f"w{n}" for n in range(300)]
+    texts = []
+    for n in range(60):  # seven words of its own each: two share about four fifths of their shingles
+        words = list(base)
+        for at in rng.sample(range(0, 300, 5), 7):
+            words[at] = f"own{n}x{at}"
+        texts.append(" ".join(words))
+    sets = [sets_of(t, 4) for t in texts]
+    links = [(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets[:a]) if 100 * len(x & y) >= 85 * len(x | y)]
+    got = jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), 4, 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == reach(range(60), links)
+    assert sum(made) < 3 * len(texts), made
+
+
+def test_candidates_meet_across_blocks_only_and_once_per_signature():
+    cells = np.zeros(jaccard.SKETCH // 8, np.uint8)
+    far = np.full(jaccard.SKETCH // 8, 255, np.uint8)
+    rows = [  # sign, doc, group, block, partner, sketch
+        (1, 10, 10, 0, -1, cells), (1, 11, 11, 0, -1, cells), (1, 12, 12, 1, 0, cells), (1, 13, 13, 2, -1, cells), (1, 14, 13, 2, -1, cells), (1, 15, 15, 3, -1, far),
+        (2, 11, 11, 0, -1, cells), (2, 13, 13, 2, -1, cells),
+    ]
+    sign, doc, group, block, partner, sketches = zip(*rows)
+    columns = {"sign": sign, "doc_id": doc, "group": group, "size": [100] * 8, "need": [1] * 8, "block": block, "partner": partner}
+    batch = pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in columns.items()} | {"sketch": pa.array([s.tobytes() for s in sketches], pa.binary())})
+    got = sorted((r["a"], r["b"]) for b in jaccard._meet([batch.slice(0, 3), batch.slice(3)], 85) for r in b.to_pylist())
+    assert got == [(10, 13), (10, 14), (11, 13), (11, 13), (11, 14), (12, 13), (12, 14)]
+
+
+def test_sketches_differ_in_no_more_cells_than_sets_in_shingles():
+    rng = np.random.default_rng(2)
+    for size, gone, new in [(1, 0, 1), (7, 1, 0), (300, 40, 33), (5000, 300, 700), (40, 40, 40)]:
+        x = np.unique(rng.integers(0, 1 << 63, size, np.int64).view(np.uint64))
+        y = np.unique(np.concatenate([x[gone:], rng.integers(0, 1 << 63, new, np.int64).view(np.uint64)]))
+        a, b = (np.unpackbits(np.frombuffer(jaccard.sketch(s), np.uint8)) for s in (x, y))
+        assert len(a) == jaccard.SKETCH and (a != b).sum() <= len(np.setxor1d(x, y))
+    # Two sets of 300 that differ in 90 shingles, over the 73 that 85 % allows, are told apart.
+    x = rng.integers(0, 1 << 63, 345, np.int64).view(np.uint64)
+    a, b = (np.unpackbits(np.frombuffer(jaccard.sketch(s), np.uint8)) for s in (x[:300], x[45:]))
+    assert (a != b).sum() > 73
+
+
+def test_blocks_of_many_ranges_compare_whole_sets():
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 1 << 63, 400, np.int64).view(np.uint64) * np.uint64(2))
+    sets = [base, base[20:], base[40:], np.sort(rng.integers(0, 1 << 63, 9, np.int64).view(np.uint64)), base[:1], base[:1]]
+    docs = [7, 3, 5, 1, 9, 8]
+    table = pa.table({"block": [1, 2], "docs": pa.array([docs[:3], docs[3:]], pa.list_(pa.int64())), "sets": pa.array([jaccard.pack_block(sets[:3]), jaccard.pack_block(sets[3:])], pa.binary())})
+
+    def links(first, second):
+        part = table if first != second else table.slice(first - 1, 1)
+        return sorted(zip(*jaccard._compare((pa.scalar(first), pa.scalar(second)), part, 94).to_pydict().values()))
+
+    assert links(1, 1) == [(5, 3), (7, 3)] and links(2, 2) == [(9, 8)] and links(1, 2) == []

@@ -33,13 +33,14 @@ SPARE_IN = 5
 # Documents, and shingles, that a block holds at most (one longer document is a block of its own).
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 20
-# Cells of a sketch, and candidate pairs whose sketches are compared at once.
-SKETCH = 96
+# Cells of a sketch, a bit each, and candidate pairs whose sketches are compared at once.
+SKETCH = 768
 _PAIRS = 1 << 18
 # Blocks that share so many signatures across groups meet as a whole before candidates are looked at one by one.
 PARTNER_SIGNS = 256
-# Shingles whose incidence is multiplied at once.
+# Shingles whose incidence is multiplied at once, and ranges of shingles that a comparison of blocks sorts one after the other.
 COLUMNS = 4096
+RANGES = 16
 _SEEDS = constants(4, 4242)
 _ROWS = 500_000
 
@@ -130,10 +131,9 @@ def _sign(batches, width, percent):
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """One byte per cell of a fixed partition of the domain. Two sets that differ in k shingles differ in at most k cells."""
-    sums = np.zeros(SKETCH, np.uint64)
-    np.add.at(sums, (mix(shingles ^ _SEEDS[3]) % np.uint64(SKETCH)).astype(np.int64), mix(shingles + _SEEDS[0]))
-    return mix(sums).astype(np.uint8).tobytes()
+    """Per cell of a fixed partition of the domain whether it holds an odd number of shingles. Two sets that differ in k shingles differ in at most k cells."""
+    cell = (mix(shingles ^ _SEEDS[3]) % np.uint64(SKETCH)).astype(np.int64)
+    return np.packbits(np.bincount(cell, minlength=SKETCH) & 1).tobytes()
 
 
 def common_signs(shingles: np.ndarray, percent: int, ends: list[int]) -> int:
@@ -202,35 +202,38 @@ def _blocks(batches):
 
 
 def _meet(batches, percent):
-    """Pairs of documents of one signature and different groups that may link, from rows sorted by signature.
+    """Pairs of documents of one signature and different groups that may link, from rows sorted by signature and group.
 
-    A pair is ruled out by sizes, or if its sketches differ in more cells than it may differ in shingles; and it must be met under ``need``
-    signatures in all.
+    A pair is ruled out if its blocks have been compared, by sizes, or if its sketches differ in more cells than it may differ in shingles;
+    and it must be met under ``need`` signatures in all.
     """
-    names = ["sign", "doc_id", "group", "size", "need"]
+    names = ["sign", "doc_id", "group", "size", "need", "block", "partner"]
     out = pa.schema([(c, pa.int64()) for c in ("a", "b", "need")])
 
     def pairs(rows):
-        sign, doc, group, size, need = (rows.column(c).to_numpy() for c in names)
-        cells = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(sign), SKETCH)
-        left = np.arange(len(sign))
-        for step in range(1, len(sign)):
-            left = left[left + step < len(sign)]
-            left = left[sign[left] == sign[left + step]]
-            if not len(left):
-                return
-            for begin in range(0, len(left), _PAIRS):
-                x = left[begin : begin + _PAIRS]
-                y = x + step
-                small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
-                ok = (group[x] != group[y]) & (100 * small >= percent * large)
-                x, y = x[ok], y[ok]
-                most = (size[x] + size[y]) * (100 - percent) // (100 + percent)
-                ok = (cells[x] != cells[y]).sum(axis=1) <= most
-                x, y = x[ok], y[ok]
-                asked = np.maximum(need[x], need[y])
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[x], doc[y])), pa.array(np.maximum(doc[x], doc[y])), pa.array(asked)], schema=out)
+        sign, doc, group, size, need, block, partner = (rows.column(c).to_numpy() for c in names)
+        cells = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(len(sign), SKETCH // 64)
+        # Each row meets those of its signature behind its group's rows: no two of a group.
+        new = sign[1:] != sign[:-1]
+        last = np.append(np.flatnonzero(new) + 1, len(sign))
+        ends = np.append(np.flatnonzero(new | (group[1:] != group[:-1])) + 1, len(sign))
+        at = np.arange(len(sign))
+        behind = ends[np.searchsorted(ends, at, side="right")]
+        count = last[np.searchsorted(last, at, side="right")] - behind
+        total = np.cumsum(count)
+        for begin in range(0, int(total[-1]) if len(total) else 0, _PAIRS):
+            pair = np.arange(begin, min(begin + _PAIRS, int(total[-1])))
+            x = np.searchsorted(total, pair, side="right")
+            y = behind[x] + pair - (total[x] - count[x])
+            small, large = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+            ok = (100 * small >= percent * large) & (block[x] != block[y]) & (block[x] != partner[y]) & (partner[x] != block[y])
+            x, y = x[ok], y[ok]
+            most = (size[x] + size[y]) * (100 - percent) // (100 + percent)
+            ok = np.bitwise_count(cells[x] ^ cells[y]).sum(axis=1, dtype=np.int64) <= most
+            x, y = x[ok], y[ok]
+            asked = np.maximum(need[x], need[y])
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[x], doc[y])), pa.array(np.maximum(doc[x], doc[y])), pa.array(asked)], schema=out)
 
     held = []
     for batch in batches:
@@ -263,25 +266,31 @@ def _verify(key, table, percent):
 
 def _compare(key, table, percent):
     """Links within a block or between two: each linked document with the smallest one it reaches here."""
-    sets = [own for data in table.column("sets").to_pylist() for own in unpack_block(data)]
+    sets = [own for data in table.column("sets") for own in unpack_block(data.as_buffer())]
     held = table.column("docs").to_pylist()
     docs, block = np.array(sum(held, []), np.int64), np.repeat(table.column("block").to_numpy(), [len(h) for h in held])
     size = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), size)
-    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count[column] > 1
-    owner, column = owner[shared], column[shared]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    column = np.cumsum(np.concatenate([[0], column[1:] != column[:-1]])) if len(column) else column
     first, second = key[0].as_py(), key[1].as_py()
     rows, others = np.flatnonzero(block == first), np.flatnonzero(block == second)
     common = np.zeros((len(rows), len(others)), np.float32)
-    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        low, high = np.searchsorted(column, [begin, begin + COLUMNS])
-        part = np.zeros((len(sets), COLUMNS), np.float32)
-        part[owner[low:high], column[low:high] - begin] = 1
-        common += part[rows] @ part[others].T
+    bounds = np.arange(1, RANGES, dtype=np.uint64) * np.uint64((1 << 64) // RANGES)
+    cuts = np.array([[0, *np.searchsorted(s, bounds).tolist(), len(s)] for s in sets]).T
+    for lows, highs in zip(cuts[:-1], cuts[1:]):
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), highs - lows)
+        shingles = np.concatenate([s[low:high] for s, low, high in zip(sets, lows.tolist(), highs.tolist())])
+        order = np.argsort(shingles, kind="stable")
+        owner, shingles = owner[order], shingles[order]
+        again = shingles[1:] == shingles[:-1]
+        shared = np.concatenate([[False], again]) | np.concatenate([again, [False]]) if len(again) else np.zeros(len(shingles), bool)
+        owner, shingles = owner[shared], shingles[shared]
+        if not len(owner):
+            continue
+        column = np.cumsum(np.concatenate([[0], shingles[1:] != shingles[:-1]]))
+        for begin in range(0, int(column[-1]) + 1, COLUMNS):
+            low, high = np.searchsorted(column, [begin, begin + COLUMNS])
+            part = np.zeros((len(sets), min(COLUMNS, int(column[-1]) + 1 - begin)), np.float32)
+            part[owner[low:high], column[low:high] - begin] = 1
+            common += part[rows] @ part[others].T
     union = size[rows][:, None] + size[others][None] - common
     a, b = np.nonzero((100 * common >= percent * union) & (docs[rows][:, None] != docs[others][None]))
     rank = np.argsort(np.argsort(docs, kind="stable"), kind="stable")
@@ -332,31 +341,39 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     blocks = materialize(sets.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, form))
     each = F.arrays_zip("docs", "sizes", "needs", "sketches")
     placed = blocks.select("block", F.explode(each).alias("d")).select("block", F.col("d.docs").alias("doc_id"), F.col("d.sizes").alias("size"), F.col("d.needs").alias("need"), F.col("d.sketches").alias("sketch"))
-    placed = small(materialize(placed.dropDuplicates(["doc_id", "size", "sketch"])))
+    placed = materialize(placed.dropDuplicates(["doc_id", "size", "sketch", "block"]))
+    at = small(materialize(placed.select("doc_id", "block").distinct()))
 
     def compared(tasks: DataFrame) -> DataFrame:
         held = tasks.select("first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block")).join(blocks.select("block", "docs", "sets"), "block")
         return materialize(held.groupBy("first", "second").applyInArrow(partial(_compare, percent=percent), "a long, b long"))
 
     def apart(links: DataFrame) -> DataFrame:
-        """(sign, doc_id, group) of the signatures that still lie in several groups of linked documents."""
+        """(sign, doc_id, block, group) of the signatures that still lie in several groups of linked documents, and in several blocks."""
         groups = small(materialize(components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))))
-        known = shared.join(groups, "doc_id", "left").select("sign", "doc_id", F.coalesce("group", "doc_id").alias("group"))
-        mixed = known.groupBy("sign").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("sign")
+        known = shared.join(at, "doc_id").join(groups, "doc_id", "left").select("sign", "doc_id", "block", F.coalesce("group", "doc_id").alias("group"))
+        ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("group", "block")]
+        mixed = known.groupBy("sign").agg(*ends).where("min_group < max_group and min_block < max_block").select("sign")
         return materialize(known.join(mixed, "sign", "left_semi"))
 
     links = compared(blocks.select(F.col("block").alias("first"), F.col("block").alias("second")))
     # Blocks of one large group meet first, each with one other: the group is whole after that, and its documents need no other comparison.
-    mixed = apart(links).join(placed.select("doc_id", "block"), "doc_id").select("sign", "block", "group").distinct()
+    mixed = apart(links).select("sign", "block", "group").distinct()
     least = mixed.groupBy("sign").agg(F.min(F.struct("block", "group")).alias("one"))
     chosen = mixed.join(least, "sign").where((F.col("group") != F.col("one.group")) & (F.col("block") != F.col("one.block")))
     chosen = chosen.groupBy("block", F.col("one.block").alias("partner")).count().where(F.col("count") >= PARTNER_SIGNS)
     chosen = chosen.groupBy("block").agg(F.max_by("partner", F.struct("count", -F.col("partner"))).alias("partner"))
+    chosen = materialize(chosen)
     tasks = chosen.select(F.col("partner").alias("first"), F.col("block").alias("second"))
     links = materialize(links.unionByName(compared(tasks)))
-    met = apart(links).join(placed.drop("block"), "doc_id").repartition("sign").sortWithinPartitions("sign")
+    left = apart(links)
+    # A document that links to one of another group meets it under ``need`` of these signatures.
+    asked = placed.groupBy("doc_id").agg(F.min("need").alias("asked"))
+    busy = small(materialize(left.groupBy("doc_id").count().join(asked, "doc_id").where("count >= asked").select("doc_id")))
+    told = small(materialize(placed.join(busy, "doc_id", "left_semi").join(chosen, "block", "left").fillna(-1, "partner")))
+    met = left.join(told, ["doc_id", "block"]).repartition("sign").sortWithinPartitions("sign", "group")
     met = met.mapInArrow(partial(_meet, percent=percent), "a long, b long, need long")
-    pairs = materialize(met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("need").alias("need")).where("n >= need").select("a", "b"))
+    pairs = materialize(met.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b"))
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     texts = docs.join(small(materialize(wanted)), "doc_id").withColumn("component", F.lit(0).cast("long"))
     own = materialize(texts.mapInArrow(partial(_sets, width=width, percent=percent), fields).select("doc_id", "shingles").distinct())
