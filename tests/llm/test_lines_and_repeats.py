@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 
-from tidemark.llm import lines
+from tidemark.llm import lines, repeats
 from tidemark.llm.gsaca import suffix_arrays
 from tidemark.llm.lines import build_index, dedup_lines, probe
 from tidemark.llm.repeats import remove_repeats
@@ -121,3 +121,39 @@ def test_lines_of_a_clean_corpus_do_not_meet_in_one_group(spark, monkeypatch):
     rows += [(6000, "\n".join(f"a long document's line {k}" for k in range(10_000)))]
     got = {r["doc_id"]: r["n_dropped"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got.pop(5001) == 1 and not any(got.values())
+
+
+def test_suffix_arrays_see_only_windows_that_several_documents_have(monkeypatch):
+    built = []
+    monkeypatch.setattr(repeats, "suffix_arrays", lambda data, sizes, own=repeats.suffix_arrays: (built.append(len(data)), own(data, sizes))[1])
+    rng = random.Random(4)
+    anchor = b"one anchor gram!"
+
+    def noise(n):
+        return bytes(rng.choices(b"abcdefgh", k=n))
+
+    def spans(rows):
+        groups = repeats.Groups()
+        for key, content, doc in sorted(rows):
+            groups.add(key, doc, [1000], len(content) - repeats.SPAN + 1, content)
+        groups.close()
+        return groups.spans
+
+    # By chance in one place: no window is that of another document.
+    assert spans([(n % 5, noise(34) + anchor + noise(34), n) for n in range(300)]) == [] and built == []
+
+    rows = []
+    for n in range(90):
+        whole = random.Random(n % 4).randbytes(34).replace(b"\0", b"x") + anchor + random.Random(n % 3).randbytes(34)
+        begin, end = rng.randrange(0, 20), rng.randrange(0, 20)
+        content = noise(begin) + whole[begin : 84 - end] + noise(end) if n % 2 else whole[begin : 84 - end]
+        if len(content) >= repeats.SPAN:
+            rows.append((n % 2, content, rng.randrange(60)))
+    least = {}
+    for key, content, doc in rows:
+        for at in range(len(content) - repeats.SPAN + 1):
+            window = key, content[at : at + repeats.SPAN]
+            least[window] = min(doc, least.get(window, doc))
+    want = {(doc, 1000 + at) for key, content, doc in rows for at in range(len(content) - repeats.SPAN + 1) if least[key, content[at : at + repeats.SPAN]] < doc}
+    assert {(doc, at) for doc, begin, end in spans(rows) for at in range(begin, end - repeats.SPAN + 1)} == want
+    assert len(want) > 300 and 0 < sum(built) < sum(len(r[1]) for r in rows)

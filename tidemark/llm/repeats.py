@@ -83,10 +83,18 @@ def _inner(parts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - parts, parts)
 
 
+def _lists(column: pa.ListArray) -> list[list]:
+    """A column of lists as Python lists, its values turned at once."""
+    bounds = (column.offsets.to_numpy() - column.offsets[0].as_py()).tolist()
+    values = column.flatten().to_pylist()
+    return [values[begin:end] for begin, end in zip(bounds[:-1], bounds[1:])]
+
+
 def _cut(batches):
     for batch in batches:
         rows: list[tuple] = []
-        for doc, text, anchors, runs, hot in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "anchors", "runs", "hot"))):
+        lists = (_lists(batch.column(c)) for c in ("anchors", "runs", "hot"))
+        for doc, text, anchors, runs, hot in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), *lists):
             data = text.encode()
             places: dict[tuple, list[int]] = {}  # a document that repeats a cut-out sends it once
             for anchor, run, often in zip(anchors, runs, hot):
@@ -166,6 +174,46 @@ def repeated_windows(groups: list[list[tuple[bytes, int, int]]]) -> list[list[li
     return result
 
 
+def alike(groups: list[tuple[list, list]]) -> list[tuple]:
+    """The gathered groups' cut-outs, cut to the runs of windows whose hash another document of the group has: (group, bytes, document, places, windows).
+
+    What is left out has no equal in another document; what is kept is compared as bytes.
+    """
+    items = [(n, content, windows, doc, spots) for n, (contents, places) in enumerate(groups) for (content, windows, _), (doc, spots) in zip(contents, places)]
+    if not items:
+        return []
+    sizes = np.array([len(i[1]) for i in items])
+    limit = np.array([i[2] for i in items])
+    group, docs = np.array([i[0] for i in items], np.uint64), np.array([i[3] for i in items])
+    lots = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // BATCH, prepend=-1))
+    key = []
+    for begin, end in zip(lots, [*lots[1:], len(items)]):
+        hashes = gram_hashes(np.frombuffer(b"".join(i[1] for i in items[begin:end]), np.uint8))
+        spot = np.repeat(np.cumsum(sizes[begin:end]) - sizes[begin:end], limit[begin:end]) + _inner(limit[begin:end])
+        # Four grams cover a window.
+        mixed = np.repeat(group[begin:end], limit[begin:end])
+        for at, factor in zip((0, GRAM, 2 * GRAM, SPAN - GRAM), _FACTOR):
+            mixed = mix(mixed) + hashes[spot + at] * factor
+        key.append(mix(mixed))
+    key = np.concatenate(key)
+    order = np.argsort(key)
+    heads = np.flatnonzero(np.concatenate([[True], key[order[1:]] != key[order[:-1]]]))
+    own = np.repeat(docs, limit)[order]
+    several = np.minimum.reduceat(own, heads) < np.maximum.reduceat(own, heads)
+    kept = np.zeros(len(key), bool)
+    kept[order] = np.repeat(several, np.diff(np.append(heads, len(key))))
+    item = np.repeat(np.arange(len(items)), limit)
+    edge = np.concatenate([[True], item[1:] != item[:-1], [True]])
+    start = np.flatnonzero(kept & (edge[:-1] | np.concatenate([[True], ~kept[:-1]])))
+    stop = np.flatnonzero(kept & (edge[1:] | np.concatenate([~kept[1:], [True]]))) + 1
+    at = start - (np.cumsum(limit) - limit)[item[start]]
+    rows = []
+    for i, b, n in zip(item[start].tolist(), at.tolist(), (stop - start).tolist()):
+        number, content, _, doc, spots = items[i]
+        rows.append((number, content[b : b + n + SPAN - 1], doc, [s + b for s in spots], n))
+    return rows
+
+
 class Groups:
     """Cut-outs in order of anchor, bytes and document: per anchor the distinct ones and where the first document of each has them."""
 
@@ -194,6 +242,11 @@ class Groups:
         """Turn what is gathered into spans."""
         groups = [g for g in self.pending if len(g[0]) > 1]
         self.pending, self.held, self.key = [], 0, None
+        shorter = Groups()
+        for key, content, doc, spots, n in sorted(alike(groups)):
+            shorter.add(key, doc, spots, n, content)
+        self.spans += shorter.spans
+        groups = [g for g in shorter.pending if len(g[0]) > 1]
         parts = []
         for contents, places in groups:
             if len(contents) > DISTINCT:
@@ -226,7 +279,8 @@ def _match(batches):
     """Rows sorted by anchor, bytes and document: spans of each document that a smaller one holds."""
     groups = Groups()
     for batch in batches:
-        for key, doc, spots, length, content in zip(*(batch.column(c).to_pylist() for c in ("anchor", "doc_id", "at", "length", "bytes"))):
+        columns = [batch.column(c) for c in ("anchor", "doc_id", "at", "length", "bytes")]
+        for key, doc, spots, length, content in zip(*(_lists(column) if pa.types.is_list(column.type) else column.to_pylist() for column in columns)):
             if groups.held > GATHERED and key != groups.key:
                 groups.close()
             groups.add(key, doc, spots, length, content)
@@ -270,7 +324,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     on the input, and never cross documents. Null texts are empty, texts of fewer than SPAN bytes stay whole. Rows that repeat a doc_id are
     one document to the rule. A null doc_id loses nothing and takes nothing away. No rows give no rows.
 
-    A text equal to that of a smaller doc_id goes whole and is compared with nothing else. An anchor
+    A text equal to that of a smaller doc_id goes whole and is compared with nothing else. Suffix arrays are built over those windows of an
+    anchor's cut-outs alone whose hash several of its documents have. An anchor
     of many runs is refined by further hashes of its windows, so that what one task compares at once stays small.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
