@@ -206,3 +206,44 @@ def test_blocks_of_many_ranges_compare_whole_sets():
         return sorted(zip(*jaccard._compare((pa.scalar(first), pa.scalar(second)), part, 94).to_pydict().values()))
 
     assert links(1, 1) == [(5, 3), (7, 3)] and links(2, 2) == [(9, 8)] and links(1, 2) == []
+
+
+def stages_of(monkeypatch):
+    """The columns, rows and plan of every stage that the join stores from now on."""
+    made = []
+    store = jaccard.materialize
+
+    def told(df):
+        out = store(df)
+        made.append((out.columns, out.count(), df._jdf.queryExecution().optimizedPlan().toString()))
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", told)
+    return made
+
+
+def test_documents_under_too_few_shared_signatures_are_no_candidates(spark, monkeypatch):
+    made = stages_of(monkeypatch)
+    texts = []
+    for n in range(60):  # each two share 53 % of their words in one passage, too little for a link and enough for a signature
+        texts.append(" ".join([f"both{n // 2}x{i}" for i in range(160)] + [f"own{n}x{i}" for i in range(140)]))
+    got = jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4, 85).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got) and len(got) == 60
+    signed = max(n for columns, n, _ in made if columns == ["sign", "doc_id"])
+    placed = max(n for columns, n, _ in made if {"block", "doc_id", "size"} <= {*columns})
+    assert signed > 40 and placed < 10, made
+
+
+def test_blocks_are_full_and_sets_and_signatures_are_not_sorted_or_joined_whole(spark, monkeypatch):
+    made = stages_of(monkeypatch)
+    base = [f"w{n}" for n in range(300)]
+    texts = [" ".join([*base[:n], f"new{n}", *base[n:]]) for n in range(0, 300, 5)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4, 85).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {r["component_id"] for r in got} == {0} and len(got) == 60
+    assert [n for columns, n, _ in made if "sets" in columns] == [1]
+    assert not [plan for *_, plan in made if "RepartitionByExpression" in plan and re.search(r"(?<!n_)shingles#", plan)]
+    assert not [plan for *_, plan in made if re.search(r"Join LeftSemi, \(sign#", plan)]

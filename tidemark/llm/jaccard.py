@@ -30,7 +30,7 @@ CELLS = 3
 PAIRS = list(combinations(range(CELLS), 2))
 # One in so many parts is beyond those the bound asks for, and one at least.
 SPARE_IN = 5
-# Documents, and shingles, that a block holds at most (one longer document is a block of its own).
+# Documents that a block holds at most, and shingles, beside those of the document that fills it.
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 1 << 20
 # Cells of a sketch, a bit each, and candidate pairs whose sketches are compared at once.
@@ -89,13 +89,25 @@ def signatures(shingles: np.ndarray, percent: int, ends: list[int]) -> np.ndarra
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _digests(batches, width):
+def _digest(sets):
+    """Size, and two sums of hashes that tell sets apart, of each set."""
+    size = np.fromiter((len(s) for s in sets), np.int64, len(sets))
+    low = np.fromiter((int(s.sum(dtype=np.uint64)) for s in sets), np.uint64, len(sets)).view(np.int64)
+    high = np.fromiter((int(mix(s + _SEEDS[2]).sum(dtype=np.uint64)) for s in sets), np.uint64, len(sets)).view(np.int64)
+    return [pa.array(size), pa.array(low), pa.array(high)]
+
+
+def _digests(batches, width, percent):
+    ends = band_ends(1, percent)
     for batch in pieces(batches):
         sets = shingle_sets(batch.column("text"), width)
-        size = np.fromiter((len(s) for s in sets), np.int64, len(sets))
-        low = np.fromiter((int(s.sum(dtype=np.uint64)) for s in sets), np.uint64, len(sets)).view(np.int64)
-        high = np.fromiter((int(mix(s + _SEEDS[2]).sum(dtype=np.uint64)) for s in sets), np.uint64, len(sets)).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(low), pa.array(high)], ["doc_id", "n_shingles", "low", "high"])
+        longest = max((len(s) for s in sets), default=0)
+        if ends[-2] < longest:
+            ends = band_ends(longest, percent)
+        rank = pa.array([int(s[0] >> np.uint64(1)) if len(s) else 0 for s in sets], pa.int64())
+        need = pa.array([common_signs(s, percent, ends) if len(s) else 1 for s in sets], pa.int64())
+        columns = [batch.column("doc_id"), *_digest(sets), rank, need, pa.array([sketch(s) for s in sets], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "low", "high", "least", "need", "sketch"])
 
 
 def _sign(batches, width, percent):
@@ -151,17 +163,17 @@ def common_signs(shingles: np.ndarray, percent: int, ends: list[int]) -> int:
     return min(least)
 
 
-def _sets(batches, width, percent):
-    ends = band_ends(1, percent)
+def _sets(batches, width):
+    seen: set[tuple[int, int, int]] = set()
     for batch in pieces(batches):
         sets = shingle_sets(batch.column("text"), width)
-        longest = max((len(s) for s in sets), default=0)
-        if ends[-2] < longest:
-            ends = band_ends(longest, percent)
-        rank = pa.array([int(s[0] >> np.uint64(1)) if len(s) else 0 for s in sets], pa.int64())
-        need = pa.array([common_signs(s, percent, ends) if len(s) else 1 for s in sets], pa.int64())
-        columns = [batch.column("doc_id"), batch.column("component"), rank, need, pa.array([sketch(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "near", "least", "need", "sketch", "shingles"])
+        out = pa.RecordBatch.from_arrays([batch.column("doc_id"), *_digest(sets), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "size", "low", "high", "shingles"])
+        new = []
+        for row in zip(*(out.column(c).to_pylist() for c in ("doc_id", "low", "high"))):
+            new.append(row not in seen)  # a repeated row is told once
+            if len(seen) < 200_000:
+                seen.add(row)
+        yield out.filter(pa.array(new, pa.bool_()))
 
 
 def pack_block(sets: list[np.ndarray]) -> bytes:
@@ -181,24 +193,23 @@ def unpack_block(data: bytes) -> list[np.ndarray]:
     return np.split(known[place], np.cumsum(sizes)[:-1])
 
 
-def _blocks(batches):
-    block, held, kept = TaskContext.get().partitionId() << 32, 0, []
+def _rank(batches):
+    """The same rows with their part, and the documents and shingles before each in its part."""
+    part, docs, held = TaskContext.get().partitionId(), 0, 0
+    for batch in batches:
+        size = batch.column("size").to_numpy()
+        before = [np.full(len(size), part), docs + np.arange(len(size)), held + np.cumsum(size) - size]
+        docs, held = docs + len(size), held + int(size.sum())
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in before), *batch.columns], ["part", "docs", "held", *batch.schema.names])
 
-    def row():
-        docs, needs, sketches, sets = zip(*kept)
-        sizes = [len(s) for s in sets]
-        columns = [pa.array([block]), pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([needs], pa.list_(pa.int64())), pa.array([sketches], pa.list_(pa.binary())), pa.array([pack_block(sets)], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["block", "docs", "sizes", "needs", "sketches", "sets"])
 
-    for batch in batches:
-        for doc, need, cells, shingles in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "need", "sketch", "shingles"))):
-            if kept and (len(kept) == BLOCK_DOCS or held + len(shingles) // 8 > BLOCK_SHINGLES):
-                yield row()
-                block, held, kept = block + 1, 0, []
-            kept.append((doc, need, cells, np.frombuffer(shingles, np.uint64)))
-            held += len(shingles) // 8
-    if kept:
-        yield row()
+def _block(key, table):
+    """The row of one block, from its sets."""
+    kept = {}
+    for doc, low, high, data in zip(*(table.column(c).to_pylist() for c in ("doc_id", "low", "high", "shingles"))):
+        kept[doc, low, high] = np.frombuffer(data, np.uint64)
+    docs = pa.array([[doc for doc, _, _ in kept]], pa.list_(pa.int64()))
+    return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "docs": docs, "sets": pa.array([pack_block(list(kept.values()))], pa.binary())})
 
 
 def _meet(batches, percent):
@@ -309,17 +320,18 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     n_shingles 0 and link with nothing. Rows that repeat a doc_id are one document with several sets; a null doc_id is kept
     and links with nothing. An empty table gives no rows.
 
-    Copies are one class before any signing. Documents that share a signature with another one are put into blocks of bounded size, candidates
-    of each other side by side. Blocks are compared as a whole, by products of their incidence matrices: each with itself, and with the one
+    Copies are one class before any signing. Documents that share as many signatures as a link ensures are put into blocks of bounded size,
+    candidates of each other side by side. Blocks are compared as a whole, by products of their incidence matrices: each with itself, and with the one
     it shares most signatures with across groups of linked documents, which makes large groups whole. Documents of one group need no
     other comparison; those of different groups that share a signature are compared by sketches where they meet, and only pairs that
     may link are told and compared as whole sets.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    digests = materialize(docs.mapInArrow(partial(_digests, width=width), "doc_id long, n_shingles long, low long, high long"))
+    fields = "doc_id long, n_shingles long, low long, high long, least long, need long, sketch binary"
+    digests = materialize(docs.mapInArrow(partial(_digests, width=width, percent=percent), fields))
     classes = digests.where("n_shingles > 0").groupBy("n_shingles", "low", "high").agg(F.min("doc_id").alias("class_id"))
     members = materialize(
-        digests.join(classes.where("class_id is not null"), ["n_shingles", "low", "high"], "left")
+        digests.select("doc_id", "n_shingles", "low", "high").join(classes.where("class_id is not null"), ["n_shingles", "low", "high"], "left")
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id"))
         .withColumn("class_id", F.coalesce("class_id", "doc_id"))
     )
@@ -330,19 +342,32 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     shared = signs.withColumn("least", F.min("doc_id").over(bucket)).withColumn("most", F.max("doc_id").over(bucket)).where("least < most").select("sign", "doc_id")
     shared = shared.join(moved, "doc_id", "left").select("sign", F.coalesce("class_id", "doc_id").alias("doc_id"))
     shared = materialize(shared.distinct())
+    # A document that links to another one lies under ``need`` signatures with it; one under fewer that are shared at all is no candidate.
+    known = digests.where("n_shingles > 0 and doc_id is not null").select("doc_id", F.col("n_shingles").alias("size"), "low", "high", "least", "need", "sketch")
+    asked = known.groupBy("doc_id").agg(F.min("need").alias("asked"))
+    able = small(materialize(shared.groupBy("doc_id").count().join(asked, "doc_id").where("count >= asked").select("doc_id")))
+    shared = shared.join(able, "doc_id", "left_semi")
     first = shared.groupBy("sign").agg(F.min("doc_id").alias("a"))
     candidates = components(shared.join(first, "sign").select("a", F.col("doc_id").alias("b")))
-    near = small(materialize(candidates.withColumnRenamed("node", "doc_id")))
-    fields = "doc_id long, near long, least long, need long, sketch binary, shingles binary"
-    sets = docs.join(near, "doc_id").mapInArrow(partial(_sets, width=width, percent=percent), fields)
-    # Candidates of each other lie side by side, those with the same smallest hash closest, so that most links are within blocks.
-    order = ["near", "least", "doc_id"]
-    form = "block long, docs array<long>, sizes array<long>, needs array<long>, sketches array<binary>, sets binary"
-    blocks = materialize(sets.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks, form))
-    each = F.arrays_zip("docs", "sizes", "needs", "sketches")
-    placed = blocks.select("block", F.explode(each).alias("d")).select("block", F.col("d.docs").alias("doc_id"), F.col("d.sizes").alias("size"), F.col("d.needs").alias("need"), F.col("d.sketches").alias("sketch"))
-    placed = materialize(placed.dropDuplicates(["doc_id", "size", "sketch", "block"]))
+    near = small(materialize(candidates.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "near")))
+    # Candidates of each other lie side by side, those with the same smallest hash closest, so that most links are within blocks. Only
+    # what a document needs to find its place is sorted; its set goes straight to its block.
+    order = ["near", "least", "doc_id", "low"]
+    spread = known.join(near, "doc_id").dropDuplicates(["doc_id", "size", "low", "high"]).repartitionByRange(*order).sortWithinPartitions(*order)
+    spread = spread.select("doc_id", "size", "low", "high", "need", "sketch")
+    ranked = materialize(spread.mapInArrow(_rank, "part long, docs long, held long, doc_id long, size long, low long, high long, need long, sketch binary"))
+    # Both counts of what lies before a document only grow, so each pair of their steps is a block: blocks are full, however the rows are dealt.
+    parts = ranked.groupBy("part").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    parts = materialize(parts.select("part", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in ("n", "total"))))
+    step = F.floor((F.col("docs") + F.col("n")) / BLOCK_DOCS) + F.floor((F.col("held") + F.col("total")) / BLOCK_SHINGLES)
+    placed = materialize(ranked.join(small(parts), "part").select(step.alias("block"), "doc_id", "size", "low", "high", "need", "sketch"))
     at = small(materialize(placed.select("doc_id", "block").distinct()))
+    fields = "doc_id long, size long, low long, high long, shingles binary"
+    sets = docs.join(near.select("doc_id"), "doc_id").mapInArrow(partial(_sets, width=width), fields)
+    spots = small(placed.select("doc_id", "size", "low", "high", "block"))
+    sets = sets.join(spots, ["doc_id", "size", "low", "high"]).select("block", "doc_id", "low", "high", "shingles")
+    blocks = materialize(sets.groupBy("block").applyInArrow(_block, "block long, docs array<long>, sets binary"))
 
     def compared(tasks: DataFrame) -> DataFrame:
         held = tasks.select("first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("block")).join(blocks.select("block", "docs", "sets"), "block")
@@ -351,10 +376,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     def apart(links: DataFrame) -> DataFrame:
         """(sign, doc_id, block, group) of the signatures that still lie in several groups of linked documents, and in several blocks."""
         groups = small(materialize(components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))))
-        known = shared.join(at, "doc_id").join(groups, "doc_id", "left").select("sign", "doc_id", "block", F.coalesce("group", "doc_id").alias("group"))
-        ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("group", "block")]
-        mixed = known.groupBy("sign").agg(*ends).where("min_group < max_group and min_block < max_block").select("sign")
-        return materialize(known.join(mixed, "sign", "left_semi"))
+        lying = shared.join(at, "doc_id").join(groups, "doc_id", "left").select("sign", "doc_id", "block", F.coalesce("group", "doc_id").alias("group"))
+        ends = {f"{f.__name__}_{c}": f(c).over(bucket) for f in (F.min, F.max) for c in ("group", "block")}
+        mixed = lying.withColumns(ends).where("min_group < max_group and min_block < max_block")
+        return materialize(mixed.select("sign", "doc_id", "block", "group"))
 
     links = compared(blocks.select(F.col("block").alias("first"), F.col("block").alias("second")))
     # Blocks of one large group meet first, each with one other: the group is whole after that, and its documents need no other comparison.
@@ -368,15 +393,15 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     links = materialize(links.unionByName(compared(tasks)))
     left = apart(links)
     # A document that links to one of another group meets it under ``need`` of these signatures.
-    asked = placed.groupBy("doc_id").agg(F.min("need").alias("asked"))
     busy = small(materialize(left.groupBy("doc_id").count().join(asked, "doc_id").where("count >= asked").select("doc_id")))
-    told = small(materialize(placed.join(busy, "doc_id", "left_semi").join(chosen, "block", "left").fillna(-1, "partner")))
+    told = placed.select("block", "doc_id", "size", "need", "sketch").dropDuplicates(["doc_id", "size", "sketch", "block"])
+    told = small(materialize(told.join(busy, "doc_id", "left_semi").join(chosen, "block", "left").fillna(-1, "partner")))
     met = left.join(told, ["doc_id", "block"]).repartition("sign").sortWithinPartitions("sign", "group")
     met = met.mapInArrow(partial(_meet, percent=percent), "a long, b long, need long")
     pairs = materialize(met.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b"))
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.join(small(materialize(wanted)), "doc_id").withColumn("component", F.lit(0).cast("long"))
-    own = materialize(texts.mapInArrow(partial(_sets, width=width, percent=percent), fields).select("doc_id", "shingles").distinct())
+    texts = docs.join(small(materialize(wanted)), "doc_id")
+    own = materialize(texts.mapInArrow(partial(_sets, width=width), fields).select("doc_id", "shingles").distinct())
     both = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id")).join(own, "doc_id")
     links = materialize(links.unionByName(both.groupBy("a", "b").applyInArrow(partial(_verify, percent=percent), "a long, b long")))
     out = members.join(components(links).withColumnRenamed("node", "class_id"), "class_id", "left")
