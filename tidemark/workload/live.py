@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import grid
 from tidemark.functions.fixed import floor_div
 from tidemark.operators import grids, sequence
+from tidemark.session import materialize
 from tidemark.streaming import live
 from tidemark.workload.registry import query, step
 from tidemark.workload.storage import scratch
@@ -22,7 +23,7 @@ def arriving(s, rows: DataFrame, time: str, per_ms: int) -> tuple[DataFrame, str
 
     A row far in the future ends the stream, so that the watermark passes all others.
     """
-    path = scratch(s)
+    path, rows = scratch(s), materialize(rows)
     low, high = rows.agg(F.min(time), F.max(time)).first()
     length = (high - low) // BATCHES + per_ms
     late = F.pmod(F.xxhash64(*[c for c, t in rows.dtypes if not t.startswith("array")]), F.lit(length // 2))
