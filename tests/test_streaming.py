@@ -381,3 +381,32 @@ def test_packs_act_in_event_order_and_leave_out_what_their_key_has_passed(monkey
     rest = out_of_packs(one.handleInputRows("k", in_packs(table([7, 4_001])), At(now // 1_000_000 + 10**6)))
     assert [r["seq"] for r in rest] == list(range(2_001, 4_002)) and {r["verdict"] for r in rest} == {"in_order"}
     assert not one.waiting and not one.due.exists()
+
+
+def test_a_group_of_markets_costs_a_few_calls_of_state():
+    import pyarrow as pa
+
+    from tidemark.streaming import keyed
+
+    def table(rows):
+        names = ("market_ticker", "learned_via", "seen_ms", "rank")
+        return pa.table({n: pa.array([r[i] for r in rows], pa.int32() if n == "rank" else None) for i, n in enumerate(names)})
+
+    rng = random.Random(9)
+    rows = [(f"M{rng.randrange(2_000)}", v, at, r) for at in range(5_000) for r, v in [rng.choice([(1, "lifecycle"), (2, "reconciliation")])]]
+    want = {}
+    for market, via, at, rank in rows:
+        want[market] = min(want.get(market, (10**9,)), (at, rank, via))
+    held = Held()
+    one = keyed.Registry()
+    one.init(held.handle())
+    got, seen = [], rows[:]
+    rng.shuffle(seen)
+    order = sorted(seen, key=lambda r: r[2] + rng.random() * 400)
+    for n in range(20):
+        got += out_of_packs(one.handleInputRows((0,), in_packs(table(order[n * 250 : n * 250 + 250])), At(n * 250 - 450)))
+    got += out_of_packs(one.handleExpiredTimer((0,), At(10**6), None))
+    assert sorted((r["market_ticker"], r["first_seen_ms"], r["learned_via"]) for r in got) == sorted((m, at, via) for m, (at, _, via) in want.items())
+    assert held.calls < 300
+    assert out_of_packs(one.handleInputRows((0,), in_packs(table([("M1", "lifecycle", 10**7, 1), ("N", "lifecycle", 10**7, 1)])), At(10**8))) == [
+        {"market_ticker": "N", "learned_via": "lifecycle", "first_seen_ms": 10**7}]

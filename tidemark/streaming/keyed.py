@@ -511,32 +511,67 @@ SIGHTING = "market_ticker string, learned_via string, seen_ms bigint, rank int"
 KNOWN = "market_ticker string, learned_via string, first_seen_ms bigint"
 
 
-class Registry(InEventOrder):
-    """The first sighting of one market; later ones change nothing and give nothing. Only the earliest waits."""
+class Registry(PacksInEventOrder):
+    """The first sighting of each market of a group; later ones change nothing and give nothing. Only the earliest of a market waits.
+
+    Markets are dealt to groups by a hash, so that state is read and written for many at once. The names of the markets known are kept in parts,
+    to which each release adds one; ``PARTS`` of them are joined.
+    """
+
+    PARTS = 8
 
     def __init__(self):
-        super().__init__(["market_ticker", "learned_via", "seen_ms", "rank"], ["seen_ms", "rank"], 1)
+        super().__init__("seen_ms", 1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getValueState("waiting", SIGHTING)
+        self.known = handle.getMapState("known", "part long", "markets binary")
+        # The watermark acted up to, the number of parts, and the sightings that wait.
+        self.held = handle.getValueState("held", "done long, parts long, waiting binary")
         self.due = handle.getValueState("due", "at long")
-        self.first = handle.getValueState("first", "learned_via string, first_seen_ms long")
 
-    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
-        self.first.update((initialState["learned_via"], initialState["first_seen_ms"]))
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        done, parts, waiting = self.held.get() if self.held.exists() else (None, 0, None)
+        for table in opened([initialState]):
+            self.known.updateValue((parts,), (packs.write(table.select(["market_ticker"])),))
+            parts += 1
+        self.held.update((done, parts, waiting))
+
+    def add(self, parts: int, before: list[pa.Table], markets: pa.Table) -> int:
+        if parts + 1 < self.PARTS:
+            self.known.updateValue((parts,), (packs.write(markets),))
+            return parts + 1
+        for part in range(1, parts):
+            self.known.removeKey((part,))
+        self.known.updateValue((0,), (packs.write(pa.concat_tables([*before, markets]).combine_chunks()),))
+        return 1
 
-    def release(self, key, rows: Iterator[tuple], watermark_ms: int) -> Iterator[Row]:
-        earliest = min(rows, key=self.order, default=None)
-        if self.first.exists():
-            return
-        before = tuple(self.waiting.get()) if self.waiting.exists() else None
-        best = min((r for r in (before, earliest) if r), key=self.order)
-        if self.passed(best[self.at], watermark_ms):
-            self.first.update((best[1], best[2]))
-            self.waiting.clear()
-            self.wake(None)
-            yield row_of(KNOWN)(*best[:3])
-        elif best != before:
-            self.waiting.update(best)
-            self.wake(best[self.at])
+    def release(self, key, tables: Iterator[pa.Table], watermark_ms: int) -> Iterator[pd.DataFrame]:
+        done, parts, waiting = self.held.get() if self.held.exists() else (None, 0, None)
+        before = [packs.read(self.known.getValue((part,))[0]) for part in range(parts)]
+        names = pa.concat_tables(before).column("market_ticker").combine_chunks() if before else None
+        held, count = [packs.read(waiting)] if waiting else [], 0
+        for table in tables:
+            table = self.on_time(table, done)
+            if names is not None:
+                table = table.filter(pc.invert(pc.is_in(table.column("market_ticker"), value_set=names)))
+            held.append(table)
+            count += table.num_rows
+            if count >= FRESH_ROWS:
+                held, count = [self.earliest(held)], 0
+        held = self.earliest(held) if held else None
+        if held:
+            passed = self.passed(self.times(held), watermark_ms)
+            if passed.any():
+                first = held.filter(pa.array(passed))
+                parts, done = self.add(parts, before, first.select(["market_ticker"])), watermark_ms
+                yield pd.DataFrame({"pack": [packs.write(first.select(["market_ticker", "learned_via", "seen_ms"]).rename_columns(["market_ticker", "learned_via", "first_seen_ms"]))]})
+                held = held.filter(pa.array(~passed))
+        self.held.update((done, parts, packs.write(held) if held else None))
+        self.wake(int(self.times(held).min()) if held else None)
+
+    def earliest(self, tables: list[pa.Table]) -> pa.Table:
+        table = pa.concat_tables(tables).combine_chunks()
+        code = packs.codes(table, ["market_ticker"])
+        order = np.lexsort((pc.fill_null(table.column("rank"), -1).to_numpy(), self.times(table), code))
+        return table.take(pa.array(order[np.flatnonzero(np.concatenate([[True], np.diff(code[order]) != 0]))])) if table else table

@@ -57,6 +57,8 @@ def rebuilt_sessions(frames: DataFrame, gap: str = "120 seconds", late: str = "2
 # Keyed state is kept by the engine's RocksDB store; a new query takes this setting with it.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LATE = "10 seconds"
+# Markets of the registry share the state of a group; a query keeps its number of groups.
+REGISTRY_GROUPS = 512
 
 
 def _into(rows: DataFrame, folder: str, checkpoint: str, period: str | None) -> StreamingQuery:
@@ -151,8 +153,10 @@ def track_grids(observations: DataFrame, folder: str, checkpoint: str, period: s
 def live_registry(sightings: DataFrame, late: str = LATE, initial: DataFrame | None = None) -> DataFrame:
     """Markets seen for the first time; those learned by reconciliation are the alerts. ``initial``: the markets known before."""
     rank = F.array_position(F.array(*[F.lit(s) for s in SOURCES]), F.col("learned_via")).cast("int")
-    rows = sightings.select("market_ticker", "learned_via", "seen_ms", rank.alias("rank"), F.timestamp_millis("seen_ms").alias("at"))
-    return _keyed(rows.withWatermark("at", late), ["market_ticker"], keyed.Registry(), keyed.KNOWN, initial)
+    group = F.pmod(F.xxhash64("market_ticker"), F.lit(REGISTRY_GROUPS)).alias("group")
+    rows = sightings.select(group, "market_ticker", "learned_via", "seen_ms", rank.alias("rank"), F.timestamp_millis("seen_ms").alias("at"))
+    seed = None if initial is None else initial.select(group, "market_ticker")
+    return packs.unpack(_packed(rows, ["group"], late, keyed.Registry(), "pack binary", seed), keyed.KNOWN)
 
 
 def track_registry(sightings: DataFrame, folder: str, checkpoint: str, period: str | None = None, late: str = LATE, initial: DataFrame | None = None) -> StreamingQuery:
