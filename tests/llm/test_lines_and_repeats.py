@@ -157,3 +157,40 @@ def test_suffix_arrays_see_only_windows_that_several_documents_have(monkeypatch)
     want = {(doc, 1000 + at) for key, content, doc in rows for at in range(len(content) - repeats.SPAN + 1) if least[key, content[at : at + repeats.SPAN]] < doc}
     assert {(doc, at) for doc, begin, end in spans(rows) for at in range(begin, end - repeats.SPAN + 1)} == want
     assert len(want) > 300 and 0 < sum(built) < sum(len(r[1]) for r in rows)
+
+
+def test_lots_share_suffix_arrays_and_an_anchor_goes_on_over_lots(monkeypatch):
+    import pyarrow as pa
+
+    built = []
+    monkeypatch.setattr(repeats, "suffix_arrays", lambda data, sizes, own=repeats.suffix_arrays: (built.append(len(sizes)), own(data, sizes))[1])
+    monkeypatch.setattr(repeats, "GATHERED", 4_000)
+    rng = random.Random(12)
+
+    def noise(n):
+        return bytes(rng.choices(b"abcdefgh", k=n))
+
+    rows = []
+    for anchor in range(60):
+        whole = noise(70)
+        for doc in rng.sample(range(1_000), 30 if anchor == 7 else 4):
+            begin = rng.randrange(0, 20)
+            content = whole[begin:] if rng.random() < 0.5 else whole[begin:] + noise(rng.randrange(1, 9))
+            rows.append((anchor, content, doc))
+            if rng.random() < 0.1:
+                rows.append((anchor, content, doc))  # a document whose rows repeat
+    rows.sort()
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary())
+    batches = []
+    for n in range(0, len(rows), 10):
+        columns = zip(*((anchor, doc, [100, 2_000], len(content) - repeats.SPAN + 1, content) for anchor, content, doc in rows[n : n + 10]))
+        batches.append(pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["anchor", "doc_id", "at", "length", "bytes"]))
+    windows = [(anchor, content[at : at + repeats.SPAN], doc, at) for anchor, content, doc in rows for at in range(len(content) - repeats.SPAN + 1)]
+    least = {}
+    for anchor, window, doc, _ in windows:
+        least[anchor, window] = min(doc, least.get((anchor, window), doc))
+    want = {(doc, base + at) for anchor, window, doc, at in windows if least[anchor, window] < doc for base in (100, 2_000)}
+    got = {(d, at) for b in repeats._match(iter(batches)) for d, begin, end in zip(*(c.to_pylist() for c in b.columns)) for at in range(begin, end - repeats.SPAN + 1)}
+    assert got == want and len(want) > 300
+    assert len(built) == 1 and built[0] > 20
+    assert sum(b.num_rows for b in repeats._match(iter([]))) == 0

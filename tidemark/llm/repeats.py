@@ -11,6 +11,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,24 +175,21 @@ def repeated_windows(groups: list[list[tuple[bytes, int, int]]]) -> list[list[li
     return result
 
 
-def alike(groups: list[tuple[list, list]]) -> list[tuple]:
-    """The gathered groups' cut-outs, cut to the runs of windows whose hash another document of the group has: (group, bytes, document, places, windows).
+def alike(group: np.ndarray, docs: np.ndarray, content: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cut-outs, cut to the runs of windows whose hash another document of the group has: (cut-out, first window, windows).
 
     What is left out has no equal in another document; what is kept is compared as bytes.
     """
-    items = [(n, content, windows, doc, spots) for n, (contents, places) in enumerate(groups) for (content, windows, _), (doc, spots) in zip(contents, places)]
-    if not items:
-        return []
-    sizes = np.array([len(i[1]) for i in items])
-    limit = np.array([i[2] for i in items])
-    group, docs = np.array([i[0] for i in items], np.uint64), np.array([i[3] for i in items])
-    lots = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // BATCH, prepend=-1))
+    data, offsets = buffers(content)
+    sizes = np.diff(offsets)
+    limit = sizes - SPAN + 1
+    lots = np.flatnonzero(np.diff((offsets[:-1] - offsets[0]) // BATCH, prepend=-1))
     key = []
-    for begin, end in zip(lots, [*lots[1:], len(items)]):
-        hashes = gram_hashes(np.frombuffer(b"".join(i[1] for i in items[begin:end]), np.uint8))
-        spot = np.repeat(np.cumsum(sizes[begin:end]) - sizes[begin:end], limit[begin:end]) + _inner(limit[begin:end])
+    for begin, end in zip(lots, [*lots[1:], len(sizes)]):
+        hashes = gram_hashes(data[offsets[begin] : offsets[end]])
+        spot = np.repeat(offsets[begin:end] - offsets[begin], limit[begin:end]) + _inner(limit[begin:end])
         # Four grams cover a window.
-        mixed = np.repeat(group[begin:end], limit[begin:end])
+        mixed = np.repeat(group[begin:end].astype(np.uint64), limit[begin:end])
         for at, factor in zip((0, GRAM, 2 * GRAM, SPAN - GRAM), _FACTOR):
             mixed = mix(mixed) + hashes[spot + at] * factor
         key.append(mix(mixed))
@@ -202,62 +200,118 @@ def alike(groups: list[tuple[list, list]]) -> list[tuple]:
     several = np.minimum.reduceat(own, heads) < np.maximum.reduceat(own, heads)
     kept = np.zeros(len(key), bool)
     kept[order] = np.repeat(several, np.diff(np.append(heads, len(key))))
-    item = np.repeat(np.arange(len(items)), limit)
+    item = np.repeat(np.arange(len(sizes)), limit)
     edge = np.concatenate([[True], item[1:] != item[:-1], [True]])
     start = np.flatnonzero(kept & (edge[:-1] | np.concatenate([[True], ~kept[:-1]])))
     stop = np.flatnonzero(kept & (edge[1:] | np.concatenate([~kept[1:], [True]]))) + 1
-    at = start - (np.cumsum(limit) - limit)[item[start]]
-    rows = []
-    for i, b, n in zip(item[start].tolist(), at.tolist(), (stop - start).tolist()):
-        number, content, _, doc, spots = items[i]
-        rows.append((number, content[b : b + n + SPAN - 1], doc, [s + b for s in spots], n))
-    return rows
+    return item[start], start - (np.cumsum(limit) - limit)[item[start]], stop - start
+
+
+class Cuts:
+    """Cut-outs as columns: keys of their groups, documents, the places where each document has them, and their bytes."""
+
+    def __init__(self, key: np.ndarray, doc: np.ndarray, spots: pa.ListArray, content: pa.BinaryArray):
+        self.key, self.doc, self.spots, self.content = key, doc, spots, content
+
+    def take(self, rows: np.ndarray) -> Cuts:
+        some = pa.array(rows)
+        return Cuts(self.key[rows], self.doc[rows], self.spots.take(some), self.content.take(some))
+
+    def spans(self) -> np.ndarray:
+        """Documents, begins and ends of all that the cut-outs cover."""
+        counts = np.diff(self.spots.offsets.to_numpy())
+        begin = self.spots.flatten().to_numpy()
+        return np.stack([np.repeat(self.doc, counts), begin, begin + np.repeat(np.diff(buffers(self.content)[1]), counts)])
+
+    def distinct(self) -> tuple[np.ndarray, Cuts]:
+        """The spans of cut-outs that a smaller document of their group has, and the other cut-outs in order of their groups."""
+        code = pc.dictionary_encode(self.content).indices.to_numpy()
+        order = np.lexsort((self.doc, code, self.key))
+        key, code, doc = self.key[order], code[order], self.doc[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (key[1:] != key[:-1]) | (code[1:] != code[:-1])
+        # A document whose rows repeat stays beside itself.
+        again = doc != doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        return self.take(order[again]).spans(), self.take(order[~again])
+
+    def several(self) -> Cuts:
+        """Without the groups of one cut-out, which nothing else can equal; in order of their groups."""
+        new = np.concatenate([[True], self.key[1:] != self.key[:-1]])
+        sizes = np.diff(np.append(np.flatnonzero(new), len(new)))
+        return self.take(np.flatnonzero(np.repeat(sizes > 1, sizes)))
+
+    def pieces(self, item: np.ndarray, at: np.ndarray, windows: np.ndarray) -> Cuts:
+        """Parts of the cut-outs: of ``item`` the ``windows`` from ``at`` on."""
+        data, offsets = buffers(self.content)
+        sizes = windows + SPAN - 1
+        place = np.repeat(offsets[item] + at, sizes) + _inner(sizes)
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        content = pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data[place])])
+        spots = self.spots.take(pa.array(item))
+        moved = spots.flatten().to_numpy() + np.repeat(at, np.diff(spots.offsets.to_numpy()))
+        return Cuts(self.key[item], self.doc[item], pa.ListArray.from_arrays(spots.offsets, pa.array(moved)), content)
+
+    def groups(self) -> list[tuple[list, list]]:
+        """Per group the distinct cut-outs (bytes, windows, document) and who has them where."""
+        found, last = [], None
+        for key, doc, spots, content in zip(self.key.tolist(), self.doc.tolist(), _lists(self.spots), self.content.to_pylist()):
+            if key != last:
+                last = key
+                found.append(([], []))
+            found[-1][0].append((content, len(content) - SPAN + 1, doc))
+            found[-1][1].append((doc, spots))
+        return found
+
+    def refined(self) -> Cuts:
+        """Each cut-out in the parts of ``_refined``, which make groups of their own."""
+        keys, item, at, windows = [], [], [], []
+        for n, content in enumerate(self.content.to_pylist()):
+            for key, begin, count in _refined(content, len(content) - SPAN + 1):
+                keys.append(key)
+                item.append(n)
+                at.append(begin)
+                windows.append(count)
+        finer = self.pieces(*(np.array(x, np.int64) for x in (item, at, windows)))
+        finer.key = np.array(keys, np.int64)
+        return finer
+
+    def repeated(self) -> tuple[list[np.ndarray], list[tuple[list, list]]]:
+        """The spans of cut-outs, whole or cut to windows that others have, that a smaller document of their group has, and the groups left to ``compared``."""
+        spans, cuts = self.distinct()
+        found, cuts = [spans], cuts.several()
+        if not len(cuts.key):
+            return found, []
+        spans, cuts = cuts.pieces(*alike(cuts.key, cuts.doc, cuts.content)).distinct()
+        found.append(spans)
+        if not len(cuts.key):
+            return found, []
+        cuts = cuts.several()
+        _, group, sizes = np.unique(cuts.key, return_inverse=True, return_counts=True)
+        large = sizes[group] > DISTINCT
+        work = cuts.take(np.flatnonzero(~large)).groups()
+        if large.any():
+            spans, finer = cuts.take(np.flatnonzero(large)).refined().distinct()
+            found.append(spans)
+            work += finer.groups()
+        return found, [g for g in work if len(g[0]) > 1]
 
 
 class Groups:
-    """Cut-outs in order of anchor, bytes and document: per anchor the distinct ones and where the first document of each has them."""
+    """Cut-outs gathered row by row; ``close`` turns them into spans."""
 
     def __init__(self):
-        self.pending: list[tuple[list, list]] = []
-        self.held = 0
-        self.key, self.last = None, None
+        self.rows: list[tuple] = []
         self.spans: list[tuple] = []
 
     def add(self, key, doc, spots, length, content):
-        if key != self.key:
-            self.key, self.last = key, None
-            self.pending.append(([], []))
-        contents, places = self.pending[-1]
-        if content != self.last:
-            self.last = content
-            contents.append((content, length, doc))
-            places.append((doc, list(spots)))
-            self.held += len(content)
-        elif doc == places[-1][0]:
-            places[-1][1].extend(spots)
-        else:
-            self.spans.extend((doc, at, at + length + SPAN - 1) for at in spots)
+        self.rows.append((key, doc, spots, content))
 
     def close(self):
-        """Turn what is gathered into spans."""
-        groups = [g for g in self.pending if len(g[0]) > 1]
-        self.pending, self.held, self.key = [], 0, None
-        shorter = Groups()
-        for key, content, doc, spots, n in sorted(alike(groups)):
-            shorter.add(key, doc, spots, n, content)
-        self.spans += shorter.spans
-        groups = [g for g in shorter.pending if len(g[0]) > 1]
-        parts = []
-        for contents, places in groups:
-            if len(contents) > DISTINCT:
-                for (content, length, _), (doc, spots) in zip(contents, places):
-                    for key, begin, n in _refined(content, length):
-                        parts.extend((key, content[begin : begin + n + SPAN - 1], doc, at + begin, n) for at in spots)
-        finer = Groups()
-        for key, content, doc, at, n in sorted(parts):
-            finer.add(key, doc, [at], n, content)
-        self.spans += finer.spans
-        self.spans += compared([g for g in groups if len(g[0]) <= DISTINCT] + finer.pending)
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+        key, doc, spots, content = (pa.array(c, kind) for c, kind in zip(zip(*self.rows), kinds))
+        found, work = Cuts(key.to_numpy(), doc.to_numpy(), spots, content).repeated()
+        self.spans += [tuple(span) for some in found for span in some.T.tolist()] + compared(work)
+        self.rows = []
 
 
 def compared(work: list[tuple[list, list]]) -> list[tuple]:
@@ -276,24 +330,47 @@ def compared(work: list[tuple[list, list]]) -> list[tuple]:
 
 
 def _match(batches):
-    """Rows sorted by anchor, bytes and document: spans of each document that a smaller one holds."""
-    groups = Groups()
+    """Rows sorted by anchor, bytes and document: spans of each document that a smaller one holds.
+
+    The last anchor gathered may go on, so its different cut-outs wait for the next lot. Groups wait until their suffix arrays fill a batch.
+    """
+    held: list[Cuts] = []
+    work: list[tuple[list, list]] = []
+    size = waiting = 0
+
+    def joined() -> Cuts:
+        return Cuts(*(np.concatenate([getattr(c, n) for c in held]) for n in ("key", "doc")), *(pa.concat_arrays([getattr(c, n) for c in held]) for n in ("spots", "content")))
+
     for batch in batches:
-        columns = [batch.column(c) for c in ("anchor", "doc_id", "at", "length", "bytes")]
-        for key, doc, spots, length, content in zip(*(_lists(column) if pa.types.is_list(column.type) else column.to_pylist() for column in columns)):
-            if groups.held > GATHERED and key != groups.key:
-                groups.close()
-            groups.add(key, doc, spots, length, content)
-        if len(groups.spans) > 20_000:
-            yield _span_rows(groups.spans)
-            groups.spans = []
-    groups.close()
-    yield _span_rows(groups.spans)
-
-
-def _span_rows(rows):
-    columns = list(zip(*rows)) or [[]] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "begin", "end"])
+        if batch.num_rows:
+            held.append(Cuts(*(batch.column(c).to_numpy() for c in ("anchor", "doc_id")), *(batch.column(c) for c in ("at", "bytes"))))
+            size += batch.column("bytes").nbytes
+        if size > GATHERED:
+            cuts = joined()
+            last = cuts.key == cuts.key[-1]
+            spans, rest = cuts.take(np.flatnonzero(last)).distinct()
+            yield _span_rows(spans)
+            found, more = cuts.take(np.flatnonzero(~last)).repeated() if not last.all() else ([], [])
+            for spans in found:
+                yield _span_rows(spans)
+            work += more
+            waiting += sum(len(c[0]) for g in more for c in g[0])
+            if waiting >= BATCH:
+                yield _span_rows(_listed(compared(work)))
+                work, waiting = [], 0
+            held, size = [rest], 0
+    found, more = joined().repeated() if held else ([], [])
+    for spans in found:
+        yield _span_rows(spans)
+    yield _span_rows(_listed(compared(work + more)))
+
+
+def _listed(spans: list[tuple]) -> np.ndarray:
+    return np.array(spans, np.int64).reshape(-1, 3).T
+
+
+def _span_rows(spans):
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in np.ascontiguousarray(spans)], ["doc_id", "begin", "end"])
 
 
 def _erase(batches):
