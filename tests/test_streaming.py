@@ -359,7 +359,7 @@ def test_packs_act_in_event_order_and_leave_out_what_their_key_has_passed(monkey
     from tidemark.streaming import keyed
 
     monkeypatch.setattr(keyed, "ACT_ROWS", 300)
-    monkeypatch.setattr(keyed, "FRESH_ROWS", 700)
+    monkeypatch.setattr(keyed, "FRESH_PACKED_ROWS", 700)
     now = 1_800_000_000 * SECOND  # a present clock in ns
     rng = random.Random(8)
     numbers = list(range(4_000))

@@ -28,7 +28,8 @@ from tidemark.streaming import packs
 BUCKET_MS = 10_000
 GRID_BUCKET_MS = 7 * 86_400_000
 FRESH_ROWS = 100_000
-# Rows of one key that act together, where they travel in packs.
+# Where rows travel in packs: rows of one key taken in before they are written, many as each time makes a part of every bucket, and rows that act together.
+FRESH_PACKED_ROWS = 500_000
 ACT_ROWS = 50_000
 
 
@@ -244,7 +245,7 @@ class PacksInEventOrder(InEventOrder):
         for table in tables:
             fresh.append(self.on_time(table, done))
             count += table.num_rows
-            if count >= FRESH_ROWS:
+            if count >= FRESH_PACKED_ROWS:
                 for bucket, some in self.by_bucket(fresh):
                     self.keep(held, bucket, some)
                 fresh, count = [], 0
@@ -557,7 +558,7 @@ class Registry(PacksInEventOrder):
                 table = table.filter(pc.invert(pc.is_in(table.column("market_ticker"), value_set=names)))
             held.append(table)
             count += table.num_rows
-            if count >= FRESH_ROWS:
+            if count >= FRESH_PACKED_ROWS:
                 held, count = [self.earliest(held)], 0
         held = self.earliest(held) if held else None
         if held:
